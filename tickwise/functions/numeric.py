@@ -79,9 +79,13 @@ def python_round1(c) -> Column:
 
 
 def sentiment_class(c) -> Column:
-    """five-way class; anything not in [-0.5, 1] is 'Very Negative'."""
+    """five-way class; anything else in range order is 'Very Negative'.
+
+    A null value (no text) stays null.
+    """
     x = _c(c)
-    return (F.when((x <= 1) & (x >= 0.5), "Very Positive")
+    return (F.when(x.isNull(), F.lit(None).cast("string"))
+            .when((x <= 1) & (x >= 0.5), "Very Positive")
             .when((x < 0.5) & (x > 0), "Positive")
             .when(x == 0, "Neutral")
             .when((x < 0) & (x >= -0.5), "Negative")

@@ -30,9 +30,14 @@ CRYPTO_WEIGHT = 6.0
 ECONOMY_WEIGHT = 0.08
 NO_HIT_WEIGHT = 0.002
 
-# Whitespace as str.split() sees it for the texts we process.
-WS = r"\s+"
-EDGE_WS = r"^\s+|\s+$"
+# Whitespace exactly as Python's str.split() sees it, written so that both
+# Java regex (Spark) and RE2 (the SQL oracle) read the class the same way.
+WS_CLASS = (r"[\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+            r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
+WS = WS_CLASS + "+"
+EDGE_WS = f"^{WS}|{WS}$"
+# Punctuation trimmed from both ends of a token before a lexicon lookup.
+EDGE_PUNCT = r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$"
 
 
 def _c(c) -> Column:
