@@ -17,19 +17,24 @@ TAGGED_SQL = f"""
          CAST(json_extract_string(props, '$.k') AS DOUBLE) AS vol
   FROM events WHERE event_type IN ({sql_list(ALL_TYPES)})"""
 
-MINUTE_FEATURES_SQL = f"""
+MINUTE_FEATURES_RAW_SQL = f"""
 SELECT date_trunc('minute', ts) AS Timestamp_Rounded,
-  round(avg(CASE WHEN NOT is_news THEN value END), 6) AS Open,
-  round(max(CASE WHEN NOT is_news THEN value END), 6) AS High,
-  round(min(CASE WHEN NOT is_news THEN value END), 6) AS Low,
-  round(avg(CASE WHEN NOT is_news THEN value END), 6) AS Close,
-  round(CASE WHEN count(CASE WHEN NOT is_news THEN 1 END) > 0
-        THEN coalesce(sum(CASE WHEN NOT is_news THEN vol END), 0) END, 6) AS Volume,
-  round(coalesce(sum(CASE WHEN is_news THEN value END), 0), 6) AS Score,
+  avg(CASE WHEN NOT is_news THEN value END) AS Open,
+  max(CASE WHEN NOT is_news THEN value END) AS High,
+  min(CASE WHEN NOT is_news THEN value END) AS Low,
+  avg(CASE WHEN NOT is_news THEN value END) AS Close,
+  CASE WHEN count(CASE WHEN NOT is_news THEN 1 END) > 0
+       THEN coalesce(sum(CASE WHEN NOT is_news THEN vol END), 0) END AS Volume,
+  coalesce(sum(CASE WHEN is_news THEN value END), 0) AS Score,
   count(CASE WHEN is_news THEN value END) AS news_count
 FROM ({TAGGED_SQL}) t
 GROUP BY 1"""
 
+MINUTE_FEATURES_SQL = f"""
+SELECT Timestamp_Rounded, round(Open, 6) AS Open, round(High, 6) AS High, round(Low, 6) AS Low,
+  round(Close, 6) AS Close, round(Volume, 6) AS Volume, round(Score, 6) AS Score, news_count
+FROM ({MINUTE_FEATURES_RAW_SQL}) m"""
+
 
 def q_minute_features(spark: SparkSession, sf_dir: str):
     """Flagship: minute OHLCV with summed news score and article count."""
@@ -127,7 +132,7 @@ QUERIES.update({
     "minute_features_outer_join": q_minute_features_outer_join,
 })
 
-MINUTES_CTE = f"minutes AS ({MINUTE_FEATURES_SQL})"
+MINUTES_CTE = f"minutes AS ({MINUTE_FEATURES_RAW_SQL})"
 NEWS_SQL = f"SELECT ts AS pub_date, value AS score FROM events WHERE event_type IN ({sql_list(NEWS_TYPES)})"
 
 

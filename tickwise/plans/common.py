@@ -30,6 +30,9 @@ def finish(df: DataFrame, digits: int = DIGITS) -> DataFrame:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             c = round_half_away(c.cast("double"), digits)
+        elif isinstance(f.dataType, T.ArrayType) and isinstance(
+                f.dataType.elementType, (T.DoubleType, T.FloatType)):
+            c = F.transform(c, lambda x: round_half_away(x.cast("double"), digits))
         elif isinstance(f.dataType, T.TimestampType):
             c = c.cast("timestamp_ntz")
         cols.append(c.alias(f.name))
