@@ -27,6 +27,14 @@ def _price_aggs(is_price: Column) -> list[Column]:
             volume.alias("Volume")]
 
 
+def tagged_aggs() -> list[Column]:
+    """Aggregates of one minute of tagged rows (shared by batch and stream)."""
+    is_news = F.col("is_news")
+    return [*_price_aggs(~is_news),
+            F.coalesce(F.sum(F.when(is_news, F.col("score"))), F.lit(0.0)).alias("Score"),
+            F.count(F.when(is_news, F.col("score"))).alias("news_count")]
+
+
 def minute_features_tagged(tagged: DataFrame, ts: str = "ts") -> DataFrame:
     """A1 + A2 + J1 + P11 over tagged rows (see ``tables.tagged_ticks``).
 
@@ -35,11 +43,7 @@ def minute_features_tagged(tagged: DataFrame, ts: str = "ts") -> DataFrame:
     Price columns stay null on news-only minutes; ``Score``/``news_count``
     are 0 on price-only minutes.
     """
-    is_news = F.col("is_news")
-    return (tagged.groupBy(tf.minute(ts).alias("Timestamp_Rounded"))
-            .agg(*_price_aggs(~is_news),
-                 F.coalesce(F.sum(F.when(is_news, F.col("score"))), F.lit(0.0)).alias("Score"),
-                 F.count(F.when(is_news, F.col("score"))).alias("news_count")))
+    return tagged.groupBy(tf.minute(ts).alias("Timestamp_Rounded")).agg(*tagged_aggs())
 
 
 def minute_features(prices: DataFrame, news: DataFrame,

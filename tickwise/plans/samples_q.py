@@ -80,3 +80,29 @@ FROM x""",
 SELECT split, count(*) AS n, round(avg(CAST({_div('c1', 'lc')} > 1 AS INTEGER)), 6) AS up_share,
   min(i) AS first_t, max(i) AS last_t FROM x GROUP BY split""",
 }
+
+
+# --- model (rows-only checks: training is iterative, not SQL) ---------------
+def q_model_validation(spark, sf_dir):
+    """M2 + A17: logistic direction model, accuracy on the latest 10 % of train starts."""
+    from tickwise.operators import model
+    s = samples.build_samples(_input(spark, sf_dir), test_starts=SMALL_HOLDOUT)
+    _, acc = model.train(s)
+    return finish(acc)
+
+
+def q_model_scores(spark, sf_dir):
+    """M2 + K5 + M4 + F24: train, save, reload, score the test starts."""
+    from tickwise.operators import model
+    from tickwise.session import scratch_path
+    s = samples.build_samples(_input(spark, sf_dir), test_starts=SMALL_HOLDOUT)
+    m, _ = model.train(s)
+    path = scratch_path(spark, "tickwise-models/direction")
+    model.save(m, path)
+    return finish(model.score(model.load(path), s.where(F.col("split") == "test")))
+
+
+QUERIES.update({
+    "model_validation": q_model_validation,
+    "model_scores": q_model_scores,
+})

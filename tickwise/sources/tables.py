@@ -53,8 +53,12 @@ def tagged_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     Columns: ``ts, is_news, Open, High, Low, Close, Volume, score``; price
     columns are null on news rows and ``score`` is null on price rows.
     """
-    ev = table(spark, sf_dir, "events").where(
-        F.col("event_type").isin(*(PRICE_TYPES + NEWS_TYPES)))
+    return tag_events(table(spark, sf_dir, "events"))
+
+
+def tag_events(events: DataFrame) -> DataFrame:
+    """The tagging projection of :func:`tagged_ticks` (batch or stream input)."""
+    ev = events.where(F.col("event_type").isin(*(PRICE_TYPES + NEWS_TYPES)))
     is_news = F.col("event_type").isin(*NEWS_TYPES)
     price = F.when(~is_news, F.col("value"))
     return ev.select(
