@@ -25,12 +25,14 @@ VALIDATION_SHARE = 0.1
 MLP_LAYERS = (64, 32, 32)
 
 
-def assemble(samples: DataFrame, label: str = "label") -> DataFrame:
+def assemble(samples: DataFrame, label: str | None = "label") -> DataFrame:
     """M1: features array -> ML vector; drops samples with missing features
-    (a zero last close/volume leaves nulls, which a model cannot take)."""
+    (a zero last close/volume leaves nulls, which a model cannot take) and,
+    for training (``label`` given), samples without a label."""
     ok = F.forall("features", lambda x: x.isNotNull() & ~F.isnan(x))
-    return (samples.where(ok & F.col(label).isNotNull())
-            .withColumn("fv", array_to_vector("features")))
+    if label:
+        ok = ok & F.col(label).isNotNull()
+    return samples.where(ok).withColumn("fv", array_to_vector("features"))
 
 
 def time_split(train: DataFrame, share: float = VALIDATION_SHARE, t: str = "t"):
@@ -74,7 +76,7 @@ def train(samples: DataFrame, kind: str = "logistic") -> tuple[PipelineModel, Da
 
 def score(model: PipelineModel, samples: DataFrame) -> DataFrame:
     """M4 + F24: probability of an up move and the UP/DOWN decision."""
-    out = model.transform(assemble(samples))
+    out = model.transform(assemble(samples, label=None))
     p_up = vector_to_array("probability")[1]
     return out.select("t", "start_ts", "split", p_up.alias("p_up"),
                       num.direction(p_up).alias("direction"), "label")

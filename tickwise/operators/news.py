@@ -107,7 +107,7 @@ def _with_sentiment_join(df: DataFrame, text: str, lexicon: DataFrame, key: str)
     lex = lexicon.select("word", F.col("valence").cast("double"))
     sums = (toks.join(lex, "word").groupBy(key).agg(F.sum("valence").alias("_s")))
     out = df.join(sums, key, "left")
-    s = F.coalesce(F.col("_s"), F.lit(0.0))
+    s = F.when(F.col(text).isNotNull(), F.coalesce(F.col("_s"), F.lit(0.0)))
     return _classify(out.withColumn("_compound", compound(s)).drop("_s"))
 
 

@@ -17,11 +17,11 @@ from tickwise.functions import text as tx
 # Markup the extractors look for.
 ANCHOR_RE = r"<a(\s[^>]*)?>(.*?)</a>"
 HREF_RE = r"""href\s*=\s*"([^"]*)\""""
-ARTICLE_RE = r"(?s)<article[^>]*>(.*?)</article>"
+ARTICLE_RE = r"(?s)<article(?:\s[^>]*)?>(.*?)</article>"
 TITLE_RE = r"(?s)<title[^>]*>(.*?)</title>"
-TABLE_RE = r"(?s)<table[^>]*>(.*?)</table>"
-ROW_RE = r"(?s)<tr[^>]*>(.*?)</tr>"
-CELL_RE = r"(?s)<t[dh][^>]*>(.*?)</t[dh]>"
+TABLE_RE = r"(?s)<table(?:\s[^>]*)?>(.*?)</table>"
+ROW_RE = r"(?s)<tr(?:\s[^>]*)?>(.*?)</tr>"
+CELL_RE = r"(?s)<t[dh](?:\s[^>]*)?>(.*?)</t[dh]>"
 
 
 def class_re(cls: str) -> str:
@@ -75,7 +75,7 @@ def article_text(html: Column) -> Column:
     """E5 + F5 + F6: body of the first ``<article>`` without tags; a page
     without one gives null (it is later dropped by the inner join)."""
     body = F.regexp_extract(html, ARTICLE_RE, 1)
-    has = html.rlike(r"(?s)<article[^>]*>.*?</article>")
+    has = html.rlike(r"(?s)<article(?:\s[^>]*)?>.*?</article>")
     return F.when(has, tx.strip_brackets(tx.strip_tags(body)))
 
 

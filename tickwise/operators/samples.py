@@ -92,3 +92,28 @@ def build_samples(df: DataFrame, order: str = "ts", window: int = WINDOW,
     out = s.select(F.col("i").alias("t"), "start_ts", "end_ts", "split", feats.alias("features"),
                    *[F.try_divide(F.col(f"_y{n}"), F.col("_lc")).alias(f"y{n}") for n in targets])
     return out.withColumn("label", num.up_label(f"y{targets[0]}"))
+
+
+def latest_sample(df: DataFrame, order: str = "ts", window: int = WINDOW,
+                  sentiment_by_volume: bool = True) -> DataFrame:
+    """The newest complete input window (for live scoring, T9): one row with
+    ``t`` = -1, ``start_ts``, ``end_ts`` and ``features``; empty when fewer
+    than ``window`` rows exist. A distributed top-``window`` followed by one
+    aggregate over exactly ``window`` rows."""
+    last = df.orderBy(F.col(order).desc()).limit(window)
+    rows = F.array_sort(F.collect_list(F.struct(F.col(order).alias("_o"),
+                                                *[F.col(c) for c in FEATURES])))
+    one = last.agg(rows.alias("_rows"), F.count(F.lit(1)).alias("_n"))
+    lastr = F.element_at("_rows", -1)
+
+    def norm(r):
+        lc_, lv_ = lastr["Close"], lastr["Volume"]
+        sent = F.try_divide(r["Sentiment_Value"], lv_) if sentiment_by_volume else r["Sentiment_Value"]
+        return F.array(F.try_divide(r["Open"], lc_), F.try_divide(r["High"], lc_),
+                       F.try_divide(r["Low"], lc_), F.try_divide(r["Close"], lc_),
+                       F.try_divide(r["Volume"], lv_), sent)
+
+    return one.where(F.col("_n") == window).select(
+        F.lit(-1).cast("long").alias("t"), F.element_at("_rows", 1)["_o"].alias("start_ts"),
+        lastr["_o"].alias("end_ts"), F.flatten(F.transform("_rows", norm)).alias("features"),
+        F.lit(None).cast("int").alias("label"))

@@ -60,6 +60,9 @@ def dedup_first(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
 # --- correlation matrices ----------------------------------------------------
 
 def _matrix_from_wide(wide: DataFrame, names: Sequence[str], method_col: str) -> DataFrame:
+    if not names:
+        return wide.sparkSession.createDataFrame(
+            [], f"series_a string, series_b string, {method_col} double")
     pairs = [(a, b) for a, b in combinations(names, 2)]
     aggs = [F.corr(F.col(f"`{a}`"), F.col(f"`{b}`")).alias(f"c{i}") for i, (a, b) in enumerate(pairs)]
     if not aggs:

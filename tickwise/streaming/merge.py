@@ -147,26 +147,18 @@ def state_merge(tagged: DataFrame, delay: str = DEFAULT_DELAY) -> DataFrame:
                       "Open", "High", "Low", "Close", "Volume", "Score", "news_count")
 
 
-def predict_each_batch(feature_path: str, prediction_path: str, model_path: str,
-                       history: str = "3 hours"):
+def predict_each_batch(feature_path: str, prediction_path: str, model_path: str):
     """A ``foreachBatch`` function. Each micro-batch of closed minutes is
     written to the feature table (one folder per epoch, overwritten on retry,
-    so replays are idempotent); then the latest sample is rebuilt from the
-    recent feature rows and scored with the saved model."""
+    so a replayed epoch is idempotent); then the newest 60-row window is
+    rebuilt from the feature table and scored with the saved model."""
     from tickwise.operators import model, samples
 
     def run(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         batch.write.mode("overwrite").parquet(f"{feature_path}/epoch={epoch_id}")
-        feats = spark.read.parquet(feature_path)
-        latest = feats.agg(F.max("Timestamp_Rounded")).scalar()
-        if latest is None:
-            return
-        recent = feats.where(F.col("Timestamp_Rounded") >=
-                             F.lit(latest) - F.expr(f"INTERVAL {history}"))
-        x = samples.model_input(recent)
-        s = samples.build_samples(x, targets=(0,), test_starts=0, window=samples.WINDOW)
-        last = s.orderBy(F.col("t").desc()).limit(1)
+        feats = spark.read.parquet(feature_path).drop("epoch")
+        last = samples.latest_sample(samples.model_input(feats))
         scored = model.score(model.load(model_path), last.withColumn("split", F.lit("live")))
         scored.withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite") \
             .parquet(f"{prediction_path}/epoch={epoch_id}")
