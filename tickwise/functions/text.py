@@ -38,6 +38,10 @@ WS = WS_CLASS + "+"
 EDGE_WS = f"^{WS}|{WS}$"
 # Punctuation trimmed from both ends of a token before a lexicon lookup.
 EDGE_PUNCT = r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$"
+# The same trim applied to every token of a text in one pass (Java regex):
+# a run of non-letter/digit/space characters touching a token edge.
+_NOT_WORD = r"[^\p{L}\p{N}" + WS_CLASS[1:-1] + "]+"
+TOKEN_EDGE_PUNCT = rf"(?<=^|{WS_CLASS}){_NOT_WORD}|{_NOT_WORD}(?=$|{WS_CLASS})"
 
 
 def _c(c) -> Column:

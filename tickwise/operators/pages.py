@@ -71,12 +71,15 @@ def first_element_text(html: Column, tag: str, cls: str) -> Column:
     return F.when(found, hit)
 
 
+def has_article(html: Column) -> Column:
+    return html.rlike(r"(?s)<article(?:\s[^>]*)?>.*?</article>")
+
+
 def article_text(html: Column) -> Column:
     """E5 + F5 + F6: body of the first ``<article>`` without tags; a page
     without one gives null (it is later dropped by the inner join)."""
     body = F.regexp_extract(html, ARTICLE_RE, 1)
-    has = html.rlike(r"(?s)<article(?:\s[^>]*)?>.*?</article>")
-    return F.when(has, tx.strip_brackets(tx.strip_tags(body)))
+    return F.when(has_article(html), tx.strip_brackets(tx.strip_tags(body)))
 
 
 def page_title(html: Column) -> Column:

@@ -9,15 +9,22 @@ equi-joins on the index instead of a whole-series window.
 
 from __future__ import annotations
 
+import sys
+
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# Python functions of this module run inside tasks: ship them by value so
+# workers need no installed copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 def _w(by: Sequence[str], order):
     order = list(order) if isinstance(order, (list, tuple)) else [order]
     return Window.partitionBy(*by).orderBy(*order) if by else Window.orderBy(*order)

@@ -30,14 +30,19 @@ def share_of_total(df: DataFrame, label: str, value: str | None = None,
                    digits: int = 1) -> DataFrame:
     """Percent of the total per label (``autopct`` with one decimal).
 
-    ``value=None`` counts rows. The grouped table has one row per label, so
-    the total is a scalar subquery over it.
+    ``value=None`` counts rows. The total is a window over the grouped table,
+    which has one row per label, so the input is aggregated only once.
     """
     agg = F.count(F.lit(1)) if value is None else F.sum(value)
-    g = df.where(F.col(label).isNotNull()).groupBy(label).agg(agg.cast("double").alias("amount"))
-    total = g.agg(F.sum("amount")).scalar()
-    return g.select(label, "amount",
-                    F.round(F.try_divide(F.col("amount") * 100.0, total), digits).alias("pct"))
+    # The null-label group is removed only after the window: a filter on a
+    # derived label placed before the aggregate would be pushed into the
+    # projection that computes the label and evaluate it twice.
+    g = df.groupBy(label).agg(agg.cast("double").alias("amount"))
+    known = F.col(label).isNotNull()
+    total = F.sum(F.when(known, F.col("amount"))).over(Window.partitionBy())
+    return (g.select(label, "amount",
+                     F.round(F.try_divide(F.col("amount") * 100.0, total), digits).alias("pct"))
+            .where(known))
 
 
 def top_k_with_other(df: DataFrame, label: str, value: str, k: int,

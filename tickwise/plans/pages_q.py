@@ -38,8 +38,8 @@ def q_page_ad_text(spark, sf_dir):
 def q_page_articles(spark, sf_dir):
     """E5 + J2 + A13: article bodies joined to page metadata by URL, one per URL."""
     p = tables.pages(spark, sf_dir)
-    bodies = p.select(F.col("url").alias("web_url"), P.article_text(F.col("html")).alias("content")) \
-        .where(F.col("content").isNotNull())
+    bodies = p.where(P.has_article(F.col("html"))) \
+        .select(F.col("url").alias("web_url"), P.article_text(F.col("html")).alias("content"))
     meta = p.select("page_id", F.col("url").alias("web_url"), P.page_title(F.col("html")).alias("headline"))
     j = bodies.join(meta, "web_url")
     return stats.dedup_first(j, "web_url", ["page_id"]).select("page_id", "web_url", "headline", "content")
