@@ -135,3 +135,36 @@ def test_csv_history_and_cache(spark, tmp_dir):
     schema = files.with_index_column(spark.createDataFrame([], "a int, b string").schema, "a0")
     back = files.read_csv(spark, f"{tmp_dir}/k1", spark.createDataFrame([], "a int, b string").schema)
     assert back.collect()[0].b == "x" and schema.fieldNames() == ["a0", "a", "b"]
+
+
+def test_csv_and_text_streams(spark, tmp_dir):
+    from tickwise import schemas
+    os.makedirs(f"{tmp_dir}/csv")
+    os.makedirs(f"{tmp_dir}/txt")
+    with open(f"{tmp_dir}/csv/a.csv", "w") as fh:
+        fh.write("1,10.0,11.0,9.0,10.5,3.0,00:01:02,2024-01-01\n2,bad,1,1,1,1,00:02:00,2024-01-01\n")
+    with open(f"{tmp_dir}/txt/a.json", "w") as fh:
+        fh.write('{"timestamp":"2024-01-01 00:00:01","msg_type":"news","data":["{\\"score\\":1.5}"]}\n')
+    c = sinks.run_to_parquet(sources.csv_stream(spark, f"{tmp_dir}/csv", schemas.PRICE_ROW,
+                                                max_files_per_trigger=1), "t-csv",
+                             checkpoint=f"{tmp_dir}/ck3", out=f"{tmp_dir}/o3").orderBy("id").collect()
+    assert [r.id for r in c] == [1, 2] and c[1].Open is None        # malformed field -> null
+    t = merge.typed_rows(merge.parse_events(
+        sources.text_stream(spark, f"{tmp_dir}/txt").withColumn("key", F.lit("k"))))
+    got = sinks.run_to_parquet(t, "t-txt", checkpoint=f"{tmp_dir}/ck4", out=f"{tmp_dir}/o4").collect()
+    assert got[0].score == 1.5 and got[0].is_news
+
+
+def test_lookup_rank_metrics_regression_topn(spark):
+    from tickwise.operators import filters, stats
+    df = spark.createDataFrame([(0, "btc", 1.0, 1.0), (1, "eth", 2.0, 3.0), (2, "xrp", 3.0, 2.0)],
+                               "rank int, name string, label double, prediction double")
+    assert filters.nth_by_rank(df, "rank", 1).first().name == "eth"
+    assert filters.lookup(df, "name", "xrp").first().rank == 2
+    m = stats.regression_metrics(df).first()
+    assert m.mae == pytest.approx(2 / 3) and m.mse == pytest.approx(2 / 3)
+    assert [r.name for r in df.orderBy("label").limit(2).collect()] == ["btc", "eth"]   # O4
+    x = samples.model_input(bars.minute_features_tagged(tables.tagged_ticks(spark, SF_SMALL)))
+    s = model.assemble(samples.build_samples(x, test_starts=50).where("split = 'train'"), label="y1")
+    fit = model.regressor("linear").fit(s)
+    assert "prediction" in fit.transform(s).columns

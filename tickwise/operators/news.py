@@ -34,8 +34,10 @@ DEMO_LEXICON = {
 }
 
 # Lexicons up to this size are looked up inside the projection (a literal
-# map, no join, no shuffle); larger ones go through a broadcast join.
+# map, no join, no shuffle); up to BROADCAST_MAX rows they are broadcast to a
+# token join; larger ones are joined with a shuffle (AQE splits hot words).
 MAP_LOOKUP_MAX = 1000
+BROADCAST_MAX = 2_000_000
 
 
 def clean_content(df: DataFrame, content: str = "content",
@@ -118,6 +120,8 @@ def _with_sentiment_join(df: DataFrame, text: str, lexicon: DataFrame, key: str)
     else a shuffle join), partial sum per document, joined back by key."""
     toks = df.select(key, F.explode(_lexicon_tokens(F.col(text))).alias("word"))
     lex = lexicon.select("word", F.col("valence").cast("double"))
+    if lexicon.limit(BROADCAST_MAX + 1).count() <= BROADCAST_MAX:
+        lex = F.broadcast(lex)
     sums = (toks.join(lex, "word").groupBy(key).agg(F.sum("valence").alias("_s")))
     out = df.join(sums, key, "left")
     s = F.when(F.col(text).isNotNull(), F.coalesce(F.col("_s"), F.lit(0.0)))

@@ -113,8 +113,11 @@ def rows_at_max(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     """Every row attaining the maximum (ties kept), per series or global."""
     if not by:
         return df.where(F.col(value) == df.agg(F.max(value)).scalar())
-    w = Window.partitionBy(*by)
-    return df.withColumn("_m", F.max(value).over(w)).where(F.col(value) == F.col("_m")).drop("_m")
+    # Per-key maxima by a partial aggregate, joined back on (key, max): no
+    # window holds a hot key's rows in one task; AQE broadcasts the maxima
+    # when they turn out small and splits skewed join partitions otherwise.
+    m = df.groupBy(*by).agg(F.max(value).alias("_m"))
+    return df.join(m, [*by], "inner").where(F.col(value) == F.col("_m")).drop("_m")
 
 
 def latest_per_key(df: DataFrame, key: str, order: str, fields: Sequence[str]) -> DataFrame:

@@ -57,9 +57,17 @@ def top_k_with_other(df: DataFrame, label: str, value: str, k: int,
 
 
 def dedup_first(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """One row per key, the first by ``order`` (deterministic)."""
-    w = Window.partitionBy(key).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+    """One row per key, the first by ``order`` (deterministic when
+    ``order`` is unique within a key).
+
+    ``min_by`` is a partial aggregate: each task keeps one candidate per key
+    before the shuffle, so a key repeated across a third of the table costs
+    one row per task, not one sorted group in one task.
+    """
+    rest = [c for c in df.columns if c != key]
+    best = F.min_by(F.struct(*[F.col(f"`{c}`") for c in rest]),
+                    F.struct(*[F.col(f"`{c}`") for c in order]))
+    return df.groupBy(key).agg(best.alias("_first")).select(key, "_first.*").select(*df.columns)
 
 
 # --- correlation matrices ----------------------------------------------------
