@@ -9,6 +9,7 @@ from tickwise.functions import numeric as num
 from tickwise.functions import timefmt as tf
 from tickwise.operators import filters, series as S, stats
 from tickwise.plans.common import finish
+from tickwise.session import materialize
 from tickwise.sources import tables
 
 # Fixed parameters of the registered queries.
@@ -82,18 +83,26 @@ def _pct(spark, sf_dir):
     return S.pct_change(h, "close", "date", ["coin"], out="pct")
 
 
+def _aligned(spark, sf_dir):
+    """Date-aligned pct series (small), materialised for the matrix jobs."""
+    return materialize(S.align(_pct(spark, sf_dir).select("coin", "date", "pct"), "date", "coin", "pct"))
+
+
 def _aligned_indexed(spark, sf_dir):
+    """Date-aligned pct series with a dense date index, materialised once:
+    the lag search, the shift and the matrices all read this small table
+    instead of re-aggregating the raw orders."""
     a = S.align(_pct(spark, sf_dir).select("coin", "date", "pct"), "date", "coin", "pct")
     days = a.select("date").distinct()
     idx = S.with_row_index(days, ["date"], F.year("date"), total="n")
-    return a.join(idx, "date")
+    return materialize(a.join(idx, "date"))
 
 
 def _rolled(spark, sf_dir):
     ix = _aligned_indexed(spark, sf_dir)
     lags = S.best_lag(ix, "coin", "pct", REFERENCE_COIN)
     n = ix.select(F.max("n")).scalar()
-    return S.roll(ix.select("coin", "idx", "pct"), lags, "coin", n)
+    return materialize(S.roll(ix.select("coin", "idx", "pct"), lags, "coin", n))
 
 
 def q_history_features(spark, sf_dir):
@@ -121,18 +130,15 @@ def q_pct_last10(spark, sf_dir):
 
 
 def q_corr_pearson(spark, sf_dir):
-    a = S.align(_pct(spark, sf_dir).select("coin", "date", "pct"), "date", "coin", "pct")
-    return finish(stats.pearson_matrix(a, "date", "coin", "pct"))
+    return finish(stats.pearson_matrix(_aligned(spark, sf_dir), "date", "coin", "pct"))
 
 
 def q_corr_spearman(spark, sf_dir):
-    a = S.align(_pct(spark, sf_dir).select("coin", "date", "pct"), "date", "coin", "pct")
-    return finish(stats.spearman_matrix(a, "date", "coin", "pct"))
+    return finish(stats.spearman_matrix(_aligned(spark, sf_dir), "date", "coin", "pct"))
 
 
 def q_corr_kendall(spark, sf_dir):
-    a = S.align(_pct(spark, sf_dir).select("coin", "date", "pct"), "date", "coin", "pct")
-    return finish(stats.kendall_matrix(a, "date", "coin", "pct"))
+    return finish(stats.kendall_matrix(_aligned(spark, sf_dir), "date", "coin", "pct"))
 
 
 def q_xcorr_lag(spark, sf_dir):

@@ -64,3 +64,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediates."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def materialize(df):
+    """Cut lineage of a small intermediate that several jobs consume: a
+    reliable checkpoint in the shared checkpoint folder (survives executor
+    loss; never a local-only copy)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
