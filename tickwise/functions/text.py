@@ -30,18 +30,18 @@ CRYPTO_WEIGHT = 6.0
 ECONOMY_WEIGHT = 0.08
 NO_HIT_WEIGHT = 0.002
 
-# Whitespace exactly as Python's str.split() sees it, written so that both
-# Java regex (Spark) and RE2 (the SQL oracle) read the class the same way.
-WS_CLASS = (r"[\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-            r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
+# Whitespace exactly as Python's str.split() sees it: every code point for
+# which str.isspace() holds (derived by rule, not listed by hand).
+WS_CHARS = "".join(ch for ch in map(chr, range(0x110000)) if ch.isspace())
+# The same set as a regex class both Java (Spark) and RE2 (the SQL oracle) read.
+WS_CLASS = "[" + "".join(f"\\x{{{ord(ch):X}}}" for ch in WS_CHARS) + "]"
 WS = WS_CLASS + "+"
 EDGE_WS = f"^{WS}|{WS}$"
 # Punctuation trimmed from both ends of a token before a lexicon lookup.
 EDGE_PUNCT = r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$"
-# The same trim applied to every token of a text in one pass (Java regex):
-# a run of non-letter/digit/space characters touching a token edge.
-_NOT_WORD = r"[^\p{L}\p{N}" + WS_CLASS[1:-1] + "]+"
-TOKEN_EDGE_PUNCT = rf"(?<=^|{WS_CLASS}){_NOT_WORD}|{_NOT_WORD}(?=$|{WS_CLASS})"
+# The same trim applied to every token of a space-normalised text in one
+# regex pass: a run of non-letter/digit characters touching a token edge.
+TOKEN_EDGE_PUNCT = r"(?<![^ ])[^\p{L}\p{N} ]+|[^\p{L}\p{N} ]+(?![^ ])"
 
 
 def _c(c) -> Column:
@@ -53,10 +53,14 @@ def lower(c) -> Column:
     return F.lower(_c(c))
 
 
+def normalize_ws(c) -> Column:
+    """Every whitespace character becomes a plain space (a character map, no regex)."""
+    return F.translate(_c(c), WS_CHARS, " " * len(WS_CHARS))
+
+
 def tokens(c) -> Column:
-    """Whitespace tokens of a text (``str.split()``): no empty tokens."""
-    body = F.regexp_replace(_c(c), EDGE_WS, "")
-    return F.filter(F.split(body, WS), lambda w: w != F.lit(""))
+    """Whitespace tokens of a text, as ``str.split()`` gives them."""
+    return F.array_remove(F.split(normalize_ws(c), " "), "")
 
 
 def remove_stop_words(c, stop_words=ENGLISH_STOP_WORDS) -> Column:

@@ -70,7 +70,7 @@ def with_relevance(df: DataFrame, content: str = "content", null_as_hit: bool =
 def _lexicon_tokens(text: Column) -> Column:
     """Whitespace tokens with leading/trailing punctuation removed, using one
     regex pass over the whole text instead of one regex call per token."""
-    return tx.tokens(F.regexp_replace(text, tx.TOKEN_EDGE_PUNCT, ""))
+    return tx.tokens(F.regexp_replace(tx.normalize_ws(text), tx.TOKEN_EDGE_PUNCT, ""))
 
 
 def valence_sum_map(text: Column, lexicon: Mapping[str, float]) -> Column:

@@ -53,7 +53,7 @@ QUERIES = {
 }
 
 _ANCHORS = f"""a AS (
-  SELECT page_id, url, unnest(range(len(ats))) AS pos, unnest(ats) AS attrs, unnest(inns) AS inner_html
+  SELECT page_id, url, CAST(unnest(range(len(ats))) AS INTEGER) AS pos, unnest(ats) AS attrs, unnest(inns) AS inner_html
   FROM (SELECT page_id, url, regexp_extract_all(html, {_lit(P.ANCHOR_RE)}, 1) AS ats,
                regexp_extract_all(html, {_lit(P.ANCHOR_RE)}, 2) AS inns FROM pages) p),
 links AS (

@@ -222,7 +222,7 @@ ORACLE = {
 SELECT coin, date, round(close, 6) AS close, volume,
   round((high - low) / nullif(open, 0), 6) AS volatility,
   round(close / nullif(open, 0), 6) AS day_diff,
-  dayofyear(date) AS doy, month(date) AS month,
+  CAST(dayofyear(date) AS INTEGER) AS doy, CAST(month(date) AS INTEGER) AS month,
   CASE WHEN date < DATE '{SPLIT_DATE}' THEN 'before' ELSE 'after' END AS period
 FROM hist""",
     "close_diff": f"""WITH {HIST}
