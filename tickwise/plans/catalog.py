@@ -7,10 +7,21 @@ from tickwise.plans import bars_q, news_q, pages_q, samples_q, series_q, streams
 _MODULES = [bars_q, series_q, news_q, pages_q, samples_q, streams_q]
 
 
+def _utc(fn):
+    """Bucketing of zone-free timestamps assumes a UTC session: set it."""
+    def run(spark, sf_dir):
+        if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return fn(spark, sf_dir)
+    run.__name__ = getattr(fn, "__name__", "query")
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def queries():
     out = {}
     for m in _MODULES:
-        out.update(m.QUERIES)
+        out.update({k: _utc(v) for k, v in m.QUERIES.items()})
     return out
 
 

@@ -52,7 +52,8 @@ def q_news_distribution(spark, sf_dir):
 def q_sentiment_shares(spark, sf_dir):
     """A11 + O2: share of articles per sentiment class, one decimal."""
     s = _scored(spark, sf_dir)
-    return finish(stats.share_of_total(s, "SENTIMENT"))
+    # O2: ascending by count, then label, as the chart input (five rows).
+    return finish(stats.share_of_total(s, "SENTIMENT")).orderBy("amount", "SENTIMENT")
 
 
 def q_relevance_null_as_hit(spark, sf_dir):

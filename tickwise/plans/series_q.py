@@ -109,7 +109,7 @@ def q_history_features(spark, sf_dir):
     """P12/P13 ingest + F15 + F17 + P16 over every daily history."""
     h = tables.daily_history(spark, sf_dir)
     return finish(h.select(
-        "coin", "date", "close", "volume",
+        "coin", "date", "close", "volume", num.billions("market_cap").alias("market_cap_bn"),
         num.volatility().alias("volatility"), num.day_ratio().alias("day_diff"),
         tf.day_of_year("date").alias("doy"), tf.month("date").alias("month"),
         filters.split_label("date", SPLIT_DATE).alias("period")))
@@ -186,7 +186,8 @@ def q_market_share(spark, sf_dir):
     """A11 + A12 + P6 + P4 + U2: share of market cap on one day, top-k + other."""
     h = tables.daily_history(spark, sf_dir).where(F.col("date") == F.lit(SHARE_DATE).cast("date"))
     top = stats.top_k_with_other(h, "coin", "market_cap", TOP_K)
-    return finish(stats.share_of_total(top, "coin", "amount"))
+    # O3: largest share first, ties by label (a handful of rows).
+    return finish(stats.share_of_total(top, "coin", "amount")).orderBy(F.desc("amount"), F.desc("coin"))
 
 
 def q_close_extremes(spark, sf_dir):
@@ -219,7 +220,7 @@ _A = f"WITH {HIST}, {PCT}, {ALIGNED}"
 _L = f"WITH {HIST}, {PCT}, {ALIGNED}, {LAGS}"
 ORACLE = {
     "history_features": f"""WITH {HIST}
-SELECT coin, date, round(close, 6) AS close, volume,
+SELECT coin, date, round(close, 6) AS close, volume, round(market_cap / 1e9, 6) AS market_cap_bn,
   round((high - low) / nullif(open, 0), 6) AS volatility,
   round(close / nullif(open, 0), 6) AS day_diff,
   CAST(dayofyear(date) AS INTEGER) AS doy, CAST(month(date) AS INTEGER) AS month,

@@ -65,8 +65,15 @@ def freshness_split(spark: SparkSession, path: str, max_age_days: int,
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
-                partition_by: Sequence[str] | None = None) -> None:
-    """K1: write a result (CSV gets a header row; Parquet is the default)."""
+                partition_by: Sequence[str] | None = None,
+                sort_by: Sequence[str] | None = None) -> None:
+    """K1 (+ O1): write a result (CSV gets a header row; Parquet is the default).
+
+    ``sort_by`` writes the files in that global order (a range-partitioned
+    sort, e.g. articles by publication time before a CSV export).
+    """
+    if sort_by:
+        df = df.orderBy(*sort_by)
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
