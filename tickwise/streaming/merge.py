@@ -78,14 +78,11 @@ def window_merge(tagged: DataFrame, delay: str = DEFAULT_DELAY) -> DataFrame:
                       "Open", "High", "Low", "Close", "Volume", "Score", "news_count")
 
 
-STATE_SCHEMA = T.StructType([
-    T.StructField("n_price", T.LongType()), T.StructField("n_open", T.LongType()),
-    T.StructField("sum_open", T.DoubleType()), T.StructField("max_high", T.DoubleType()),
-    T.StructField("min_low", T.DoubleType()), T.StructField("n_close", T.LongType()),
-    T.StructField("sum_close", T.DoubleType()), T.StructField("sum_volume", T.DoubleType()),
-    T.StructField("n_news", T.LongType()), T.StructField("sum_score", T.DoubleType()),
-    T.StructField("max_ms", T.LongType()),
-])
+# State per HOUR key: one packed float64 row per open minute of that hour,
+# columns in this order. Bounded (at most 60 rows x 12 numbers per key).
+_COLS = ("minute_s", "n_price", "n_open", "sum_open", "max_high", "min_low", "n_close",
+         "sum_close", "sum_volume", "n_news", "sum_score", "max_ms")
+STATE_SCHEMA = T.StructType([T.StructField("minutes", T.BinaryType())])
 OUT_SCHEMA = T.StructType([
     T.StructField("minute_s", T.LongType()),
     *[T.StructField(c, T.DoubleType()) for c in ("Open", "High", "Low", "Close", "Volume", "Score")],
@@ -93,69 +90,92 @@ OUT_SCHEMA = T.StructType([
 ])
 
 
-def _fold(acc: list, pdf: pd.DataFrame) -> list:
-    """Add one chunk of a minute's rows to the running state (numpy, no copies)."""
+def _chunk_minutes(pdf: pd.DataFrame) -> np.ndarray:
+    """Per-minute partial aggregates of one chunk of rows (vectorised)."""
     isn = pdf["is_news"].to_numpy(dtype=bool)
     p = ~isn
-    o = pdf["Open"].to_numpy(dtype="float64")[p]
-    h = pdf["High"].to_numpy(dtype="float64")[p]
-    lo = pdf["Low"].to_numpy(dtype="float64")[p]
-    c = pdf["Close"].to_numpy(dtype="float64")[p]
-    v = pdf["Volume"].to_numpy(dtype="float64")[p]
-    sc = pdf["score"].to_numpy(dtype="float64")[isn]
-    ok_o, ok_c, ok_s = ~np.isnan(o), ~np.isnan(c), ~np.isnan(sc)
-    hi = np.nanmax(h) if h.size and not np.isnan(h).all() else None
-    mn = np.nanmin(lo) if lo.size and not np.isnan(lo).all() else None
-    if hi is not None and acc[3] is not None:
-        hi = max(hi, acc[3])
-    if mn is not None and acc[4] is not None:
-        mn = min(mn, acc[4])
-    return [acc[0] + int(p.sum()), acc[1] + int(ok_o.sum()), acc[2] + float(o[ok_o].sum()),
-            acc[3] if hi is None else float(hi), acc[4] if mn is None else float(mn),
-            acc[5] + int(ok_c.sum()), acc[6] + float(c[ok_c].sum()), acc[7] + float(np.nansum(v)),
-            acc[8] + int(ok_s.sum()), acc[9] + float(sc[ok_s].sum()),
-            max(acc[10], int(pdf["ms"].max()))]
-
-
-def _final_row(minute_s: int, st: list) -> pd.DataFrame:
-    n_price, n_open, s_open, hi, lo, n_close, s_close, s_vol, n_news, s_score, _ = st
-    return pd.DataFrame({
-        "minute_s": np.array([minute_s], dtype="int64"),
-        "Open": np.array([s_open / n_open if n_open else np.nan]),
-        "High": np.array([np.nan if hi is None else hi]),
-        "Low": np.array([np.nan if lo is None else lo]),
-        "Close": np.array([s_close / n_close if n_close else np.nan]),
-        "Volume": np.array([s_vol if n_price else np.nan]),
-        "Score": np.array([s_score]),
-        "news_count": np.array([n_news], dtype="int64")})
-
-
-def _update_minute(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState):
-    minute_s = int(key[0])
-    if state.hasTimedOut:
-        st = list(state.get)
-        state.remove()
-        yield _final_row(minute_s, st)
+    f = pd.DataFrame({
+        "minute_s": pdf["minute_s"].to_numpy(dtype="int64"),
+        "n_price": p.astype("float64"),
+        "o": np.where(p, pdf["Open"].to_numpy(dtype="float64"), np.nan),
+        "h": np.where(p, pdf["High"].to_numpy(dtype="float64"), np.nan),
+        "l": np.where(p, pdf["Low"].to_numpy(dtype="float64"), np.nan),
+        "c": np.where(p, pdf["Close"].to_numpy(dtype="float64"), np.nan),
+        "v": np.where(p, pdf["Volume"].to_numpy(dtype="float64"), np.nan),
+        "s": np.where(isn, pdf["score"].to_numpy(dtype="float64"), np.nan),
+        "ms": pdf["ms"].to_numpy(dtype="float64"),
+    })
+    g = f.groupby("minute_s", sort=True)
+    a = pd.DataFrame({
+        "n_price": g["n_price"].sum(), "n_open": g["o"].count(), "sum_open": g["o"].sum(),
+        "max_high": g["h"].max(), "min_low": g["l"].min(), "n_close": g["c"].count(),
+        "sum_close": g["c"].sum(), "sum_volume": g["v"].sum(), "n_news": g["s"].count(),
+        "sum_score": g["s"].sum(), "max_ms": g["ms"].max()})
+    return np.column_stack([a.index.to_numpy(dtype="float64"), a.to_numpy(dtype="float64")])
+
+
+def _combine(rows: np.ndarray) -> np.ndarray:
+    """Merge rows that share a minute (state + new chunks)."""
+    f = pd.DataFrame(rows, columns=_COLS)
+    g = f.groupby("minute_s", sort=True)
+    sums = g[["n_price", "n_open", "sum_open", "n_close", "sum_close", "sum_volume",
+              "n_news", "sum_score"]].sum()
+    out = pd.DataFrame({"n_price": sums["n_price"], "n_open": sums["n_open"],
+                        "sum_open": sums["sum_open"], "max_high": g["max_high"].max(),
+                        "min_low": g["min_low"].min(), "n_close": sums["n_close"],
+                        "sum_close": sums["sum_close"], "sum_volume": sums["sum_volume"],
+                        "n_news": sums["n_news"], "sum_score": sums["sum_score"],
+                        "max_ms": g["max_ms"].max()})
+    return np.column_stack([out.index.to_numpy(dtype="float64"), out.to_numpy(dtype="float64")])
+
+
+def _final_rows(m: np.ndarray) -> pd.DataFrame:
+    n_price, n_open, n_close = m[:, 1], m[:, 2], m[:, 6]
+    with np.errstate(invalid="ignore", divide="ignore"):
+        return pd.DataFrame({
+            "minute_s": m[:, 0].astype("int64"),
+            "Open": np.where(n_open > 0, m[:, 3] / np.where(n_open > 0, n_open, 1), np.nan),
+            "High": m[:, 4], "Low": m[:, 5],
+            "Close": np.where(n_close > 0, m[:, 7] / np.where(n_close > 0, n_close, 1), np.nan),
+            "Volume": np.where(n_price > 0, m[:, 8], np.nan),
+            "Score": m[:, 10], "news_count": m[:, 9].astype("int64")})
+
+
+def _update_hour(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState):
+    """Fold new rows into the hour's open minutes; emit every minute whose own
+    timeout (latest event + 30 min) the watermark has passed, and re-arm the
+    timer for the earliest remaining one."""
+    parts = [np.frombuffer(state.get[0], dtype="float64").reshape(-1, len(_COLS))] \
+        if state.exists else []
+    if not state.hasTimedOut:
+        parts += [_chunk_minutes(pdf) for pdf in pdfs if len(pdf)]
+    if not parts:
         return
-    acc = list(state.get) if state.exists else [0, 0, 0.0, None, None, 0, 0.0, 0.0, 0, 0.0, 0]
-    for pdf in pdfs:
-        if len(pdf):
-            acc = _fold(acc, pdf)
-    state.update(tuple(acc))
-    timeout = acc[10] + STATE_TIMEOUT_MS
+    m = _combine(np.vstack(parts)) if len(parts) > 1 else parts[0]
     wm = state.getCurrentWatermarkMs()
-    state.setTimeoutTimestamp(max(timeout, wm + 1) if wm and wm > 0 else timeout)
-    # Nothing is emitted until the minute times out (append mode).
+    due = m[:, 11] + STATE_TIMEOUT_MS < wm if wm and wm > 0 else np.zeros(len(m), dtype=bool)
+    keep = m[~due]
+    if len(keep):
+        state.update((keep.astype("float64").tobytes(),))
+        nxt = int(keep[:, 11].min()) + STATE_TIMEOUT_MS
+        state.setTimeoutTimestamp(max(nxt, wm + 1) if wm and wm > 0 else nxt)
+    else:
+        state.remove()
+    if due.any():
+        yield _final_rows(m[due])
 
 
 def state_merge(tagged: DataFrame, delay: str = DEFAULT_DELAY) -> DataFrame:
-    """T5: keyed-state form of the minute merge with a 30-minute event-time timeout."""
+    """T5: keyed-state form of the minute merge with a 30-minute event-time
+    timeout per minute. State is keyed by hour (per-minute aggregates inside),
+    so the per-key overhead is paid once per hour, not once per minute."""
     e = event_time(tagged).withWatermark("ets", delay)
-    e = e.select("ets", F.unix_seconds(F.date_trunc("minute", "ets")).alias("minute_s"),
+    e = e.select("ets", F.unix_seconds(F.date_trunc("hour", "ets")).alias("hour_s"),
+                 F.unix_seconds(F.date_trunc("minute", "ets")).alias("minute_s"),
                  F.unix_millis("ets").alias("ms"), "is_news",
                  "Open", "High", "Low", "Close", "Volume", "score")
-    out = e.groupBy("minute_s").applyInPandasWithState(
-        _update_minute, OUT_SCHEMA, STATE_SCHEMA, "append", "EventTimeTimeout")
+    out = e.groupBy("hour_s").applyInPandasWithState(
+        _update_hour, OUT_SCHEMA, STATE_SCHEMA, "append", "EventTimeTimeout")
     return out.select(tf.ntz(F.timestamp_seconds("minute_s")).alias("Timestamp_Rounded"),
                       "Open", "High", "Low", "Close", "Volume", "Score", "news_count")
 
