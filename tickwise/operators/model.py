@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tickwise.functions import numeric as num
 from tickwise.operators import stats
+from tickwise.session import materialize
 
 VALIDATION_SHARE = 0.1
 # Hidden layer sizes of the dense classifier variant.
@@ -67,10 +68,13 @@ def train(samples: DataFrame, kind: str = "logistic") -> tuple[PipelineModel, Da
     # Iterative training passes over the same rows: keep them materialised
     # (recomputable from lineage if an executor is lost).
     tr = assemble(samples.where(F.col("split") == "train")).persist()
-    fit_part, val_part = time_split(tr)
-    model = classifier(kind).fit(fit_part)
-    acc = stats.binary_metrics(model.transform(val_part).withColumn(
-        "prediction", F.col("prediction").cast("int")))
+    try:
+        fit_part, val_part = time_split(tr)
+        model = classifier(kind).fit(fit_part)
+        acc = materialize(stats.binary_metrics(model.transform(val_part).withColumn(
+            "prediction", F.col("prediction").cast("int"))))
+    finally:
+        tr.unpersist()
     return model, acc
 
 
