@@ -37,7 +37,14 @@ def q_sample_split_counts(spark, sf_dir):
                                          F.min("t").alias("first_t"), F.max("t").alias("last_t")))
 
 
+def q_live_sample(spark, sf_dir):
+    """T9 input / prediction sample: the newest 60 complete minutes, normalised."""
+    return finish(samples.latest_sample(_input(spark, sf_dir)).select(
+        "start_ts", "end_ts", "features"))
+
+
 QUERIES = {
+    "live_sample": q_live_sample,
     "sample_targets": q_sample_targets,
     "sample_features": q_sample_features,
     "sample_split_counts": q_sample_split_counts,
@@ -68,6 +75,19 @@ def _div(a: str, b: str) -> str:
 
 _Y = ", ".join(f"round({_div(f'c{n}', 'lc')}, 6) AS y{n}" for n in samples.TARGETS)
 ORACLE = {
+    "live_sample": f"""WITH minutes AS ({MINUTE_FEATURES_RAW_SQL}),
+clean AS (SELECT Timestamp_Rounded AS ts, Open, High, Low, Close, Volume, Score AS Sentiment_Value
+  FROM minutes WHERE Timestamp_Rounded IS NOT NULL AND Open IS NOT NULL AND High IS NOT NULL
+  AND Low IS NOT NULL AND Close IS NOT NULL AND Volume IS NOT NULL AND Score IS NOT NULL
+  AND news_count IS NOT NULL),
+last AS (SELECT * FROM clean ORDER BY ts DESC LIMIT {samples.WINDOW}),
+agg AS (SELECT min(ts) AS start_ts, max(ts) AS end_ts, count(*) AS n,
+  list([Open, High, Low, Close, Volume, Sentiment_Value] ORDER BY ts) AS rws,
+  arg_max(Close, ts) AS lc, arg_max(Volume, ts) AS lv FROM last)
+SELECT start_ts, end_ts, flatten(list_transform(rws, lambda r: [
+  round({_div('r[1]', 'lc')}, 6), round({_div('r[2]', 'lc')}, 6), round({_div('r[3]', 'lc')}, 6),
+  round({_div('r[4]', 'lc')}, 6), round({_div('r[5]', 'lv')}, 6), round({_div('r[6]', 'lv')}, 6)])) AS features
+FROM agg WHERE n = {samples.WINDOW}""",
     "sample_targets": f"""WITH x AS ({_samples_sql(samples.TEST_STARTS)})
 SELECT i AS t, start_ts, end_ts, split, {_Y},
   CAST({_div('c1', 'lc')} > 1 AS INTEGER) AS label FROM x""",
