@@ -47,6 +47,8 @@ def test_archive_flatten(spark, tmp_dir):
     got = news.flatten_archive(raw, keep=9).orderBy("web_url").collect()
     # first 9 docs; World or U.S.; document_type article (i % 3 != 0 -> i in 1,2,4,5,7,8)
     assert [r.web_url for r in got] == ["u2", "u5", "u8"]
+    every = news.flatten_archive(raw).collect()
+    assert sorted(r.web_url for r in every) == ["u11", "u2", "u5", "u8"]
     assert got[0].author == "Ann Byrd" and got[0].headline == "h2"
 
 

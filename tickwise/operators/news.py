@@ -142,18 +142,20 @@ def write_sections(df: DataFrame, path: str, col: str = "section_name",
      .write.mode("overwrite").partitionBy("section").parquet(path))
 
 
-def flatten_archive(raw: DataFrame, keep: int = 6000,
+def flatten_archive(raw: DataFrame, keep: int | None = None,
                     sections: Sequence[str] = ARCHIVE_SECTIONS,
                     raw_byline: bool = False) -> DataFrame:
     """S3 + P8 + F4 + F27 + P6: monthly archive -> article metadata rows.
 
-    ``raw`` has one row per archive response (``response.docs`` array). The
-    first ``keep`` documents of each response are kept (the original read a
-    fixed number), then the section IN-list and ``document_type='article'``
-    filters apply, bylines lose their ``By`` prefix and the headline comes
-    from ``headline.main``.
+    ``raw`` has one row per archive response (``response.docs`` array). All
+    documents are kept by default; ``keep=6000`` reproduces the original,
+    which read only the first 6,000 of each response. Then the section
+    IN-list and ``document_type='article'`` filters apply, bylines lose their
+    ``By`` prefix and the headline comes from ``headline.main``.
     """
-    d = raw.select(F.posexplode("response.docs").alias("pos", "d")).where(F.col("pos") < keep)
+    d = raw.select(F.posexplode("response.docs").alias("pos", "d"))
+    if keep is not None:
+        d = d.where(F.col("pos") < keep)
     return (d.where(F.col("d.section_name").isin(*sections))
             .select(F.col("d.headline.main").alias("headline"),
                     F.col("d.document_type").alias("document_type"),
