@@ -82,7 +82,9 @@ def _tau_b(x, y):
     return s / math.sqrt(nx * ny)
 
 
-def test_correlation_matrices_with_ties(spark):
+@pytest.mark.parametrize("buckets", [256, 4])
+def test_correlation_matrices_with_ties(spark, monkeypatch, buckets):
+    monkeypatch.setattr(stats, "RANK_BUCKETS", buckets)
     rng = np.random.default_rng(3)
     n = 120
     data = {"a": rng.integers(0, 6, n).astype(float),          # heavy ties

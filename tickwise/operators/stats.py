@@ -99,80 +99,132 @@ def pearson_matrix(long: DataFrame, key: str, series: str, value: str,
     return _matrix_from_wide(S.wide(long, key, series, value, names), names, "pearson")
 
 
+# Approximate-quantile buckets per group for rank windows and for Kendall's
+# running counts: windows never hold a whole series.
+RANK_BUCKETS = 256
+
+
+def value_ranks(df: DataFrame, by: Sequence[str], value: str,
+                buckets: int | None = None) -> DataFrame:
+    """One row per ``(by, distinct value)``: ``ties`` (rows with that value),
+    ``n_below`` (rows with a smaller value) and ``dense`` (0-based dense rank).
+
+    Works on distinct values (a value repeated across a third of the rows is
+    one row after a partial aggregate). Distinct values are cut into
+    approximate-quantile buckets; per-bucket offsets come from a table of
+    ``groups x buckets`` rows, and the windows run inside one bucket.
+    """
+    by = list(by)
+    buckets = buckets or RANK_BUCKETS
+    c = (df.where(F.col(value).isNotNull()).groupBy(*by, value)
+         .agg(F.count(F.lit(1)).alias("ties")))
+    probs = [k / buckets for k in range(1, buckets)]
+    q = c.groupBy(*by).agg(F.percentile_approx(value, probs, 10000).alias("_q"))
+    c = c.join(q, by).withColumn("_b", F.size(F.filter("_q", lambda x: x < F.col(value)))).drop("_q")
+    per = c.groupBy(*by, "_b").agg(F.sum("ties").alias("_bt"), F.count(F.lit(1)).alias("_bd"))
+    before = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select(*by, "_b", F.coalesce(F.sum("_bt").over(before), F.lit(0)).alias("_ro"),
+                     F.coalesce(F.sum("_bd").over(before), F.lit(0)).alias("_do"))
+    c = c.join(per, [*by, "_b"])
+    w = Window.partitionBy(*by, "_b").orderBy(value)
+    below = F.coalesce(F.sum("ties").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return c.select(*by, value, "ties", (F.col("_ro") + below).alias("n_below"),
+                    (F.col("_do") + F.row_number().over(w) - 1).alias("dense"))
+
+
 def average_rank(long: DataFrame, series: str, value: str, out: str = "rank") -> DataFrame:
     """Average rank (ties share the mean of their positions), 1-based, per series."""
-    w = Window.partitionBy(series).orderBy(value)
-    ties = Window.partitionBy(series, value)
-    return long.withColumn(out, F.rank().over(w) + (F.count(F.lit(1)).over(ties) - 1) / 2.0)
+    r = value_ranks(long, [series], value)
+    r = r.select(series, value, (F.col("n_below") + (F.col("ties") + 1) / 2.0).alias(out))
+    return long.where(F.col(value).isNotNull()).join(r, [series, value])
 
 
 def spearman_matrix(long: DataFrame, key: str, series: str, value: str,
                     names: Sequence[str] | None = None) -> DataFrame:
     """Pearson of average ranks."""
     names = names or S.series_names(long, series)
-    ranked = average_rank(long.where(F.col(value).isNotNull()), series, value, "_r")
-    m = _matrix_from_wide(S.wide(ranked, key, series, "_r", names), names, "spearman")
-    return m
+    ranked = average_rank(long, series, value, "_r")
+    return _matrix_from_wide(S.wide(ranked, key, series, "_r", names), names, "spearman")
+
+
+def _ties(xy: DataFrame, cols: list[str], name: str) -> DataFrame:
+    t = xy.groupBy("pair", *cols).agg(F.count(F.lit(1)).alias("t"))
+    return t.groupBy("pair").agg(F.sum(F.col("t") * (F.col("t") - 1) / 2).alias(name),
+                                 F.sum("t").alias("n"))
 
 
 def kendall_matrix(long: DataFrame, key: str, series: str, value: str,
                    names: Sequence[str] | None = None) -> DataFrame:
     """Kendall tau-b for every ordered pair of series.
 
-    Per pair with rows (x, y): ``D`` = strictly discordant pairs is the number
-    of inversions of ``ry = dense_rank(y)`` after ordering by ``(x, ry)``.
-    At bit level ``l`` an inversion is a row with bit ``l`` = 1 before a row
-    with bit ``l`` = 0 and the same higher bits; a running count per
-    ``(pair, l, prefix)`` finds them all with O(n log n) rows. Tie counts come
-    from plain group-bys. Then ``tau_b = (C - D) / sqrt((n0 - Tx)(n0 - Ty))``
-    with ``C = n0 - Tx - Ty + Txy - D``.
+    Per pair with rows (x, y), the strictly discordant pairs are
+    ``D = sum_j #{i : x_i < x_j and y_i > y_j}``. With ``ry`` the dense rank
+    of y, such a pair first differs at some bit ``l`` of ``ry`` where i has 1
+    and j has 0 and the higher bits (the prefix) agree. So per bit level and
+    prefix, D adds ``c0(x) * (ones at smaller x)``, a running count over
+    distinct x. Rows are first reduced to distinct ``(x, ry)`` with counts
+    (hot values collapse), and the running count is a prefix sum over
+    approximate-quantile blocks of the distinct x values, so no window holds
+    a whole pair.
+    O(n log n) rows instead of n^2 row pairs. Then
+    ``tau_b = (C - D) / sqrt((n0 - Tx)(n0 - Ty))`` with
+    ``C = n0 - Tx - Ty + Txy - D`` and tie counts from group-bys.
     """
+    spark = long.sparkSession
     names = names or S.series_names(long, series)
-    wide = S.wide(long, key, series, value, names)
     pairs = list(combinations(names, 2))
+    schema = "series_a string, series_b string, kendall double"
+    diag = spark.createDataFrame([(a, a, 1.0) for a in names], schema)
     if not pairs:
-        return long.sparkSession.createDataFrame(
-            [(a, a, 1.0) for a in names], "series_a string, series_b string, kendall double")
+        return diag
+    wide = S.wide(long, key, series, value, names)
     rows = F.explode(F.array(*[
         F.struct(F.lit(i).alias("pair"), F.col(f"`{a}`").alias("x"), F.col(f"`{b}`").alias("y"))
         for i, (a, b) in enumerate(pairs)])).alias("r")
-    xy = wide.select(key, rows).select(key, "r.*").where(F.col("x").isNotNull() & F.col("y").isNotNull())
-
-    ties_x = xy.groupBy("pair", "x").agg(F.count(F.lit(1)).alias("t")) \
-        .groupBy("pair").agg(F.sum(F.col("t") * (F.col("t") - 1) / 2).alias("tx"),
-                             F.sum("t").alias("n"))
-    ties_y = xy.groupBy("pair", "y").agg(F.count(F.lit(1)).alias("t")) \
-        .groupBy("pair").agg(F.sum(F.col("t") * (F.col("t") - 1) / 2).alias("ty"))
-    ties_xy = xy.groupBy("pair", "x", "y").agg(F.count(F.lit(1)).alias("t")) \
-        .groupBy("pair").agg(F.sum(F.col("t") * (F.col("t") - 1) / 2).alias("txy"))
-
-    by_pair = Window.partitionBy("pair")
-    ranked = (xy.withColumn("ry", F.dense_rank().over(by_pair.orderBy("y")) - 1)
-              .withColumn("o", F.row_number().over(by_pair.orderBy("x", "y", key)))
-              .withColumn("_max", F.max("ry").over(by_pair)))
-    bits = F.greatest(F.ceil(F.log2(F.col("_max") + 1)).cast("int"), F.lit(1))
-    lv = ranked.select("pair", "o", "ry", F.explode(F.sequence(F.lit(0), bits - 1)).alias("l"))
-    lv = lv.select("pair", "o", "l", F.expr("shiftright(ry, l + 1)").alias("prefix"),
-                   F.expr("shiftright(ry, l) & 1").alias("b"))
-    w = Window.partitionBy("pair", "l", "prefix").orderBy("o") \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    disc = (lv.withColumn("ones_before", F.coalesce(F.sum("b").over(w), F.lit(0)))
-            .where(F.col("b") == 0)
-            .groupBy("pair").agg(F.sum("ones_before").cast("double").alias("d")))
-
-    t = ties_x.join(ties_y, "pair").join(ties_xy, "pair").join(disc, "pair", "left")
+    xy = wide.select(rows).select("r.*").where(F.col("x").isNotNull() & F.col("y").isNotNull())
+
+    tx = _ties(xy, ["x"], "tx")
+    ty = _ties(xy, ["y"], "ty").drop("n")
+    txy = _ties(xy, ["x", "y"], "txy").drop("n")
+
+    ry = value_ranks(xy, ["pair"], "y").select("pair", "y", F.col("dense").alias("ry"))
+    bits = ry.groupBy("pair").agg(
+        F.greatest(F.ceil(F.log2(F.max("ry") + 1)).cast("int"), F.lit(1)).alias("bits"))
+    cells = xy.groupBy("pair", "x", "y").agg(F.count(F.lit(1)).alias("cnt"))
+    # x blocks: approximate quantiles of the distinct x values of each pair
+    # (monotone in x; a tied x value never straddles two blocks).
+    nb = max(RANK_BUCKETS, 1)
+    xq = cells.select("pair", "x").distinct().groupBy("pair").agg(
+        F.percentile_approx("x", [k / nb for k in range(1, nb)], 10000).alias("_q"))
+    cells = (cells.join(ry, ["pair", "y"]).join(bits, "pair").join(xq, "pair")
+             .select("pair", "x", "ry", "cnt",
+                     F.size(F.filter("_q", lambda q: q < F.col("x"))).alias("xb"),
+                     F.explode(F.sequence(F.lit(0), F.col("bits") - 1)).alias("l")))
+    lv = (cells.select("pair", "x", "xb", "cnt", "l", F.expr("shiftright(ry, l + 1)").alias("prefix"),
+                       F.expr("shiftright(ry, l) & 1").alias("b"))
+          .groupBy("pair", "l", "prefix", "xb", "x")
+          .agg(F.sum(F.when(F.col("b") == 1, F.col("cnt")).otherwise(0)).alias("c1"),
+               F.sum(F.when(F.col("b") == 0, F.col("cnt")).otherwise(0)).alias("c0")))
+    grp = ["pair", "l", "prefix"]
+    blk = lv.groupBy(*grp, "xb").agg(F.sum("c1").alias("_s1"))
+    before_blk = Window.partitionBy(*grp).orderBy("xb").rowsBetween(Window.unboundedPreceding, -1)
+    blk = blk.select(*grp, "xb", F.coalesce(F.sum("_s1").over(before_blk), F.lit(0)).alias("_off"))
+    before_x = Window.partitionBy(*grp, "xb").orderBy("x").rowsBetween(Window.unboundedPreceding, -1)
+    ones_before = F.col("_off") + F.coalesce(F.sum("c1").over(before_x), F.lit(0))
+    disc = (lv.join(blk, [*grp, "xb"])
+            .select("pair", (F.col("c0") * ones_before).alias("_d"))
+            .groupBy("pair").agg(F.sum("_d").cast("double").alias("d")))
+
+    t = tx.join(ty, "pair").join(txy, "pair").join(disc, "pair", "left")
     n0 = F.col("n") * (F.col("n") - 1) / 2
     d = F.coalesce(F.col("d"), F.lit(0.0))
     c = n0 - F.col("tx") - F.col("ty") + F.col("txy") - d
     tau = F.try_divide(c - d, F.sqrt((n0 - F.col("tx")) * (n0 - F.col("ty"))))
-    per_pair = t.select("pair", tau.alias("kendall"))
-    names_df = long.sparkSession.createDataFrame(
-        [(i, a, b) for i, (a, b) in enumerate(pairs)], "pair int, a string, b string")
-    j = per_pair.join(F.broadcast(names_df), "pair")
+    names_df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)],
+                                     "pair int, a string, b string")
+    j = t.select("pair", tau.alias("kendall")).join(F.broadcast(names_df), "pair")
     both = j.select(F.col("a").alias("series_a"), F.col("b").alias("series_b"), "kendall") \
         .unionByName(j.select(F.col("b").alias("series_a"), F.col("a").alias("series_b"), "kendall"))
-    diag = long.sparkSession.createDataFrame([(a, a, 1.0) for a in names],
-                                             "series_a string, series_b string, kendall double")
     return both.unionByName(diag)
 
 
