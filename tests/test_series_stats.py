@@ -82,9 +82,10 @@ def _tau_b(x, y):
     return s / math.sqrt(nx * ny)
 
 
-@pytest.mark.parametrize("buckets", [256, 4])
-def test_correlation_matrices_with_ties(spark, monkeypatch, buckets):
+@pytest.mark.parametrize("buckets,one_task_max", [(256, 1_000_000), (4, 0)])
+def test_correlation_matrices_with_ties(spark, monkeypatch, buckets, one_task_max):
     monkeypatch.setattr(stats, "RANK_BUCKETS", buckets)
+    monkeypatch.setattr(stats, "SINGLE_TASK_MAX", one_task_max)   # 0 forces the bucketed path
     rng = np.random.default_rng(3)
     n = 120
     data = {"a": rng.integers(0, 6, n).astype(float),          # heavy ties

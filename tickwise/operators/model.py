@@ -67,7 +67,8 @@ def train(samples: DataFrame, kind: str = "logistic") -> tuple[PipelineModel, Da
     A17 validation accuracy (one row)."""
     # Iterative training passes over the same rows: keep them materialised
     # (recomputable from lineage if an executor is lost).
-    tr = assemble(samples.where(F.col("split") == "train")).persist()
+    cores = max(1, samples.sparkSession.sparkContext.defaultParallelism)
+    tr = assemble(samples.where(F.col("split") == "train")).coalesce(cores).persist()
     try:
         fit_part, val_part = time_split(tr)
         model = classifier(kind).fit(fit_part)

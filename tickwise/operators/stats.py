@@ -99,9 +99,17 @@ def pearson_matrix(long: DataFrame, key: str, series: str, value: str,
     return _matrix_from_wide(S.wide(long, key, series, value, names), names, "pearson")
 
 
-# Approximate-quantile buckets per group for rank windows and for Kendall's
-# running counts: windows never hold a whole series.
+# A group (series or pair) is ranked inside one window task only when a
+# count proves it has at most SINGLE_TASK_MAX distinct values; larger groups
+# are cut into RANK_BUCKETS approximate-quantile buckets.
 RANK_BUCKETS = 256
+SINGLE_TASK_MAX = 1_000_000
+
+
+def _fits_one_task(distinct: DataFrame, by: Sequence[str]) -> bool:
+    """Size check: largest group of a distinct-value table (one small job)."""
+    biggest = distinct.groupBy(*by).count().agg(F.max("count")).first()[0]
+    return (biggest or 0) <= SINGLE_TASK_MAX
 
 
 def value_ranks(df: DataFrame, by: Sequence[str], value: str,
@@ -118,6 +126,11 @@ def value_ranks(df: DataFrame, by: Sequence[str], value: str,
     buckets = buckets or RANK_BUCKETS
     c = (df.where(F.col(value).isNotNull()).groupBy(*by, value)
          .agg(F.count(F.lit(1)).alias("ties")))
+    if _fits_one_task(c, by):
+        w = Window.partitionBy(*by).orderBy(value)
+        below = F.coalesce(F.sum("ties").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        return c.select(*by, value, "ties", below.alias("n_below"),
+                        (F.row_number().over(w) - 1).alias("dense"))
     probs = [k / buckets for k in range(1, buckets)]
     q = c.groupBy(*by).agg(F.percentile_approx(value, probs, 10000).alias("_q"))
     c = c.join(q, by).withColumn("_b", F.size(F.filter("_q", lambda x: x < F.col(value)))).drop("_q")
@@ -191,15 +204,19 @@ def kendall_matrix(long: DataFrame, key: str, series: str, value: str,
     bits = ry.groupBy("pair").agg(
         F.greatest(F.ceil(F.log2(F.max("ry") + 1)).cast("int"), F.lit(1)).alias("bits"))
     cells = xy.groupBy("pair", "x", "y").agg(F.count(F.lit(1)).alias("cnt"))
-    # x blocks: approximate quantiles of the distinct x values of each pair
-    # (monotone in x; a tied x value never straddles two blocks).
-    nb = max(RANK_BUCKETS, 1)
-    xq = cells.select("pair", "x").distinct().groupBy("pair").agg(
-        F.percentile_approx("x", [k / nb for k in range(1, nb)], 10000).alias("_q"))
-    cells = (cells.join(ry, ["pair", "y"]).join(bits, "pair").join(xq, "pair")
-             .select("pair", "x", "ry", "cnt",
-                     F.size(F.filter("_q", lambda q: q < F.col("x"))).alias("xb"),
-                     F.explode(F.sequence(F.lit(0), F.col("bits") - 1)).alias("l")))
+    cells = cells.join(ry, ["pair", "y"]).join(bits, "pair")
+    if _fits_one_task(cells.select("pair", "x").distinct(), ["pair"]):
+        xb = F.lit(0)
+    else:
+        # x blocks: approximate quantiles of the distinct x values of each pair
+        # (monotone in x; a tied x value never straddles two blocks).
+        nb = max(RANK_BUCKETS, 1)
+        xq = cells.select("pair", "x").distinct().groupBy("pair").agg(
+            F.percentile_approx("x", [k / nb for k in range(1, nb)], 10000).alias("_q"))
+        cells = cells.join(xq, "pair")
+        xb = F.size(F.filter("_q", lambda q: q < F.col("x")))
+    cells = cells.select("pair", "x", "ry", "cnt", xb.alias("xb"),
+                         F.explode(F.sequence(F.lit(0), F.col("bits") - 1)).alias("l"))
     lv = (cells.select("pair", "x", "xb", "cnt", "l", F.expr("shiftright(ry, l + 1)").alias("prefix"),
                        F.expr("shiftright(ry, l) & 1").alias("b"))
           .groupBy("pair", "l", "prefix", "xb", "x")

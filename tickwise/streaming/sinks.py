@@ -39,6 +39,14 @@ def run_to_parquet(df: DataFrame, name: str, checkpoint: str | None = None,
          .trigger(availableNow=True))
     if partition_by:
         w = w.partitionBy(*partition_by)
-    q = w.start()
+    # State partitions are fixed when a query first starts (and then kept in
+    # the checkpoint): size them to the cluster's cores, not a fixed default.
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(max(1, spark.sparkContext.defaultParallelism)))
+    try:
+        q = w.start()
+    finally:
+        spark.conf.set(key, before)
     q.awaitTermination()
     return spark.read.schema(df.schema).parquet(out)
