@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from tickwise.functions import numeric as num
 from tickwise.functions import text as tx
