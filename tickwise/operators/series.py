@@ -130,8 +130,10 @@ def with_row_index(df: DataFrame, order: Sequence[str], bucket: Column,
                    idx: str = "idx", total: str | None = None) -> DataFrame:
     """Dense 0-based index in ``order`` without a one-partition window.
 
-    ``bucket`` must be monotone in ``order`` (e.g. the day of a timestamp).
-    Rows are numbered inside each bucket; bucket offsets come from a table
+    ``bucket`` must be monotone in ``order`` (e.g. the day of a timestamp)
+    and bounded in size, because each bucket's rows are numbered in one task:
+    the day of a minute series holds at most 1,440 rows. Rows are numbered
+    inside each bucket; bucket offsets come from a table
     with one row per bucket (bounded by the time span, broadcast). The
     result only depends on the data, not on partitioning, so a recomputed
     task after executor loss yields the same numbers.
