@@ -65,7 +65,7 @@ PAGE = """<html><head><title>Coin X</title></head><body>
 <table><tr><th>Date</th><th>Open*</th></tr>
 <tr><td>Mar 01, 2019</td><td><b>3,800.1</b></td></tr></table>
 <article><p>Body [one]</p>
-<p>two</p></article></body></html>"""
+<p>two</p></article><article>three</article></body></html>"""
 
 
 def _pages(spark):
@@ -88,7 +88,7 @@ def test_elements_cards_counts_tables(spark):
                  P.is_repo_page(F.col("html")).alias("repo"), P.article_text(F.col("html")).alias("body"),
                  P.page_title(F.col("html")).alias("title")).collect()
     assert r[0].s == "(XCN)" and r[0].repo is True and r[0].title == "Coin X"
-    assert r[0].body == "Body [one]\ntwo"
+    assert r[0].body == "Body [one]\ntwo, three"
     assert r[1].s is None and r[1].repo is None and r[1].body is None
     cards = P.repo_cards(p).collect()
     assert [(c.name, c.repo_url, c.description) for c in cards] == \

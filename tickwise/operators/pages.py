@@ -76,10 +76,11 @@ def has_article(html: Column) -> Column:
 
 
 def article_text(html: Column) -> Column:
-    """E5 + F5 + F6: body of the first ``<article>`` without tags; a page
-    without one gives null (it is later dropped by the inner join)."""
-    body = F.regexp_extract(html, ARTICLE_RE, 1)
-    return F.when(has_article(html), tx.strip_brackets(tx.strip_tags(body)))
+    """E5 + F5 + F6: every ``<article>`` body of the page, joined the way a
+    list of elements prints (``", "`` between them), tags removed and outer
+    brackets stripped; a page without one gives null (dropped by the join)."""
+    bodies = F.array_join(F.regexp_extract_all(html, F.lit(ARTICLE_RE), 1), ", ")
+    return F.when(has_article(html), tx.strip_brackets(tx.strip_tags(bodies)))
 
 
 def page_title(html: Column) -> Column:

@@ -85,7 +85,8 @@ SELECT page_id, arg_min(href, pos) AS href FROM links WHERE text = {_lit(LINK_TE
 FROM pages""",
     "page_articles": f"""WITH b AS (
   SELECT url AS web_url, regexp_replace(regexp_replace(
-    regexp_extract(html, {_lit(P.ARTICLE_RE)}, 1), '<.*?>', '', 'g'), {_lit(r'^[\[\]]+|[\[\]]+$')}, '', 'g') AS content
+    array_to_string(regexp_extract_all(html, {_lit(P.ARTICLE_RE)}, 1), ', '), '<.*?>', '', 'g'),
+    {_lit(r'^[\[\]]+|[\[\]]+$')}, '', 'g') AS content
   FROM pages WHERE regexp_matches(html, '(?s)<article(?:\\s[^>]*)?>.*?</article>')),
 m AS (SELECT page_id, url AS web_url, regexp_extract(html, {_lit(P.TITLE_RE)}, 1) AS headline FROM pages),
 j AS (SELECT m.page_id, b.web_url, m.headline, b.content,
