@@ -82,11 +82,13 @@ def q_hourly_close_mean(spark, sf_dir):
 
 
 def q_hourly_close_volume_sum(spark, sf_dir):
-    """Dense hourly sums of close and volume (empty hour = 0)."""
+    """A6 + W4: dense hourly sums of close and volume (empty hour = 0), each
+    also divided by its abs-max."""
     m = _minutes(spark, sf_dir)
     c = bars.dense_bucket_agg(m, "Timestamp_Rounded", "Close", "sum", "hour", out="close_sum")
     v = bars.dense_bucket_agg(m, "Timestamp_Rounded", "Volume", "sum", "hour", out="volume_sum")
-    return finish(c.join(v, "bucket", "full_outer"))
+    both = materialize(c.join(v, "bucket", "full_outer"))
+    return finish(S.absmax_normalise(both, ["close_sum", "volume_sum"]))
 
 
 def q_daily_close_volume(spark, sf_dir):
@@ -165,8 +167,12 @@ SELECT bucket, round(v, 6) AS score_sum FROM n""",
 SELECT bucket, round(v, 6) AS close_mean FROM c""",
     "hourly_close_volume_sum": f"""WITH {MINUTES_CTE},
 {dense_sql('c', 'minutes', 'Timestamp_Rounded', 'sum(Close)', 'coalesce(r.v, 0)')},
-{dense_sql('v', 'minutes', 'Timestamp_Rounded', 'sum(Volume)', 'coalesce(r.v, 0)')}
-SELECT bucket, round(c.v, 6) AS close_sum, round(v.v, 6) AS volume_sum FROM c FULL OUTER JOIN v USING (bucket)""",
+{dense_sql('v', 'minutes', 'Timestamp_Rounded', 'sum(Volume)', 'coalesce(r.v, 0)')},
+b AS (SELECT bucket, c.v AS cs, v.v AS vs FROM c FULL OUTER JOIN v USING (bucket))
+SELECT bucket, round(cs, 6) AS close_sum, round(vs, 6) AS volume_sum,
+  round(cs / nullif((SELECT greatest(max(cs), abs(min(cs))) FROM b), 0), 6) AS close_sum_norm,
+  round(vs / nullif((SELECT greatest(max(vs), abs(min(vs))) FROM b), 0), 6) AS volume_sum_norm
+FROM b""",
     "daily_close_volume": f"""WITH {HIST}
 SELECT date, round(sum(close), 6) AS close_sum, CAST(sum(volume) AS BIGINT) AS volume_sum
 FROM hist WHERE coin = '{REFERENCE_COIN}' GROUP BY date""",

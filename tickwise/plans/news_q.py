@@ -55,6 +55,12 @@ def q_sentiment_shares(spark, sf_dir):
     return finish(stats.share_of_total(s, "SENTIMENT")).orderBy("amount", "SENTIMENT")
 
 
+def q_section_shares(spark, sf_dir):
+    """A8 + A11 + O2: share of articles per section, ascending by count."""
+    a = tables.articles(spark, sf_dir)
+    return finish(stats.share_of_total(a, "section_name")).orderBy("amount", "section_name")
+
+
 def q_relevance_null_as_hit(spark, sf_dir):
     """F19 with the CSV-reader rule (missing text counts as a hit)."""
     a = tables.articles(spark, sf_dir)
@@ -68,6 +74,7 @@ QUERIES = {
     "news_sections": q_news_sections,
     "news_distribution": q_news_distribution,
     "sentiment_shares": q_sentiment_shares,
+    "section_shares": q_section_shares,
     "relevance_null_as_hit": q_relevance_null_as_hit,
 }
 
@@ -145,6 +152,11 @@ FROM scored WHERE section_name IS NOT NULL GROUP BY section_name""",
     "sentiment_shares": f"""WITH {SCORED},
 g AS (SELECT SENTIMENT, CAST(count(*) AS DOUBLE) AS amount FROM scored WHERE SENTIMENT IS NOT NULL GROUP BY 1)
 SELECT SENTIMENT, round(amount, 6) AS amount,
+  round(round(amount * 100.0 / (SELECT sum(amount) FROM g), 1), 6) AS pct FROM g""",
+    "section_shares": """WITH g AS (
+  SELECT source AS section_name, CAST(count(*) AS DOUBLE) AS amount FROM documents
+  WHERE source IS NOT NULL GROUP BY 1)
+SELECT section_name, round(amount, 6) AS amount,
   round(round(amount * 100.0 / (SELECT sum(amount) FROM g), 1), 6) AS pct FROM g""",
     "relevance_null_as_hit": f"SELECT doc_id AS id, round({relevance_sql('text', True)}, 6) AS relevance FROM documents",
 }
