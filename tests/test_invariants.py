@@ -37,3 +37,28 @@ def test_sample_count_is_n_minus_horizon(spark):
 def test_dense_spine_has_no_gaps(spark):
     hours = sorted(r.bucket for r in q(spark, "hourly_close_mean"))
     assert all(b - a == dt.timedelta(hours=1) for a, b in zip(hours, hours[1:]))
+
+
+def test_layout_independence(spark):
+    """Same results whatever the input partitioning (SURVEY 5(e))."""
+    from pyspark.sql import functions as F
+
+    from tickwise.operators import bars, samples, stats
+    from tickwise.sources import tables
+    from tests.conftest import SF_SMALL
+    tagged = tables.tagged_ticks(spark, SF_SMALL)
+    outs = []
+    for parts in (1, 17):
+        t = tagged.repartition(parts)
+        m = bars.minute_features_tagged(t)
+        s = samples.build_samples(samples.model_input(m), test_starts=50, block=97)
+        h = tables.daily_history(spark, SF_SMALL).repartition(parts)
+        k = stats.kendall_matrix(h.select("coin", "date", F.col("close").alias("v")), "date", "coin", "v")
+        outs.append((sorted(map(tuple, m.collect())),
+                     sorted((r.t, r.split, tuple(r.features)) for r in s.collect()),
+                     sorted(map(tuple, k.collect()))))
+    assert outs[0][0] == outs[1][0]
+    assert outs[0][1] == outs[1][1]
+    assert [r[:2] for r in outs[0][2]] == [r[:2] for r in outs[1][2]]
+    for a, b in zip(outs[0][2], outs[1][2]):
+        assert (a[2] is None and b[2] is None) or a[2] == pytest.approx(b[2])

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickwise.operators import series as S
+from tickwise.session import materialize
 
 
 def count_per_group(df: DataFrame, key: str, columns: Sequence[str] | None = None) -> DataFrame:
@@ -113,7 +114,7 @@ def _fits_one_task(distinct: DataFrame, by: Sequence[str]) -> bool:
 
 
 def value_ranks(df: DataFrame, by: Sequence[str], value: str,
-                buckets: int | None = None) -> DataFrame:
+                buckets: int | None = None, weight: str | None = None) -> DataFrame:
     """One row per ``(by, distinct value)``: ``ties`` (rows with that value),
     ``n_below`` (rows with a smaller value) and ``dense`` (0-based dense rank).
 
@@ -124,8 +125,9 @@ def value_ranks(df: DataFrame, by: Sequence[str], value: str,
     """
     by = list(by)
     buckets = buckets or RANK_BUCKETS
+    n = F.sum(weight) if weight else F.count(F.lit(1))     # rows a (weighted) row stands for
     c = (df.where(F.col(value).isNotNull()).groupBy(*by, value)
-         .agg(F.count(F.lit(1)).alias("ties")))
+         .agg(n.alias("ties")))
     if _fits_one_task(c, by):
         w = Window.partitionBy(*by).orderBy(value)
         below = F.coalesce(F.sum("ties").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -160,8 +162,9 @@ def spearman_matrix(long: DataFrame, key: str, series: str, value: str,
     return _matrix_from_wide(S.wide(ranked, key, series, "_r", names), names, "spearman")
 
 
-def _ties(xy: DataFrame, cols: list[str], name: str) -> DataFrame:
-    t = xy.groupBy("pair", *cols).agg(F.count(F.lit(1)).alias("t"))
+def _ties(cells: DataFrame, cols: list[str], name: str) -> DataFrame:
+    """Tied pairs ``sum t(t-1)/2`` over groups of equal ``cols`` (from weighted cells)."""
+    t = cells.groupBy("pair", *cols).agg(F.sum("cnt").alias("t")) if cols else cells.withColumnRenamed("cnt", "t")
     return t.groupBy("pair").agg(F.sum(F.col("t") * (F.col("t") - 1) / 2).alias(name),
                                  F.sum("t").alias("n"))
 
@@ -195,15 +198,17 @@ def kendall_matrix(long: DataFrame, key: str, series: str, value: str,
         F.struct(F.lit(i).alias("pair"), F.col(f"`{a}`").alias("x"), F.col(f"`{b}`").alias("y"))
         for i, (a, b) in enumerate(pairs)])).alias("r")
     xy = wide.select(rows).select("r.*").where(F.col("x").isNotNull() & F.col("y").isNotNull())
+    # Every later step reads the distinct (x, y) cells with their counts:
+    # computed once and cut from the lineage (a hot value is one row).
+    cells = materialize(xy.groupBy("pair", "x", "y").agg(F.count(F.lit(1)).alias("cnt")))
 
-    tx = _ties(xy, ["x"], "tx")
-    ty = _ties(xy, ["y"], "ty").drop("n")
-    txy = _ties(xy, ["x", "y"], "txy").drop("n")
+    tx = _ties(cells, ["x"], "tx")
+    ty = _ties(cells, ["y"], "ty").drop("n")
+    txy = _ties(cells, [], "txy").drop("n")
 
-    ry = value_ranks(xy, ["pair"], "y").select("pair", "y", F.col("dense").alias("ry"))
+    ry = value_ranks(cells, ["pair"], "y", weight="cnt").select("pair", "y", F.col("dense").alias("ry"))
     bits = ry.groupBy("pair").agg(
         F.greatest(F.ceil(F.log2(F.max("ry") + 1)).cast("int"), F.lit(1)).alias("bits"))
-    cells = xy.groupBy("pair", "x", "y").agg(F.count(F.lit(1)).alias("cnt"))
     cells = cells.join(ry, ["pair", "y"]).join(bits, "pair")
     if _fits_one_task(cells.select("pair", "x").distinct(), ["pair"]):
         xb = F.lit(0)
