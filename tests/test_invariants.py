@@ -62,3 +62,17 @@ def test_layout_independence(spark):
     assert [r[:2] for r in outs[0][2]] == [r[:2] for r in outs[1][2]]
     for a, b in zip(outs[0][2], outs[1][2]):
         assert (a[2] is None and b[2] is None) or a[2] == pytest.approx(b[2])
+
+
+def test_queries_force_utc_and_keep_checkpoint_dir(spark):
+    from tickwise.session import ensure_checkpoint_dir
+    from tests.conftest import SF_SMALL
+    before = spark.sparkContext.getCheckpointDir()
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")     # a half-hour offset
+    try:
+        rows = E.queries()["hourly_news_score"](spark, SF_SMALL).collect()
+        assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+        assert all(r.bucket.minute == 0 for r in rows)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert ensure_checkpoint_dir(spark) == before                       # never replaced
