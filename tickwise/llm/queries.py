@@ -46,7 +46,7 @@ def op3_chat_parts(spark, sf_dir):
         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
-# The template's length: 21 characters of marks a turn, one more for each
+# The template's length: 23 characters of marks a turn, one more for each
 # backslash and each "<|" that is escaped.
 OP3_SQL = r"""
 WITH t AS (
@@ -57,7 +57,7 @@ WITH t AS (
   SELECT conv_id, count(*) AS n_turns,
     string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
     coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '') AS loss,
-    sum(length(role) + length(text) + 9 + 9 + 7
+    sum(length(role) + length(text) + 8 + 8 + 7
         + length(role || text) - length(replace(role || text, '\', ''))
         + (length(role) - length(replace(role, '<|', ''))) // 2
         + (length(text) - length(replace(text, '<|', ''))) // 2) AS formatted_chars
@@ -66,7 +66,7 @@ SELECT conv_id, CAST(n_turns AS BIGINT) AS n_turns, sha256(turns) AS turns_sha25
   CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256,
   CAST(formatted_chars AS BIGINT) AS formatted_chars
 FROM s
-""".replace("\\\\", "\\")
+"""
 
 
 def op4_pii_feistel(spark, sf_dir):
