@@ -13,7 +13,7 @@ the text.
 
 The pairing needs no host-wide group: ranges of (host, path, page) are cut at
 split points taken from the sorted keys, each range is read in order with the
-lines of one page beyond either end, and a task holds three pages at a time.
+lines of one page beyond either end, and a task holds a few pages at a time.
 """
 
 from __future__ import annotations
@@ -277,21 +277,25 @@ def _read_pages(ends: list[tuple[str, str]]):
 
 
 def _difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (bucket, key): each page against the one before and after."""
+    """Rows sorted by (bucket, key): each page against the nearest one before and
+    after it that has other lines. Pages in a row with the same lines are one run:
+    their text is made once."""
     out: list[tuple] = []
+    before = run = None
+    members: list[tuple] = []
 
-    def near(page, other):
-        if other is None or other[0] != page[0] or other[7] == page[7] \
-                or other[1].split("\t", 1)[0] != page[1].split("\t", 1)[0]:
-            return set()                                 # no neighbour, another host, or a copy
-        return shared_lines(page[7], other[7])
+    def same_host(x, y):
+        return x[0] == y[0] and x[1].split("\t", 1)[0] == y[1].split("\t", 1)[0]
 
-    def write(prev, page, nxt):
-        if page is None or not page[2]:
-            return
-        shared = near(page, prev) | near(page, nxt)
-        text = "\n".join(main_lines(list(zip(page[5], page[6])), shared))
-        out.append((page[3], page[4], text, len(text), len(page[5]), len(shared)))
+    def near(other):
+        return shared_lines(run[7], other[7]) if other and same_host(run, other) else set()
+
+    def write(after):
+        if members:
+            shared = near(before) | near(after)
+            text = "\n".join(main_lines(list(zip(run[5], run[6])), shared))
+            out.extend((*m, text, len(text), len(run[5]), len(shared)) for m in members)
+            members.clear()
 
     def batch():
         cols = list(zip(*out))
@@ -300,14 +304,18 @@ def _difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
                                           [x.split()[0] for x in OUT.split(", ")])
 
-    prev = page = None
     for b in batches:
         for row in zip(*(b.column(i).to_pylist() for i in range(8))):
-            write(prev, page, row)
-            prev, page = page, row
-        if len(out) > 500:
-            yield batch()
-    write(prev, page, None)
+            if run is None or not same_host(run, row) or run[7] != row[7]:
+                write(row)
+                before, run = run, row
+            elif not run[2]:
+                run = row                                # the own page has the texts
+            if row[2]:
+                members.append((row[3], row[4]))
+            if len(out) > 500:
+                yield batch()
+    write(None)
     if out:
         yield batch()
 
@@ -317,9 +325,10 @@ def extract(pages: DataFrame) -> DataFrame:
 
     White space inside a block is one blank, blocks are joined by a line feed;
     no main text gives an empty string. Null html is an empty page; a null url
-    has the empty host; pages of the same URL are ordered by page_id; a
-    neighbour with the very same lines (a repeated row or copy) shows no
-    template and is not compared. Extra columns are not read.
+    has the empty host; pages of the same URL are ordered by page_id. Neighbours
+    with the very same lines (repeated rows, copies) show no template and are
+    passed over; where copies fill a range to its end, that side has none. Extra
+    columns are not read.
     """
     ends = _ranges(pages)
     if not ends:

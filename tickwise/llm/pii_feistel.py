@@ -234,7 +234,9 @@ def pseudonymize(docs: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
     valid = F.filter(F.coalesce("all", F.expr(
         "cast(array() as array<struct<kind:int,value:string,pseudonym:string>>)")),
         lambda s: s["pseudonym"].isNotNull())
-    counts = [F.size(F.filter("found", lambda s, no=no: s["kind"] == no)).cast("long")
-              .alias(f"n_{name}") for no, name in enumerate(KINDS)]
+    def count(no):
+        return F.size(F.filter("found", lambda s: s["kind"] == no)).cast("long")
+
+    counts = [count(no).alias(f"n_{name}") for no, name in enumerate(KINDS)]
     return rows.select("doc_id", F.when(F.size("all") > 0, new).otherwise(F.col("text")).alias("text"),
                        valid.alias("found")).select("doc_id", "text", "found", *counts)
