@@ -70,6 +70,18 @@ def test_packing_is_exact(spark, docs):
     assert packing.pack(no_docs(spark)).count() == 0
 
 
+def test_word_ids_equal_the_whole_tokenizer():
+    path = packing.tokenizer_file("word_bpe_49k.json")
+    known = packing.WordIds(path)
+    odd = ("x² ½a naïve ŉx ǅ ﬁn ςΣ ΣΑΣ. <|endoftext|> a<|startoftext|>b Ⅳ ١٢ _a_b ` İstanbul don't, it's' x'. "
+           "e\u0301a áb, é. 3.14, ａ １2 x\x1cy z\x85. ...!! foo...bar, A.B.C. 'll. o'clock.,; \ufeffq 中文。 😀ok")
+    for text in (odd, prose(200), odd + " " + odd.upper()):
+        words = text.encode().split()
+        known.learn([words])
+        want = known.tok.encode(text, add_special_tokens=False).ids + [1]
+        assert known.ids(words, 1) == b"".join(i.to_bytes(4, "little") for i in want)
+
+
 # --- 4 pseudonyms ---
 
 def feistel_plain(value, a, b, key, kind):

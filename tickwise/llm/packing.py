@@ -13,6 +13,10 @@ do not make a large task; the state of a task is its open windows.
 
 from __future__ import annotations
 
+import re
+import sys
+import unicodedata
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
@@ -36,36 +40,82 @@ PIECE = ("doc_id long, start long, length long, doc_tokens long, ids binary, "
 OUT = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
+# What the vocabulary's splitter takes as one token to merge: letters, a digit,
+# other signs. Words with an apostrophe (contractions) go the long way.
+_UNITS = re.compile(r"[^\W\d_]+|[0-9]|[!-&(-/:-@\[-`{-~]+")
+
+
+def _byte_signs() -> list[str]:
+    """The sign that stands for each byte in a byte-level vocabulary: printable
+    ones for themselves, the others numbered from 256."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return [chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256)]
+
+
 class WordIds(dict):
     """Word -> its token ids as little-endian 32-bit numbers, remembered.
 
     The vocabulary's splitter never joins characters across white space, so the
-    ids of a text are those of its words one after another.
+    ids of a text are those of its words one after another. Plain words are
+    parted into the splitter's units, which are merged by the model and shared
+    between words; any other word (a contraction, a special token's string, signs
+    that normalising may change) is encoded by the whole tokenizer.
     """
 
     def __init__(self, path: str):
         import tokenizers
         super().__init__()
         self.tok = tokenizers.Tokenizer.from_file(path)
+        self.merge = self.tok.model.tokenize
+        self.units: dict[str, bytes] = {}
+        self.signs = _byte_signs()
 
     @staticmethod
     def _pack(ids: list[int]) -> bytes:
-        return b"".join(i.to_bytes(_ID, "little") for i in ids)
+        out = array("I", ids)
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
 
     def __missing__(self, word: bytes) -> bytes:
         return self._pack(self.tok.encode(word.decode("utf-8", "surrogatepass"),
                                           add_special_tokens=False).ids)
 
+    def _unit(self, unit: str) -> bytes | None:
+        """Ids of one unit in lower case; None where normalising may change it."""
+        shown = unit
+        if not unit.isascii():
+            if not unit.isalpha() or not unicodedata.is_normalized("NFC", unit) or "\u03c2" in unit:
+                return None
+            signs = self.signs
+            shown = "".join([signs[b] for b in unit.encode()])
+        out = self.units[unit] = self._pack([t.id for t in self.merge(shown)])
+        return out
+
+    def _word(self, word: bytes) -> bytes:
+        text = word.decode("utf-8", "surrogatepass")
+        low = text.lower()
+        units = _UNITS.findall(low)
+        if len(low) == len(text) and sum(map(len, units)) == len(low) and "<|" not in low:
+            out, known = [], self.units
+            for u in units:
+                ids = known.get(u) or self._unit(u)
+                if ids is None:
+                    break
+                out.append(ids)
+            else:
+                return b"".join(out)
+        return self[word]
+
     def learn(self, texts: list[list[bytes]]) -> None:
-        """Encode the new words of many texts in one call."""
+        """Encode the new words of many texts."""
         new = [w for w in set().union(*texts) if w not in self and len(w) <= 64]
         if len(self) + len(new) > _REMEMBER:
             self.clear()
-        for at in range(0, len(new), 10_000):
-            part = new[at:at + 10_000]
-            found = self.tok.encode_batch([w.decode("utf-8", "surrogatepass") for w in part],
-                                          add_special_tokens=False)
-            self.update(zip(part, (self._pack(x.ids) for x in found)))
+            self.units.clear()
+        for w in new:
+            self[w] = self._word(w)
 
     def ids(self, words: list[bytes], end: int) -> bytes:
         return b"".join(map(self.__getitem__, words)) + end.to_bytes(_ID, "little")

@@ -267,7 +267,8 @@ def keep_one(docs: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
         F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("chosen")), "ring-ids")
     once = ids.where("n = 1 AND chosen AND doc_id IS NOT NULL").select(F.col("doc_id").alias("id"))
     many = ids.where("chosen AND (n > 1 OR doc_id IS NULL)").select(F.col("doc_id").alias("id"))
-    single = docs.join(once, docs["doc_id"] == once["id"], "left_semi")
+    # the kept ids grow with the documents: never broadcast them
+    single = docs.join(once.hint("merge"), docs["doc_id"] == once["id"], "left_semi")
     if many.isEmpty():
         return single
     again = docs.join(many, docs["doc_id"].eqNullSafe(many["id"]), "left_semi")
