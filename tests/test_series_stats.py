@@ -138,3 +138,21 @@ def test_shares_topk_dedup_latest_and_max(spark):
     counts = stats.count_per_group(spark.createDataFrame(
         [("x", 1, None), ("x", None, "a"), (None, 1, "b")], "g string, a int, b string"), "g").collect()
     assert [(r.g, r.a, r.b) for r in counts] == [("x", 1, 1)]
+
+
+def test_correlations_are_pairwise_complete(spark):
+    import pandas as pd
+    a = {d: (d * 7 % 11) / 3 for d in range(40)}
+    b = {d: (d * 5 % 13) * 1.0 for d in range(10, 50) if d % 3}
+    c = {d: 2.0 for d in range(60)}                                  # constant: null, no error
+    long = spark.createDataFrame([(s, d, v) for s, m in (("a", a), ("b", b), ("c", c)) for d, v in m.items()],
+                                 "coin string, d int, v double")
+    frame = pd.DataFrame({"a": a, "b": b, "c": c})
+    for fn, name in ((stats.pearson_matrix, "pearson"), (stats.spearman_matrix, "spearman")):
+        want = frame.corr(name)
+        got = {(r.series_a, r.series_b): (r[name], r.n) for r in fn(long, "d", "coin", "v").collect()}
+        assert len(got) == 9
+        for (x, y), (r, n) in got.items():
+            assert n == frame[[x, y]].dropna().shape[0] if x != y else True
+            assert (r is None) == pd.isna(want.loc[x, y])
+            assert r is None or abs(r - want.loc[x, y]) < 1e-9

@@ -59,9 +59,44 @@ def test_window_and_state_merge_equal_batch(spark, tmp_dir):
         _same_row(r, batch[k])
     st = sinks.run_to_parquet(merge.state_merge(tag_events(_stream(spark, folder, schema))), "t-state",
                               checkpoint=f"{tmp_dir}/ck2", out=f"{tmp_dir}/o2").collect()
-    assert len(st) > 0
     for r in st:
         _same_row(r, batch[r.Timestamp_Rounded])
+    # every minute whose timeout the watermark has passed came out
+    last = {}
+    for r in tables.tagged_ticks(spark, SF_SMALL).collect():
+        m = r.ts.replace(second=0, microsecond=0)
+        last[m] = max(last.get(m, r.ts), r.ts)
+    due = {m for m, t in last.items() if t + dt.timedelta(minutes=40) < max_ts}
+    assert due <= {r.Timestamp_Rounded for r in st}
+
+
+def test_streams_read_a_table_folder_and_flush(spark, tmp_dir):
+    import __spark_entry__ as E
+    spark.read.parquet(f"{SF_SMALL}/events.parquet").repartition(4).write.parquet(f"{tmp_dir}/events.parquet")
+    want = {r.Timestamp_Rounded for r in bars.minute_features_tagged(
+        tables.tagged_ticks(spark, SF_SMALL)).collect()}
+    for name in ("stream_minute_features", "stream_state_merge"):
+        a = E.queries()[name](spark, SF_SMALL)
+        b = E.queries()[name](spark, tmp_dir)
+        assert {r.Timestamp_Rounded for r in a.collect()} == want
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    a, b = (E.queries()["stream_envelope_roundtrip"](spark, d) for d in (SF_SMALL, tmp_dir))
+    assert a.count() == b.count() > 0 and a.exceptAll(b).count() == 0
+
+
+def test_envelopes_of_any_length_and_their_rejects(spark):
+    import json
+    def env(kind, data, ts="2024-01-01 00:01:02.000000"):
+        return json.dumps({"timestamp": ts, "msg_type": kind, "data": data})
+    row = '{"Open":1.0,"High":2.0,"Low":0.5,"Close":1.5,"Volume":3.0}'
+    msgs = spark.createDataFrame(
+        [("a", env("price", [row])), ("b", env("price", [row, row, row])), ("c", env("price", [])),
+         ("d", env("odd", [row])), ("e", "{broken"), ("f", env("news", None)), ("g", None)],
+        "key string, value string")
+    rows = merge.typed_rows(merge.parse_events(msgs)).collect()
+    assert sorted(r.key for r in rows) == ["a", "b", "b", "b"] and all(r.High == 2.0 for r in rows)
+    assert {r.key: r.reason for r in merge.rejects(msgs).collect()} == {
+        "c": "empty", "d": "unknown type", "e": "malformed", "f": "empty", "g": "malformed"}
 
 
 def test_restart_resumes_from_checkpoint(spark, tmp_dir):

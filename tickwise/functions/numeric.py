@@ -33,8 +33,11 @@ def billions(c) -> Column:
 
 
 def dash_to_zero_bigint(c) -> Column:
-    """The scraped ``-`` (or any non-number) becomes 0, else bigint."""
-    return F.coalesce(F.regexp_replace(_c(c), ",", "").try_cast("bigint"), F.lit(0).cast("bigint"))
+    """The scraped ``-`` becomes 0, a number (thousands separators allowed)
+    bigint; anything else is null, never a made-up zero."""
+    v = F.trim(_c(c))
+    return F.when(v == "-", F.lit(0).cast("bigint")).otherwise(
+        F.regexp_replace(v, ",", "").try_cast("bigint"))
 
 
 def relevance(content="content", null_as_hit: bool = False) -> Column:

@@ -33,12 +33,6 @@ DEMO_LEXICON = {
     "ononst": -0.9, "orantion": 1.1, "thon": 0.3, "thre": -0.4, "erin": 0.7,
 }
 
-# Lexicons up to this size are looked up inside the projection (a literal
-# map, no join, no shuffle); up to BROADCAST_MAX rows they are broadcast to a
-# token join; larger ones are joined with a shuffle (AQE splits hot words).
-MAP_LOOKUP_MAX = 1000
-BROADCAST_MAX = 2_000_000
-
 
 def clean_content(df: DataFrame, content: str = "content",
                   stop_words: Sequence[str] = tx.ENGLISH_STOP_WORDS) -> DataFrame:
@@ -93,17 +87,14 @@ def with_sentiment(df: DataFrame, text: str = "content_no_stopwords",
     """E7 + F22 + F23: ``SENTIMENT_VALUE`` (1 place, Python rounding) and
     ``SENTIMENT`` (five classes) for every row.
 
-    ``lexicon`` is a dict or a ``(word, valence)`` DataFrame. A DataFrame is
-    counted first: up to ``MAP_LOOKUP_MAX`` rows it is collected into the
-    projection; beyond that tokens are exploded and joined to it.
+    ``lexicon`` is a dict (looked up inside the projection) or a ``(word,
+    valence)`` DataFrame of any size (joined to the tokens). A word that a
+    DataFrame lists more than once has its largest valence; rows that share a
+    key are scored by their own text. Both forms give the same scores.
     """
     lexicon = DEMO_LEXICON if lexicon is None else lexicon
     if isinstance(lexicon, DataFrame):
-        n = lexicon.limit(MAP_LOOKUP_MAX + 1).count()
-        if n <= MAP_LOOKUP_MAX:
-            lexicon = {r["word"]: float(r["valence"]) for r in lexicon.collect()}
-        else:
-            return _with_sentiment_join(df, text, lexicon, key)
+        return _with_sentiment_join(df, text, lexicon, key)
     s = valence_sum_map(F.col(text), lexicon)
     return _classify(df.withColumn("_compound", compound(s)))
 
@@ -116,14 +107,14 @@ def _classify(df: DataFrame) -> DataFrame:
 
 
 def _with_sentiment_join(df: DataFrame, text: str, lexicon: DataFrame, key: str) -> DataFrame:
-    """Large lexicon: tokens x lexicon (broadcast if it fits the threshold,
-    else a shuffle join), partial sum per document, joined back by key."""
-    toks = df.select(key, F.explode(_lexicon_tokens(F.col(text))).alias("word"))
-    lex = lexicon.select("word", F.col("valence").cast("double"))
-    if lexicon.limit(BROADCAST_MAX + 1).count() <= BROADCAST_MAX:
-        lex = F.broadcast(lex)
-    sums = (toks.join(lex, "word").groupBy(key).agg(F.sum("valence").alias("_s")))
-    out = df.join(sums, key, "left")
+    """Tokens joined to the lexicon, a partial sum per (key, text), joined back.
+    Spark broadcasts the lexicon where its size allows."""
+    lex = lexicon.groupBy("word").agg(F.max(F.col("valence").cast("double")).alias("valence"))
+    toks = (df.select(F.col(key).alias("_k"), F.col(text).alias("_t")).distinct()
+            .select("_k", "_t", F.explode(_lexicon_tokens(F.col("_t"))).alias("word")))
+    sums = toks.join(lex, "word").groupBy("_k", "_t").agg(F.sum("valence").alias("_s"))
+    out = df.join(sums, F.col(key).eqNullSafe(F.col("_k")) & (F.col(text) == F.col("_t")),
+                  "left").drop("_k", "_t")
     s = F.when(F.col(text).isNotNull(), F.coalesce(F.col("_s"), F.lit(0.0)))
     return _classify(out.withColumn("_compound", compound(s)).drop("_s"))
 
@@ -142,20 +133,17 @@ def write_sections(df: DataFrame, path: str, col: str = "section_name",
      .write.mode("overwrite").partitionBy("section").parquet(path))
 
 
-def flatten_archive(raw: DataFrame, keep: int | None = None,
+def flatten_archive(raw: DataFrame,
                     sections: Sequence[str] = ARCHIVE_SECTIONS,
                     raw_byline: bool = False) -> DataFrame:
     """S3 + P8 + F4 + F27 + P6: monthly archive -> article metadata rows.
 
     ``raw`` has one row per archive response (``response.docs`` array). All
-    documents are kept by default; ``keep=6000`` reproduces the original,
-    which read only the first 6,000 of each response. Then the section
-    IN-list and ``document_type='article'`` filters apply, bylines lose their
-    ``By`` prefix and the headline comes from ``headline.main``.
+    documents are read. The section IN-list and ``document_type='article'``
+    filters apply, bylines lose their ``By`` prefix and the headline comes from
+    ``headline.main``.
     """
-    d = raw.select(F.posexplode("response.docs").alias("pos", "d"))
-    if keep is not None:
-        d = d.where(F.col("pos") < keep)
+    d = raw.select(F.explode("response.docs").alias("d"))
     return (d.where(F.col("d.section_name").isin(*sections))
             .select(F.col("d.headline.main").alias("headline"),
                     F.col("d.document_type").alias("document_type"),

@@ -93,11 +93,32 @@ def _matrix_from_wide(wide: DataFrame, names: Sequence[str], method_col: str) ->
     return one.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
 
 
-def pearson_matrix(long: DataFrame, key: str, series: str, value: str,
-                   names: Sequence[str] | None = None) -> DataFrame:
-    """``(series_a, series_b, pearson)`` for every ordered pair."""
-    names = names or S.series_names(long, series)
-    return _matrix_from_wide(S.wide(long, key, series, value, names), names, "pearson")
+def shared_pairs(long: DataFrame, key: str, series: str, value: str) -> DataFrame:
+    """J3 by pairs: ``(series_a, series_b, x, y)`` for each unordered pair of
+    series (a series with itself too) and each key that both have a value at."""
+    v = long.where(F.col(value).isNotNull())
+    a = v.select(F.col(key).alias("_key"), F.col(series).alias("series_a"), F.col(value).alias("x"))
+    b = v.select(F.col(key).alias("_key"), F.col(series).alias("series_b"), F.col(value).alias("y"))
+    return a.join(b, "_key").where(F.col("series_a") <= F.col("series_b")).drop("_key")
+
+
+def _coefficients(pairs: DataFrame, name: str) -> DataFrame:
+    """Correlation and shared keys per pair, both orders; null where either side
+    is constant. Partial sums per pair, so a task sends one row per pair."""
+    spread = F.stddev_pop("x") * F.stddev_pop("y")
+    g = pairs.groupBy("series_a", "series_b").agg(
+        F.try_divide(F.covar_pop("x", "y"), spread).alias("r"), F.count(F.lit(1)).alias("n"))
+    g = g.withColumn(name, F.when((F.col("series_a") == F.col("series_b")) & F.col("r").isNotNull(),
+                                  F.lit(1.0)).otherwise(F.col("r")))
+    half = g.select("series_a", "series_b", name, "n")
+    return half.unionByName(half.where("series_a <> series_b").select(
+        F.col("series_b").alias("series_a"), F.col("series_a").alias("series_b"), name, "n"))
+
+
+def pearson_matrix(long: DataFrame, key: str, series: str, value: str) -> DataFrame:
+    """``(series_a, series_b, pearson, n)`` for every ordered pair, over the
+    ``n`` keys that the two series share (as pandas ``corr`` takes them)."""
+    return _coefficients(shared_pairs(long, key, series, value), "pearson")
 
 
 # A group (series or pair) is ranked inside one window task only when a
@@ -154,12 +175,14 @@ def average_rank(long: DataFrame, series: str, value: str, out: str = "rank") ->
     return long.where(F.col(value).isNotNull()).join(r, [series, value])
 
 
-def spearman_matrix(long: DataFrame, key: str, series: str, value: str,
-                    names: Sequence[str] | None = None) -> DataFrame:
-    """Pearson of average ranks."""
-    names = names or S.series_names(long, series)
-    ranked = average_rank(long, series, value, "_r")
-    return _matrix_from_wide(S.wide(ranked, key, series, "_r", names), names, "spearman")
+def spearman_matrix(long: DataFrame, key: str, series: str, value: str) -> DataFrame:
+    """Pearson of average ranks, ranked for each pair over its shared keys."""
+    pairs, by = shared_pairs(long, key, series, value), ["series_a", "series_b"]
+    for c in ("x", "y"):
+        r = value_ranks(pairs, by, c).select(
+            *by, c, (F.col("n_below") + (F.col("ties") + 1) / 2.0).alias(f"{c}r"))
+        pairs = pairs.join(r, [*by, c])
+    return _coefficients(pairs.select(*by, F.col("xr").alias("x"), F.col("yr").alias("y")), "spearman")
 
 
 def _ties(cells: DataFrame, cols: list[str], name: str) -> DataFrame:

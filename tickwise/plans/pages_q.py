@@ -39,10 +39,13 @@ def q_page_articles(spark, sf_dir):
     """E5 + J2 + A13: article bodies joined to page metadata by URL, one per URL."""
     p = tables.pages(spark, sf_dir)
     bodies = p.where(P.has_article(F.col("html"))) \
-        .select(F.col("url").alias("web_url"), P.article_text(F.col("html")).alias("content"))
+        .select("page_id", F.col("url").alias("web_url"), P.article_text(F.col("html")).alias("content"))
     meta = p.select("page_id", F.col("url").alias("web_url"), P.page_title(F.col("html")).alias("headline"))
-    j = bodies.join(meta, "web_url")
-    return stats.dedup_first(j, "web_url", ["page_id"]).select("page_id", "web_url", "headline", "content")
+    # one row per URL on either side before the join, so a repeated URL costs
+    # one row per task; page_id makes the first one unique
+    first = stats.dedup_first(bodies, "web_url", ["page_id"]).select("web_url", "content")
+    j = first.join(stats.dedup_first(meta, "web_url", ["page_id"]), "web_url")
+    return j.select("page_id", "web_url", "headline", "content")
 
 
 QUERIES = {
@@ -84,12 +87,12 @@ SELECT page_id, arg_min(href, pos) AS href FROM links WHERE text = {_lit(LINK_TE
   THEN regexp_extract(html, {_lit('(?s)<div\\s[^>]*' + P.class_re('ad') + '[^>]*>([^<]*)')}, 1) END AS ad_text
 FROM pages""",
     "page_articles": f"""WITH b AS (
-  SELECT url AS web_url, regexp_replace(regexp_replace(
+  SELECT page_id, url AS web_url, regexp_replace(regexp_replace(
     array_to_string(regexp_extract_all(html, {_lit(P.ARTICLE_RE)}, 1), ', '), '<.*?>', '', 'g'),
     {_lit(r'^[\[\]]+|[\[\]]+$')}, '', 'g') AS content
   FROM pages WHERE regexp_matches(html, '(?s)<article(?:\\s[^>]*)?>.*?</article>')),
 m AS (SELECT page_id, url AS web_url, regexp_extract(html, {_lit(P.TITLE_RE)}, 1) AS headline FROM pages),
-j AS (SELECT m.page_id, b.web_url, m.headline, b.content,
-        row_number() OVER (PARTITION BY b.web_url ORDER BY m.page_id) AS rn FROM b JOIN m USING (web_url))
-SELECT page_id, web_url, headline, content FROM j WHERE rn = 1""",
+b1 AS (SELECT *, row_number() OVER (PARTITION BY web_url ORDER BY page_id) AS rn FROM b),
+m1 AS (SELECT *, row_number() OVER (PARTITION BY web_url ORDER BY page_id) AS rn FROM m)
+SELECT m1.page_id, web_url, headline, content FROM b1 JOIN m1 USING (web_url) WHERE b1.rn = 1 AND m1.rn = 1""",
 }

@@ -52,15 +52,26 @@ rolled AS (
   FROM idxd i JOIN best b ON b.series = i.coin)"""
 
 
-def pearson_sql(src: str, key: str, val: str, out: str = "pearson") -> str:
+def pearson_sql(src: str, key: str, val: str) -> str:
+    """Pairwise-complete: each pair over the keys that both have."""
     return f"""SELECT a.coin AS series_a, b.coin AS series_b,
-  round(CASE WHEN a.coin = b.coin THEN 1.0 ELSE corr(a.{val}, b.{val}) END, 6) AS {out}
-FROM {src} a JOIN {src} b USING ({key}) GROUP BY 1, 2"""
+  round(CASE WHEN a.coin <> b.coin THEN corr(a.{val}, b.{val})
+             WHEN var_pop(a.{val}) > 0 THEN 1.0 END, 6) AS pearson, count(*) AS n
+FROM {src} a JOIN {src} b USING ({key}) WHERE a.{val} IS NOT NULL AND b.{val} IS NOT NULL
+GROUP BY 1, 2"""
 
 
-def ranks_sql(src: str, val: str) -> str:
-    return f"""(SELECT *, rank() OVER (PARTITION BY coin ORDER BY {val})
-   + (count(*) OVER (PARTITION BY coin, {val}) - 1) / 2.0 AS rk FROM {src})"""
+def spearman_sql(src: str, key: str, val: str) -> str:
+    return f"""SELECT sa AS series_a, sb AS series_b,
+  round(CASE WHEN sa <> sb THEN corr(rx, ry) WHEN var_pop(rx) > 0 THEN 1.0 END, 6) AS spearman,
+  count(*) AS n
+FROM (SELECT sa, sb,
+    rank() OVER (PARTITION BY sa, sb ORDER BY x) + (count(*) OVER (PARTITION BY sa, sb, x) - 1) / 2.0 AS rx,
+    rank() OVER (PARTITION BY sa, sb ORDER BY y) + (count(*) OVER (PARTITION BY sa, sb, y) - 1) / 2.0 AS ry
+  FROM (SELECT a.coin AS sa, b.coin AS sb, a.{val} AS x, b.{val} AS y
+        FROM {src} a JOIN {src} b USING ({key})
+        WHERE a.{val} IS NOT NULL AND b.{val} IS NOT NULL) p) r
+GROUP BY 1, 2"""
 
 
 def kendall_sql(src: str, key: str, val: str) -> str:
@@ -82,6 +93,11 @@ def _pct(spark, sf_dir):
     return S.pct_change(h, "close", "date", ["coin"], out="pct")
 
 
+def _pct_written(spark, sf_dir):
+    """The daily pct series, written once for the matrix jobs."""
+    return materialize(_pct(spark, sf_dir).select("coin", "date", "pct"))
+
+
 def _aligned(spark, sf_dir):
     """Date-aligned pct series (small), materialised for the matrix jobs."""
     return materialize(S.align(_pct(spark, sf_dir).select("coin", "date", "pct"), "date", "coin", "pct"))
@@ -129,11 +145,11 @@ def q_pct_last10(spark, sf_dir):
 
 
 def q_corr_pearson(spark, sf_dir):
-    return finish(stats.pearson_matrix(_aligned(spark, sf_dir), "date", "coin", "pct"))
+    return finish(stats.pearson_matrix(_pct_written(spark, sf_dir), "date", "coin", "pct"))
 
 
 def q_corr_spearman(spark, sf_dir):
-    return finish(stats.spearman_matrix(_aligned(spark, sf_dir), "date", "coin", "pct"))
+    return finish(stats.spearman_matrix(_pct_written(spark, sf_dir), "date", "coin", "pct"))
 
 
 def q_corr_kendall(spark, sf_dir):
@@ -233,14 +249,12 @@ SELECT coin, date, round(coalesce(close - lag(close) OVER (PARTITION BY coin ORD
 SELECT coin, date, round(pct, 6) AS pct FROM (
   SELECT *, row_number() OVER (PARTITION BY coin ORDER BY date DESC) AS rn FROM pct) t
 WHERE rn <= 10""",
-    "corr_pearson": f"{_A} {pearson_sql('aligned', 'date', 'pct')}",
-    "corr_spearman": f"{_A}, rk AS {ranks_sql('aligned', 'pct')} "
-                     f"{pearson_sql('rk', 'date', 'rk', 'spearman')}",
+    "corr_pearson": f"WITH {HIST}, {PCT} {pearson_sql('pct', 'date', 'pct')}",
+    "corr_spearman": f"WITH {HIST}, {PCT} {spearman_sql('pct', 'date', 'pct')}",
     "corr_kendall": f"{_A} {kendall_sql('aligned', 'date', 'pct')}",
     "xcorr_lag": f"{_L} SELECT series, n, raw_lag, lag, round(xcorr_max, 6) AS xcorr_max FROM best",
     "lagged_corr_pearson": f"{_L} {pearson_sql('rolled', 'idx', 'pct')}",
-    "lagged_corr_spearman": f"{_L}, rk AS {ranks_sql('rolled', 'pct')} "
-                            f"{pearson_sql('rk', 'idx', 'rk', 'spearman')}",
+    "lagged_corr_spearman": f"{_L} {spearman_sql('rolled', 'idx', 'pct')}",
     "lagged_corr_kendall": f"{_L} {kendall_sql('rolled', 'idx', 'pct')}",
     "latest_per_coin": f"""WITH {HIST}
 SELECT coin, max(date) AS date, round(arg_max(open, date), 6) AS open,

@@ -6,13 +6,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tickwise.plans.bars_q import MINUTE_FEATURES_SQL, TAGGED_SQL
+from tickwise.plans.bars_q import MINUTE_FEATURES_SQL
 from tickwise.plans.common import finish, sql_list
-from tickwise.sources.tables import NEWS_TYPES, PRICE_TYPES, tag_events
+from tickwise.sources.tables import NEWS_TYPES, PRICE_TYPES, tag_events, tagged_ticks
 from tickwise.streaming import merge, publish, sinks, sources
 
 ALL_TYPES = PRICE_TYPES + NEWS_TYPES
-DELAY_MIN = 10
 
 
 def _tagged_stream(spark, sf_dir):
@@ -36,22 +35,27 @@ def _messages(spark, sf_dir):
 
 
 def q_stream_minute_features(spark, sf_dir):
-    """T4 (+T6/T7/T8 via the runner): closed minutes of the window merge."""
+    """T4 (+T6/T7/T8 via the runner): all minutes of the window merge, those still
+    open at the end of the input flushed."""
     out = sinks.run_to_parquet(merge.window_merge(_tagged_stream(spark, sf_dir)), "minute-window")
-    return finish(out)
+    rest = merge.open_minutes(tagged_ticks(spark, sf_dir), out, merge.DEFAULT_DELAY + " 1 minute")
+    return finish(out.unionByName(rest))
 
 
 def q_stream_state_merge(spark, sf_dir):
-    """T5: minutes emitted by the keyed-state merge after their timeout."""
+    """T5: minutes emitted by the keyed-state merge after their timeout, and those
+    whose timeout the end of the input left open."""
     out = sinks.run_to_parquet(merge.state_merge(_tagged_stream(spark, sf_dir)), "minute-state")
-    return finish(out)
+    tail = f"{merge.DEFAULT_DELAY} {merge.STATE_TIMEOUT_MS // 60000 + 1} minutes"
+    return finish(out.unionByName(merge.open_minutes(tagged_ticks(spark, sf_dir), out, tail)))
 
 
 def q_stream_envelope_roundtrip(spark, sf_dir):
     """T1 + T2 + F25 publish, T3 + F26 parse back to typed rows."""
     typed = merge.typed_rows(merge.parse_events(_messages(spark, sf_dir)))
     out = sinks.run_to_parquet(typed, "envelopes")
-    return finish(out.select("key", "ts", "is_news", "Open", "Volume", "score"))
+    return finish(out.select("key", "ts", "is_news", "Open", "High", "Low", "Close",
+                             "Volume", "score"))
 
 
 QUERIES = {
@@ -60,19 +64,15 @@ QUERIES = {
     "stream_envelope_roundtrip": q_stream_envelope_roundtrip,
 }
 
-_MAX = f"(SELECT max(ts) FROM events WHERE event_type IN ({sql_list(ALL_TYPES)}))"
 ORACLE = {
-    "stream_minute_features": f"""SELECT * FROM ({MINUTE_FEATURES_SQL}) m
-WHERE epoch_ms(Timestamp_Rounded) + 60000 <= epoch_ms({_MAX}) - {DELAY_MIN * 60000}""",
-    "stream_state_merge": f"""WITH last AS (
-  SELECT date_trunc('minute', ts) AS m, max(epoch_ms(ts)) AS ms FROM ({TAGGED_SQL}) t GROUP BY 1)
-SELECT f.* FROM ({MINUTE_FEATURES_SQL}) f JOIN last ON last.m = f.Timestamp_Rounded
-WHERE last.ms + {merge.STATE_TIMEOUT_MS} < epoch_ms({_MAX}) - {DELAY_MIN * 60000}""",
+    "stream_minute_features": MINUTE_FEATURES_SQL,
+    "stream_state_merge": MINUTE_FEATURES_SQL,
     "stream_envelope_roundtrip": f"""SELECT CAST(event_id AS VARCHAR) AS key,
   CASE WHEN event_type IN ({sql_list(NEWS_TYPES)}) THEN date_trunc('second', ts)
        ELSE date_trunc('second', ts) END AS ts,
   event_type IN ({sql_list(NEWS_TYPES)}) AS is_news,
-  CASE WHEN event_type IN ({sql_list(PRICE_TYPES)}) THEN round(value, 6) END AS Open,
+  CASE WHEN event_type IN ({sql_list(PRICE_TYPES)}) THEN round(value, 6) END AS Open, Open AS High,
+  Open AS Low, Open AS Close,
   CASE WHEN event_type IN ({sql_list(PRICE_TYPES)}) THEN round(CAST(json_extract_string(props, '$.k') AS DOUBLE), 6) END AS Volume,
   CASE WHEN event_type IN ({sql_list(NEWS_TYPES)}) THEN round(value, 6) END AS score
 FROM events WHERE event_type IN ({sql_list(ALL_TYPES)})""",

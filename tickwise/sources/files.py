@@ -11,17 +11,20 @@ from pyspark.sql.types import StructType
 from tickwise import schemas
 from tickwise.functions import numeric as num
 from tickwise.functions import timefmt as tf
+from tickwise.session import is_written
 
 
 def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: StructType,
-             header: bool = True, drop_index: str | None = None) -> DataFrame:
+             header: bool = True, drop_index: str | None = None,
+             multi_line: bool = False) -> DataFrame:
     """S1 + U1 (+ S2): one scan over several CSV files with an explicit schema.
 
     ``drop_index`` names a saved row-label column to drop (the unnamed first
-    column pandas writes).
+    column pandas writes). ``multi_line`` is for files with line feeds inside
+    quoted cells; such a file cannot be split and is read by one task.
     """
     df = (spark.read.schema(schema).option("header", header).option("mode", "PERMISSIVE")
-          .option("multiLine", True).option("escape", '"').csv(list(paths) if not isinstance(paths, str) else paths))
+          .option("multiLine", multi_line).option("escape", '"').csv(list(paths) if not isinstance(paths, str) else paths))
     return df.drop(drop_index) if drop_index else df
 
 
@@ -86,11 +89,9 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
 def cached(spark: SparkSession, path: str, build: Callable[[], DataFrame],
            recompile: bool = False, partition_by: Sequence[str] | None = None) -> DataFrame:
     """K4: reuse a materialised table unless ``recompile``; otherwise build,
-    write (cutting the lineage in the shared folder) and read back."""
-    if not recompile:
-        try:
-            return spark.read.parquet(path)
-        except Exception:  # noqa: BLE001 - missing or unreadable cache: rebuild
-            pass
+    write (cutting the lineage in the shared folder) and read back. A table
+    counts as there if its success marker is; any other error is raised."""
+    if not recompile and is_written(spark, path):
+        return spark.read.parquet(path)
     write_table(build(), path, partition_by=partition_by)
     return spark.read.parquet(path)

@@ -40,12 +40,13 @@ STATE_TIMEOUT_MS = 30 * 60 * 1000
 
 PRICE_JSON = T.StructType([T.StructField(c, T.DoubleType())
                            for c in ("Open", "High", "Low", "Close", "Volume")])
+MSG_TYPES = ("price", "news")
 NEWS_JSON = T.StructType([T.StructField("score", T.DoubleType())])
 
 
 def parse_events(messages: DataFrame) -> DataFrame:
     """``value`` envelope JSON -> ``(key, timestamp, msg_type, data)``;
-    malformed messages become null fields and are dropped."""
+    malformed messages go to :func:`rejects`."""
     e = messages.select("key", parse_json("value", schemas.EVENT_ENVELOPE).alias("e"))
     return (e.select("key", F.col("e.timestamp").alias("timestamp"),
                      F.col("e.msg_type").alias("msg_type"), F.col("e.data").alias("data"))
@@ -53,18 +54,44 @@ def parse_events(messages: DataFrame) -> DataFrame:
 
 
 def typed_rows(events: DataFrame) -> DataFrame:
-    """Envelopes -> tagged rows ``(key, ts, is_news, Open..Volume, score)``."""
+    """Envelopes -> tagged rows ``(key, ts, is_news, Open..Volume, score)``, one
+    for each element of ``data``; envelopes without any go to :func:`rejects`."""
     ts = tf.parse_ts(F.col("timestamp"), ENVELOPE_TS_FORMAT.replace(".SSSSSS", "[.SSSSSS]"))
-    first = F.element_at("data", 1)
-    p = F.from_json(first, PRICE_JSON)
-    n = F.from_json(first, NEWS_JSON)
+    p = F.from_json("item", PRICE_JSON)
+    n = F.from_json("item", NEWS_JSON)
     is_news = F.col("msg_type") == "news"
     cols = [F.when(~is_news, p[c]).alias(c) for c in ("Open", "High", "Low", "Close", "Volume")]
-    return (events.where(F.col("msg_type").isin("price", "news"))
+    return (events.where(F.col("msg_type").isin(*MSG_TYPES))
+            .withColumn("item", F.explode("data"))
             .select("key", ts.alias("ts"), is_news.alias("is_news"), *cols,
                     F.when(is_news, n["score"]).alias("score")))
 
 
+def rejects(messages: DataFrame) -> DataFrame:
+    """What :func:`parse_events` and :func:`typed_rows` leave out, ``(key, value,
+    reason)``: ``malformed``, ``unknown type`` or ``empty`` (no data). Write it
+    beside the rows, or count it by reason."""
+    e = messages.select("key", "value", parse_json("value", schemas.EVENT_ENVELOPE).alias("e"))
+    reason = (F.when(F.col("e.msg_type").isNull() | F.col("e.timestamp").isNull(), "malformed")
+              .when(~F.col("e.msg_type").isin(*MSG_TYPES), "unknown type")
+              .when(F.coalesce(F.size("e.data"), F.lit(0)) <= 0, "empty"))
+    return e.select("key", "value", reason.alias("reason")).where(F.col("reason").isNotNull())
+
+
+def open_minutes(tagged: DataFrame, emitted: DataFrame, tail: str) -> DataFrame:
+    """End-of-input flush: features of the minutes that a finished stream has not
+    emitted. ``tagged`` is the same input as a batch; only its last ``tail`` (the
+    watermark delay, and the state timeout if there is one) can hold them."""
+    e = event_time(tagged)
+    last = e.agg(F.max("ets").alias("last"))
+    rows = e.join(F.broadcast(last), F.col("ets") >= F.date_trunc(            # one row
+        "minute", F.col("last") - F.expr(f"interval {tail}")))
+    agg = rows.groupBy(F.date_trunc("minute", "ets").alias("m")).agg(*bars.tagged_aggs())
+    feats = agg.select(tf.ntz(F.col("m")).alias("Timestamp_Rounded"),
+                       "Open", "High", "Low", "Close", "Volume", "Score", "news_count")
+    return feats.join(emitted.select("Timestamp_Rounded"), "Timestamp_Rounded", "left_anti")
+
+
 def event_time(tagged: DataFrame, ts: str = "ts") -> DataFrame:
     """Zone-free timestamps cannot carry a watermark: add ``ets`` as a timestamp."""
     return tagged.withColumn("ets", F.col(ts).cast("timestamp"))

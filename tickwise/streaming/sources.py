@@ -5,15 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from tickwise.session import is_folder
+
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str,
                  max_files_per_trigger: int | None = None) -> DataFrame:
-    """A Parquet table folder read as a file stream (schema taken from the table)."""
-    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").schema
-    r = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+    """A Parquet table read as a file stream (schema taken from the table): a
+    folder of part files, or one file (a stream then reads its parent folder,
+    filtered to that name)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    r = spark.readStream.schema(spark.read.parquet(path).schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.parquet(sf_dir)
+    if is_folder(spark, path):
+        return r.parquet(path)
+    return r.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
 def csv_stream(spark: SparkSession, path: str, schema: StructType, header: bool = False,
@@ -35,7 +41,7 @@ def text_stream(spark: SparkSession, path: str, max_files_per_trigger: int | Non
 
 
 def kafka_options(servers: str, topic: str, starting_offsets: str | None = None,
-                  max_offsets_per_trigger: int | None = 5) -> dict[str, str]:
+                  max_offsets_per_trigger: int | None = None) -> dict[str, str]:
     """Options of the message-bus source (topic, start offsets, rate limit)."""
     opts = {"kafka.bootstrap.servers": servers, "subscribe": topic}
     if starting_offsets:
@@ -47,7 +53,7 @@ def kafka_options(servers: str, topic: str, starting_offsets: str | None = None,
 
 def kafka_stream(spark: SparkSession, servers: str, topic: str,
                  starting_offsets: str | None = None,
-                 max_offsets_per_trigger: int | None = 5) -> DataFrame:
+                 max_offsets_per_trigger: int | None = None) -> DataFrame:
     """``key, value`` strings from a topic (needs the Kafka connector jar)."""
     r = spark.readStream.format("kafka").options(
         **kafka_options(servers, topic, starting_offsets, max_offsets_per_trigger))
