@@ -82,10 +82,10 @@ def _tau_b(x, y):
     return s / math.sqrt(nx * ny)
 
 
-@pytest.mark.parametrize("buckets,one_task_max", [(256, 1_000_000), (4, 0)])
-def test_correlation_matrices_with_ties(spark, monkeypatch, buckets, one_task_max):
-    monkeypatch.setattr(stats, "RANK_BUCKETS", buckets)
-    monkeypatch.setattr(stats, "SINGLE_TASK_MAX", one_task_max)   # 0 forces the bucketed path
+@pytest.mark.parametrize("grid,bucket_rows", [(256, 4096), (8, 7)])
+def test_correlation_matrices_with_ties(spark, monkeypatch, grid, bucket_rows):
+    monkeypatch.setattr(stats, "RANK_GRID", grid)
+    monkeypatch.setattr(stats, "BUCKET_ROWS", bucket_rows)        # small: many buckets
     rng = np.random.default_rng(3)
     n = 120
     data = {"a": rng.integers(0, 6, n).astype(float),          # heavy ties
@@ -122,6 +122,31 @@ def test_best_lag_and_roll(spark):
     assert got_raw == list(np.roll(x, int(np.argmax(z))))
 
 
+@pytest.mark.parametrize("block", [1024, 8, 1])
+def test_lag_products_over_blocks_and_gaps(spark, monkeypatch, block):
+    monkeypatch.setattr(S, "LAG_BLOCK", block)
+    rng = np.random.default_rng(5)
+    n = 50
+    there = {"ref": sorted(rng.choice(n, 31, replace=False)), "x": sorted(rng.choice(n, 23, replace=False)),
+             "one": [7]}
+    rows = [(k, int(i), float(rng.normal())) for k, at in there.items() for i in at] + [("x", 3, None), ("none", 2, None)]
+    ix = spark.createDataFrame(rows, "coin string, idx long, v double")
+    want: dict = {}
+    for k, i, v in rows:
+        for k2, j, w in rows:
+            if k2 == "ref" and v is not None and w is not None:
+                z, c = want.get((k, i - j), (0.0, 0))
+                want[(k, i - j)] = (z + v * w, c + 1)
+    got = {(r.series, r.lag): (r.z, r.pairs) for r in S.lag_products(ix, "coin", "v", "ref").collect()}
+    assert got.keys() == want.keys()
+    for k, (z, c) in want.items():
+        assert got[k][0] == pytest.approx(z, abs=1e-12) and got[k][1] == c
+    best = {r.series: r for r in S.best_lag(ix, "coin", "v", "ref").collect()}
+    assert best["x"].lag == max((z, -d) for (k, d), (z, _) in want.items() if k == "x")[1] * -1
+    assert best["x"].raw_lag == best["x"].lag + best["x"].n - 1 and "none" not in best
+    assert S.best_lag(ix.where("false"), "coin", "v", "ref").count() == 0
+
+
 def test_shares_topk_dedup_latest_and_max(spark):
     df = spark.createDataFrame([("a", 5.0, 1), ("b", 3.0, 2), ("c", 1.0, 3), ("d", 1.0, 4), ("a", 1.0, 5)],
                                "name string, v double, k int")
@@ -148,8 +173,11 @@ def test_correlations_are_pairwise_complete(spark):
     long = spark.createDataFrame([(s, d, v) for s, m in (("a", a), ("b", b), ("c", c)) for d, v in m.items()],
                                  "coin string, d int, v double")
     frame = pd.DataFrame({"a": a, "b": b, "c": c})
-    for fn, name in ((stats.pearson_matrix, "pearson"), (stats.spearman_matrix, "spearman")):
-        want = frame.corr(name)
+    for fn, name in ((stats.pearson_matrix, "pearson"), (stats.spearman_matrix, "spearman"),
+                     (stats.kendall_matrix, "kendall")):
+        want = frame.corr(name) if name != "kendall" else pd.DataFrame(
+            {x: {y: 1.0 if x == y else None if "c" in (x, y) else
+                 _tau_b(*frame[[x, y]].dropna().to_numpy().T) for y in frame} for x in frame})
         got = {(r.series_a, r.series_b): (r[name], r.n) for r in fn(long, "d", "coin", "v").collect()}
         assert len(got) == 9
         for (x, y), (r, n) in got.items():

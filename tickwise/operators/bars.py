@@ -8,10 +8,13 @@ one pre-aggregated row per bucket per task crosses the shuffle. A hot bucket
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickwise.functions import timefmt as tf
+from tickwise.session import materialize
 
 UNIT_SECONDS = {"minute": 60, "hour": 3600, "day": 86400}
 
@@ -116,23 +119,24 @@ def time_spine(df: DataFrame, bucket_col: str, unit: str = "hour",
         .select(*keys, bucket_col)
 
 
-def dense_bucket_agg(df: DataFrame, ts: str, value: str, how: str,
-                     unit: str = "hour", out: str | None = None) -> DataFrame:
-    """Bucket aggregate over a gap-free calendar.
+def dense_bucket_agg(df: DataFrame, ts: str, value: str | Sequence[str], how: str,
+                     unit: str = "hour", out: str | Sequence[str] | None = None) -> DataFrame:
+    """Bucket aggregate of one or several values over a gap-free calendar.
 
     ``how='sum'``: empty bucket = 0 (pandas ``resample().sum()``);
     ``how='mean'``: empty bucket = null; ``how='count'``: empty bucket = 0.
+    The buckets (one row each) are written once: the calendar's bounds and the
+    result both read them, and the input is read once.
     """
-    out = out or f"{value}_{how}"
-    b = tf.ntz(F.date_trunc(unit, F.col(ts))).alias("bucket")
-    v = F.col(value)
-    agg = {"sum": F.coalesce(F.sum(v), F.lit(0.0)), "mean": F.avg(v),
-           "count": F.count(v)}[how]
-    per = df.groupBy(b).agg(agg.alias(out))
-    spine = time_spine(per, "bucket", unit)
-    filled = {"sum": F.coalesce(F.col(out), F.lit(0.0)), "mean": F.col(out),
-              "count": F.coalesce(F.col(out), F.lit(0)).cast("bigint")}[how]
-    return spine.join(per, "bucket", "left").select("bucket", filled.alias(out))
+    values = [value] if isinstance(value, str) else list(value)
+    outs = [out] if isinstance(out, str) else list(out or [f"{v}_{how}" for v in values])
+    agg = {"sum": lambda v: F.coalesce(F.sum(v), F.lit(0.0)), "mean": F.avg, "count": F.count}[how]
+    per = materialize(df.groupBy(tf.ntz(F.date_trunc(unit, F.col(ts))).alias("bucket"))
+                      .agg(*[agg(F.col(v)).alias(o) for v, o in zip(values, outs)]))
+    fill = {"sum": lambda c: F.coalesce(c, F.lit(0.0)), "mean": lambda c: c,
+            "count": lambda c: F.coalesce(c, F.lit(0)).cast("bigint")}[how]
+    return time_spine(per, "bucket", unit).join(per, "bucket", "left").select(
+        "bucket", *[fill(F.col(o)).alias(o) for o in outs])
 
 
 def daily_sum(df: DataFrame, date_col: str, values: list[str]) -> DataFrame:

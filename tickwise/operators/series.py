@@ -11,14 +11,13 @@ from __future__ import annotations
 
 import sys
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 # Python functions of this module run inside tasks: ship them by value so
@@ -134,8 +133,7 @@ def with_row_index(df: DataFrame, order: Sequence[str], bucket: Column,
     and bounded in size, because each bucket's rows are numbered in one task:
     the day of a minute series holds at most 1,440 rows. Rows are numbered
     inside each bucket; bucket offsets come from a table
-    with one row per bucket (bounded by the time span, broadcast). The
-    result only depends on the data, not on partitioning, so a recomputed
+    with one row per bucket (bounded by the time span). The result only depends on the data, not on partitioning, so a recomputed
     task after executor loss yields the same numbers.
     """
     d = df.withColumn("_b", bucket)
@@ -144,64 +142,80 @@ def with_row_index(df: DataFrame, order: Sequence[str], bucket: Column,
     offs = counts.select("_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
                          F.sum("_n").over(Window.partitionBy()).alias("_total"))
     w = Window.partitionBy("_b").orderBy(*order)
-    out = (d.join(F.broadcast(offs), "_b")
+    out = (d.join(offs, "_b")
            .withColumn(idx, F.row_number().over(w) - 1 + F.col("_off")))
     if total:
         out = out.withColumnRenamed("_total", total)
     return out.drop("_b", "_off", "_n", "_total")
 
 
-def align(df: DataFrame, key: str, series: str, value: str) -> DataFrame:
-    """Keep only keys (dates) where every series has a row (inner alignment)."""
-    n_series = df.select(F.count_distinct(series)).scalar()
-    w = Window.partitionBy(key)
-    return (df.where(F.col(value).isNotNull())
-            .withColumn("_k", F.count(F.lit(1)).over(w))
-            .where(F.col("_k") == n_series).drop("_k"))
-
-
-def wide(df: DataFrame, key: str, series: str, value: str, names: Sequence[str]) -> DataFrame:
-    """Long -> wide (one column per series), one row per key."""
-    return df.groupBy(key).pivot(series, list(names)).agg(F.first(value))
-
-
-def series_names(df: DataFrame, series: str) -> list[str]:
-    """Distinct series names (bounded by the number of series)."""
-    return [r[0] for r in df.select(series).distinct().orderBy(series).collect()]
-
-
 # --- cross-correlation lag (W10-W12) --------------------------------------
 
-def _xcorr_group(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values("idx")
-    x = pdf["x"].to_numpy(dtype=float)
-    y = pdf["y"].to_numpy(dtype=float)
-    n = len(x)
-    z = np.correlate(x, y, mode="full")        # lags -(n-1) .. n-1
-    k = int(np.argmax(z))                       # first maximum
-    return pd.DataFrame({"series": [pdf["series"].iloc[0]], "n": [n], "raw_lag": [k],
-                         "lag": [k - (n - 1)], "xcorr_max": [float(z[k])]})
-
-
-XCORR_SCHEMA = T.StructType([
-    T.StructField("series", T.StringType()), T.StructField("n", T.LongType()),
-    T.StructField("raw_lag", T.LongType()), T.StructField("lag", T.LongType()),
-    T.StructField("xcorr_max", T.DoubleType())])
+LAG_BLOCK = 1024        # steps of the index in one block of a series
+
+
+def _block_products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Sums of products by lag for pairs of blocks (dense vectors; a step without
+    a row adds nothing). Pairs of a batch on one block diagonal are added up."""
+    for pdf in batches:
+        sums: dict = {}
+        for r in pdf.itertuples(index=False):
+            side = []
+            for at, v in ((r.xi, r.xv), (r.yi, r.yv)):
+                dense, there = np.zeros(LAG_BLOCK), np.zeros(LAG_BLOCK)
+                dense[np.asarray(at)], there[np.asarray(at)] = v, 1.0
+                side.append((dense, there))
+            (x, hx), (y, hy) = side
+            z = np.stack([np.correlate(x, y, "full"), np.correlate(hx, hy, "full")])
+            k = (r.series, r.i - r.j)
+            sums[k] = sums[k] + z if k in sums else z
+        keys = list(sums)
+        yield pd.DataFrame({
+            "series": [k[0] for k in keys],
+            "base": np.array([k[1] * LAG_BLOCK - (LAG_BLOCK - 1) for k in keys], dtype="int64"),
+            "z": [sums[k][0].tolist() for k in keys],
+            "pairs": [np.rint(sums[k][1]).astype("int64").tolist() for k in keys]})
+
+
+def lag_products(indexed: DataFrame, series: str, value: str, reference: str) -> DataFrame:
+    """``(series, lag, z, pairs)`` for every lag at which a series and the
+    reference have rows ``lag`` steps apart: the sum of products and their number.
+
+    Both are cut into blocks of ``LAG_BLOCK`` steps, each block meets each block
+    of the reference (an equi-join on the block number), and the partial sums are
+    added by lag, so no task holds a whole series.
+    """
+    b = (indexed.where(F.col(value).isNotNull())
+         .select(F.col(series).alias("series"), F.floor(F.col("idx") / LAG_BLOCK).alias("i"),
+                 F.pmod("idx", F.lit(LAG_BLOCK)).cast("int").alias("at"),
+                 F.col(value).cast("double").alias("v"))
+         .groupBy("series", "i").agg(F.collect_list(F.struct("at", "v")).alias("r"))
+         .select("series", "i", F.col("r.at").alias("xi"), F.col("r.v").alias("xv")))
+    ref = b.where(F.col("series") == reference).select(
+        F.col("i").alias("j"), F.col("xi").alias("yi"), F.col("xv").alias("yv"))
+    ends = ref.agg(F.min("j").alias("lo"), F.max("j").alias("hi"))
+    every = F.explode(F.sequence(ends.select("lo").scalar(), ends.select("hi").scalar())).alias("j")
+    met = b.select("*", every).join(ref, "j").select("series", "i", "j", "xi", "xv", "yi", "yv")
+    # shipped by value with the block length in force, so tasks agree with the driver
+    sums = met.mapInPandas(_block_products, "series string, base long, z array<double>, pairs array<long>")
+    return (sums.select("series", "base", F.posexplode(F.arrays_zip("z", "pairs")).alias("p", "s"))
+            .groupBy("series", (F.col("base") + F.col("p")).alias("lag"))
+            .agg(F.sum("s.z").alias("z"), F.sum("s.pairs").alias("pairs")).where(F.col("pairs") > 0))
 
 
 def best_lag(indexed: DataFrame, series: str, value: str, reference: str) -> DataFrame:
-    """W10 + W11: per series, the lag maximising the cross-correlation with
-    ``reference`` (argmax over all 2n-1 lags, first on ties).
+    """W10 + W11: ``(series, n, raw_lag, lag, xcorr_max)``, per series the lag that
+    maximises the cross-correlation with ``reference`` (first on ties).
 
-    Input: ``(series, idx, value)`` aligned on a dense ``idx``. Each group
-    holds one aligned series (bounded by the number of dates, not by the
-    raw data), so the O(n log n) correlation runs vectorised in one task per
-    series instead of emitting all n^2 index pairs.
+    Input: ``(series, idx, value)``; ``idx`` counts steps (days) from 0 and may
+    have gaps. ``n`` is the span of ``idx`` over all series, and ``raw_lag`` the
+    place among its 2n-1 lags.
     """
-    ref = indexed.where(F.col(series) == reference).select("idx", F.col(value).alias("y"))
-    pairs = indexed.select(F.col(series).alias("series"), "idx", F.col(value).alias("x")) \
-        .join(ref, "idx")
-    return pairs.groupBy("series").applyInPandas(_xcorr_group, XCORR_SCHEMA)
+    n = indexed.agg((F.max("idx") + 1).cast("long")).scalar()
+    top = lag_products(indexed, series, value, reference).groupBy("series").agg(
+        F.max(F.struct("z", (-F.col("lag")).alias("back"))).alias("m"))
+    return top.select("series", n.alias("n"), (n - 1 - F.col("m.back")).alias("raw_lag"),
+                      (-F.col("m.back")).alias("lag"), F.col("m.z").alias("xcorr_max"))
 
 
 def roll(indexed: DataFrame, lags: DataFrame, series: str, n: int | Column,
@@ -213,6 +227,5 @@ def roll(indexed: DataFrame, lags: DataFrame, series: str, n: int | Column,
     """
     shift = F.col("raw_lag") if raw else -F.col("lag")
     n_c = n if isinstance(n, Column) else F.lit(n)
-    j = indexed.join(F.broadcast(lags.select(F.col("series").alias(series), "raw_lag", "lag")),
-                     series)
+    j = indexed.join(lags.select(F.col("series").alias(series), "raw_lag", "lag"), series)
     return j.withColumn("idx", F.pmod(F.col("idx") + shift, n_c)).drop("raw_lag", "lag")

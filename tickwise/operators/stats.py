@@ -1,22 +1,18 @@
 """Statistics: category counts and shares, dedup, correlation matrices, metrics.
 
-Correlation matrices take a long table ``(key, series, value)`` whose keys are
-aligned (see ``series.align``). Pearson and Spearman are one aggregation pass
-over the wide table (one ``corr`` per pair, partial aggregation, a single
-final row), never a self-join emitting all series pairs per key. Kendall's
-tau-b counts discordant pairs by bit levels of the y rank (O(n log n) rows per
-pair of series) instead of comparing all n^2 row pairs.
+Correlation matrices take a long table ``(key, series, value)`` and are pairwise
+complete: two series are compared over the keys that both have. Kendall's tau-b
+counts discordant pairs by bit levels of the y rank (O(n log n) rows per pair of
+series) instead of comparing all n^2 row pairs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickwise.operators import series as S
 from tickwise.session import materialize
 
 
@@ -31,16 +27,16 @@ def share_of_total(df: DataFrame, label: str, value: str | None = None,
                    digits: int = 1) -> DataFrame:
     """Percent of the total per label (``autopct`` with one decimal).
 
-    ``value=None`` counts rows. The total is a window over the grouped table,
-    which has one row per label, so the input is aggregated only once.
+    ``value=None`` counts rows. The total is a one-number subquery over the
+    grouped table (the same exchange, so the input is aggregated once).
     """
     agg = F.count(F.lit(1)) if value is None else F.sum(value)
-    # The null-label group is removed only after the window: a filter on a
-    # derived label placed before the aggregate would be pushed into the
-    # projection that computes the label and evaluate it twice.
+    # The null-label group is removed only after the aggregate: a filter on a
+    # derived label placed before it would be pushed into the projection that
+    # computes the label and evaluate it twice.
     g = df.groupBy(label).agg(agg.cast("double").alias("amount"))
     known = F.col(label).isNotNull()
-    total = F.sum(F.when(known, F.col("amount"))).over(Window.partitionBy())
+    total = g.agg(F.sum(F.when(known, F.col("amount")))).scalar()
     return (g.select(label, "amount",
                      F.round(F.try_divide(F.col("amount") * 100.0, total), digits).alias("pct"))
             .where(known))
@@ -48,12 +44,15 @@ def share_of_total(df: DataFrame, label: str, value: str | None = None,
 
 def top_k_with_other(df: DataFrame, label: str, value: str, k: int,
                      other: str = "other") -> DataFrame:
-    """Keep the ``k`` largest labels (ties broken by label), sum the rest."""
+    """Keep the ``k`` largest labels (ties broken by label), sum the rest.
+
+    The top ``k`` come from a distributed ordered limit over the grouped table.
+    """
     g = df.groupBy(label).agg(F.sum(value).alias("amount"))
-    w = Window.orderBy(F.col("amount").desc(), F.col(label).desc())
-    # One row per label: the window sorts the already-aggregated table.
-    r = g.withColumn("_rn", F.row_number().over(w))
-    lab = F.when(F.col("_rn") <= k, F.col(label)).otherwise(F.lit(other))
+    top = (g.orderBy(F.col("amount").desc(), F.col(label).desc()).limit(k)
+           .select(F.col(label).alias("_top"), F.lit(True).alias("_in")))
+    r = g.join(top, F.col(label).eqNullSafe(F.col("_top")), "left")
+    lab = F.when(F.col("_in"), F.col(label)).otherwise(F.lit(other))
     return r.groupBy(lab.alias(label)).agg(F.sum("amount").alias("amount"))
 
 
@@ -73,26 +72,6 @@ def dedup_first(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
 
 # --- correlation matrices ----------------------------------------------------
 
-def _matrix_from_wide(wide: DataFrame, names: Sequence[str], method_col: str) -> DataFrame:
-    if not names:
-        return wide.sparkSession.createDataFrame(
-            [], f"series_a string, series_b string, {method_col} double")
-    pairs = [(a, b) for a, b in combinations(names, 2)]
-    aggs = [F.corr(F.col(f"`{a}`"), F.col(f"`{b}`")).alias(f"c{i}") for i, (a, b) in enumerate(pairs)]
-    if not aggs:
-        aggs = [F.count(F.lit(1)).alias("_n")]
-    one = wide.agg(*aggs)
-    cells = []
-    for i, (a, b) in enumerate(pairs):
-        cells += [F.struct(F.lit(a).alias("series_a"), F.lit(b).alias("series_b"),
-                           F.col(f"c{i}").alias(method_col)),
-                  F.struct(F.lit(b).alias("series_a"), F.lit(a).alias("series_b"),
-                           F.col(f"c{i}").alias(method_col))]
-    cells += [F.struct(F.lit(a).alias("series_a"), F.lit(a).alias("series_b"),
-                       F.lit(1.0).alias(method_col)) for a in names]
-    return one.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
-
-
 def shared_pairs(long: DataFrame, key: str, series: str, value: str) -> DataFrame:
     """J3 by pairs: ``(series_a, series_b, x, y)`` for each unordered pair of
     series (a series with itself too) and each key that both have a value at."""
@@ -108,9 +87,14 @@ def _coefficients(pairs: DataFrame, name: str) -> DataFrame:
     spread = F.stddev_pop("x") * F.stddev_pop("y")
     g = pairs.groupBy("series_a", "series_b").agg(
         F.try_divide(F.covar_pop("x", "y"), spread).alias("r"), F.count(F.lit(1)).alias("n"))
-    g = g.withColumn(name, F.when((F.col("series_a") == F.col("series_b")) & F.col("r").isNotNull(),
-                                  F.lit(1.0)).otherwise(F.col("r")))
-    half = g.select("series_a", "series_b", name, "n")
+    return _both_orders(g, name)
+
+
+def _both_orders(g: DataFrame, name: str) -> DataFrame:
+    """``(series_a, series_b, name, n)`` of both orders from ``r`` of one order; a
+    series with itself has 1 (or null, where it is constant)."""
+    own = (F.col("series_a") == F.col("series_b")) & F.col("r").isNotNull()
+    half = g.select("series_a", "series_b", F.when(own, F.lit(1.0)).otherwise(F.col("r")).alias(name), "n")
     return half.unionByName(half.where("series_a <> series_b").select(
         F.col("series_b").alias("series_a"), F.col("series_a").alias("series_b"), name, "n"))
 
@@ -121,156 +105,138 @@ def pearson_matrix(long: DataFrame, key: str, series: str, value: str) -> DataFr
     return _coefficients(shared_pairs(long, key, series, value), "pearson")
 
 
-# A group (series or pair) is ranked inside one window task only when a
-# count proves it has at most SINGLE_TASK_MAX distinct values; larger groups
-# are cut into RANK_BUCKETS approximate-quantile buckets.
-RANK_BUCKETS = 256
-SINGLE_TASK_MAX = 1_000_000
+# A series' distinct values are cut at up to RANK_GRID approximate quantiles, one
+# bucket for each BUCKET_ROWS of them; ranks are cut into blocks of BUCKET_ROWS.
+RANK_GRID = 256
+BUCKET_ROWS = 4096
 
 
-def _fits_one_task(distinct: DataFrame, by: Sequence[str]) -> bool:
-    """Size check: largest group of a distinct-value table (one small job)."""
-    biggest = distinct.groupBy(*by).count().agg(F.max("count")).first()[0]
-    return (biggest or 0) <= SINGLE_TASK_MAX
+def _running(c: DataFrame, by: Sequence[str], bucket: str, order: str, sums: dict[str, str]) -> DataFrame:
+    """Adds, per group, the sum of each column (``sums``: column -> output) over
+    the rows of a smaller ``order``. Rows are summed per bucket (``bucket`` rises
+    with ``order``), buckets are offset, and the windows run inside one bucket."""
+    by = list(by)
+    per = c.groupBy(*by, bucket).agg(*[F.sum(k).alias(f"_b_{k}") for k in sums])
+    before = Window.partitionBy(*by).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select(*by, bucket, *[F.coalesce(F.sum(f"_b_{k}").over(before), F.lit(0)).alias(f"_o_{k}")
+                                    for k in sums])
+    w = Window.partitionBy(*by, bucket).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return c.join(per, [*by, bucket]).select(*c.columns, *[
+        (F.col(f"_o_{k}") + F.coalesce(F.sum(k).over(w), F.lit(0))).alias(out) for k, out in sums.items()])
 
 
-def value_ranks(df: DataFrame, by: Sequence[str], value: str,
-                buckets: int | None = None, weight: str | None = None) -> DataFrame:
+def value_ranks(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     """One row per ``(by, distinct value)``: ``ties`` (rows with that value),
     ``n_below`` (rows with a smaller value) and ``dense`` (0-based dense rank).
 
     Works on distinct values (a value repeated across a third of the rows is
-    one row after a partial aggregate). Distinct values are cut into
-    approximate-quantile buckets; per-bucket offsets come from a table of
-    ``groups x buckets`` rows, and the windows run inside one bucket.
+    one row after a partial aggregate), cut into approximate-quantile buckets:
+    one for each ``BUCKET_ROWS`` values of the group.
     """
     by = list(by)
-    buckets = buckets or RANK_BUCKETS
-    n = F.sum(weight) if weight else F.count(F.lit(1))     # rows a (weighted) row stands for
     c = (df.where(F.col(value).isNotNull()).groupBy(*by, value)
-         .agg(n.alias("ties")))
-    if _fits_one_task(c, by):
-        w = Window.partitionBy(*by).orderBy(value)
-        below = F.coalesce(F.sum("ties").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        return c.select(*by, value, "ties", below.alias("n_below"),
-                        (F.row_number().over(w) - 1).alias("dense"))
-    probs = [k / buckets for k in range(1, buckets)]
-    q = c.groupBy(*by).agg(F.percentile_approx(value, probs, 10000).alias("_q"))
-    c = c.join(q, by).withColumn("_b", F.size(F.filter("_q", lambda x: x < F.col(value)))).drop("_q")
-    per = c.groupBy(*by, "_b").agg(F.sum("ties").alias("_bt"), F.count(F.lit(1)).alias("_bd"))
-    before = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    per = per.select(*by, "_b", F.coalesce(F.sum("_bt").over(before), F.lit(0)).alias("_ro"),
-                     F.coalesce(F.sum("_bd").over(before), F.lit(0)).alias("_do"))
-    c = c.join(per, [*by, "_b"])
-    w = Window.partitionBy(*by, "_b").orderBy(value)
-    below = F.coalesce(F.sum("ties").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return c.select(*by, value, "ties", (F.col("_ro") + below).alias("n_below"),
-                    (F.col("_do") + F.row_number().over(w) - 1).alias("dense"))
-
-
-def average_rank(long: DataFrame, series: str, value: str, out: str = "rank") -> DataFrame:
-    """Average rank (ties share the mean of their positions), 1-based, per series."""
-    r = value_ranks(long, [series], value)
-    r = r.select(series, value, (F.col("n_below") + (F.col("ties") + 1) / 2.0).alias(out))
-    return long.where(F.col(value).isNotNull()).join(r, [series, value])
+         .agg(F.count(F.lit(1)).alias("ties")))
+    grid = [k / RANK_GRID for k in range(1, RANK_GRID)]
+    q = c.groupBy(*by).agg(F.percentile_approx(value, grid, 10000).alias("_q"),
+                           F.ceil(F.count(F.lit(1)) / F.lit(BUCKET_ROWS)).alias("_k"))
+    place = F.size(F.filter("_q", lambda x: x < F.col(value)))
+    bucket = F.floor(place * F.least("_k", F.lit(RANK_GRID)) / F.lit(RANK_GRID))
+    c = c.join(q, by).select(*by, value, "ties", F.lit(1).alias("_one"), bucket.alias("_b"))
+    return _running(c, by, "_b", value, {"ties": "n_below", "_one": "dense"}).drop("_b", "_one")
+
+
+def ranked(long: DataFrame, series: str, value: str) -> DataFrame:
+    """The rows with a value, which is replaced by its dense rank in the series.
+    Every order statistic of pairs can be read off these ranks, so a series is
+    ranked once, not once for each partner."""
+    v = long.where(F.col(value).isNotNull())
+    r = value_ranks(v, [series], value).select(series, value, F.col("dense").alias("_r"))
+    return v.join(r, [series, value]).drop(value).withColumnRenamed("_r", value)
+
+
+def _average_ranks(cells: DataFrame, by: list[str], col: str) -> DataFrame:
+    """Per pair the average rank of each distinct ``col`` (a dense rank) of weighted cells."""
+    c = cells.groupBy(*by, col).agg(F.sum("cnt").alias("t"))
+    c = c.withColumn("_b", F.floor(F.col(col) / BUCKET_ROWS))
+    r = _running(c, by, "_b", col, {"t": "below"})
+    return r.select(*by, col, (F.col("below") + (F.col("t") + 1) / 2.0).alias(f"{col}r"))
+
+
+_PAIR = ["series_a", "series_b"]
+
+
+def _cells(long: DataFrame, key: str, series: str, value: str) -> DataFrame:
+    """Distinct rank pairs ``(x, y)`` of each pair of series with their counts:
+    every later step reads them, so they are computed once and written."""
+    pairs = shared_pairs(ranked(long, series, value), key, series, value)
+    return materialize(pairs.groupBy(*_PAIR, "x", "y").agg(F.count(F.lit(1)).alias("cnt")))
 
 
 def spearman_matrix(long: DataFrame, key: str, series: str, value: str) -> DataFrame:
     """Pearson of average ranks, ranked for each pair over its shared keys."""
-    pairs, by = shared_pairs(long, key, series, value), ["series_a", "series_b"]
+    cells = _cells(long, key, series, value)
+    n = cells.groupBy(*_PAIR).agg(F.sum("cnt").alias("n"))
+    both = cells.join(n, _PAIR)
     for c in ("x", "y"):
-        r = value_ranks(pairs, by, c).select(
-            *by, c, (F.col("n_below") + (F.col("ties") + 1) / 2.0).alias(f"{c}r"))
-        pairs = pairs.join(r, [*by, c])
-    return _coefficients(pairs.select(*by, F.col("xr").alias("x"), F.col("yr").alias("y")), "spearman")
+        both = both.join(_average_ranks(cells, _PAIR, c), [*_PAIR, c])
+    # the mean of average ranks is (n + 1) / 2 on both sides
+    x, y = (F.col(c) - (F.col("n") + 1) / 2.0 for c in ("xr", "yr"))
+    g = both.groupBy(*_PAIR).agg(
+        F.max("n").alias("n"), F.sum(F.col("cnt") * x * y).alias("sxy"),
+        F.sum(F.col("cnt") * x * x).alias("sxx"), F.sum(F.col("cnt") * y * y).alias("syy"))
+    r = F.try_divide(F.col("sxy"), F.sqrt(F.col("sxx") * F.col("syy")))
+    return _both_orders(g.select(*_PAIR, r.alias("r"), "n"), "spearman")
 
 
 def _ties(cells: DataFrame, cols: list[str], name: str) -> DataFrame:
     """Tied pairs ``sum t(t-1)/2`` over groups of equal ``cols`` (from weighted cells)."""
-    t = cells.groupBy("pair", *cols).agg(F.sum("cnt").alias("t")) if cols else cells.withColumnRenamed("cnt", "t")
-    return t.groupBy("pair").agg(F.sum(F.col("t") * (F.col("t") - 1) / 2).alias(name),
+    t = cells.groupBy(*_PAIR, *cols).agg(F.sum("cnt").alias("t")) if cols else cells.withColumnRenamed("cnt", "t")
+    return t.groupBy(*_PAIR).agg(F.sum(F.col("t") * (F.col("t") - 1) / 2).alias(name),
                                  F.sum("t").alias("n"))
 
 
-def kendall_matrix(long: DataFrame, key: str, series: str, value: str,
-                   names: Sequence[str] | None = None) -> DataFrame:
-    """Kendall tau-b for every ordered pair of series.
+def kendall_matrix(long: DataFrame, key: str, series: str, value: str) -> DataFrame:
+    """Kendall tau-b ``(series_a, series_b, kendall, n)`` for every ordered
+    pair of series over the ``n`` keys that both have; 1 for a series with itself.
 
     Per pair with rows (x, y), the strictly discordant pairs are
-    ``D = sum_j #{i : x_i < x_j and y_i > y_j}``. With ``ry`` the dense rank
-    of y, such a pair first differs at some bit ``l`` of ``ry`` where i has 1
-    and j has 0 and the higher bits (the prefix) agree. So per bit level and
-    prefix, D adds ``c0(x) * (ones at smaller x)``, a running count over
-    distinct x. Rows are first reduced to distinct ``(x, ry)`` with counts
-    (hot values collapse), and the running count is a prefix sum over
-    approximate-quantile blocks of the distinct x values, so no window holds
-    a whole pair.
-    O(n log n) rows instead of n^2 row pairs. Then
+    ``D = sum_j #{i : x_i < x_j and y_i > y_j}``. With y a dense rank, such a
+    pair first differs at some bit ``l`` of y where i has 1 and j has 0 and the
+    higher bits (the prefix) agree. So per bit level and prefix, D adds
+    ``c0(x) * (ones at smaller x)``, a running count over distinct x. Rows are
+    first reduced to distinct ``(x, y)`` with counts (hot values collapse), and
+    the running count is a prefix sum over blocks of x ranks, so no window holds
+    a whole pair. O(n log n) rows instead of n^2 row pairs. Then
     ``tau_b = (C - D) / sqrt((n0 - Tx)(n0 - Ty))`` with
     ``C = n0 - Tx - Ty + Txy - D`` and tie counts from group-bys.
     """
-    spark = long.sparkSession
-    names = names or S.series_names(long, series)
-    pairs = list(combinations(names, 2))
-    schema = "series_a string, series_b string, kendall double"
-    diag = spark.createDataFrame([(a, a, 1.0) for a in names], schema)
-    if not pairs:
-        return diag
-    wide = S.wide(long, key, series, value, names)
-    rows = F.explode(F.array(*[
-        F.struct(F.lit(i).alias("pair"), F.col(f"`{a}`").alias("x"), F.col(f"`{b}`").alias("y"))
-        for i, (a, b) in enumerate(pairs)])).alias("r")
-    xy = wide.select(rows).select("r.*").where(F.col("x").isNotNull() & F.col("y").isNotNull())
-    # Every later step reads the distinct (x, y) cells with their counts:
-    # computed once and cut from the lineage (a hot value is one row).
-    cells = materialize(xy.groupBy("pair", "x", "y").agg(F.count(F.lit(1)).alias("cnt")))
-
+    every = _cells(long, key, series, value)
+    cells = every.where("series_a <> series_b")
     tx = _ties(cells, ["x"], "tx")
     ty = _ties(cells, ["y"], "ty").drop("n")
     txy = _ties(cells, [], "txy").drop("n")
 
-    ry = value_ranks(cells, ["pair"], "y", weight="cnt").select("pair", "y", F.col("dense").alias("ry"))
-    bits = ry.groupBy("pair").agg(
-        F.greatest(F.ceil(F.log2(F.max("ry") + 1)).cast("int"), F.lit(1)).alias("bits"))
-    cells = cells.join(ry, ["pair", "y"]).join(bits, "pair")
-    if _fits_one_task(cells.select("pair", "x").distinct(), ["pair"]):
-        xb = F.lit(0)
-    else:
-        # x blocks: approximate quantiles of the distinct x values of each pair
-        # (monotone in x; a tied x value never straddles two blocks).
-        nb = max(RANK_BUCKETS, 1)
-        xq = cells.select("pair", "x").distinct().groupBy("pair").agg(
-            F.percentile_approx("x", [k / nb for k in range(1, nb)], 10000).alias("_q"))
-        cells = cells.join(xq, "pair")
-        xb = F.size(F.filter("_q", lambda q: q < F.col("x")))
-    cells = cells.select("pair", "x", "ry", "cnt", xb.alias("xb"),
-                         F.explode(F.sequence(F.lit(0), F.col("bits") - 1)).alias("l"))
-    lv = (cells.select("pair", "x", "xb", "cnt", "l", F.expr("shiftright(ry, l + 1)").alias("prefix"),
-                       F.expr("shiftright(ry, l) & 1").alias("b"))
-          .groupBy("pair", "l", "prefix", "xb", "x")
+    bits = cells.groupBy(*_PAIR).agg(
+        F.greatest(F.ceil(F.log2(F.max("y") + 1)).cast("int"), F.lit(1)).alias("bits"))
+    lv = cells.join(bits, _PAIR).select(
+        *_PAIR, "x", "y", "cnt", F.floor(F.col("x") / BUCKET_ROWS).alias("xb"),
+        F.explode(F.sequence(F.lit(0), F.col("bits") - 1)).alias("l"))
+    lv = (lv.select(*_PAIR, "x", "xb", "cnt", "l", F.expr("shiftright(y, l + 1)").alias("prefix"),
+                    F.expr("shiftright(y, l) & 1").alias("b"))
+          .groupBy(*_PAIR, "l", "prefix", "xb", "x")
           .agg(F.sum(F.when(F.col("b") == 1, F.col("cnt")).otherwise(0)).alias("c1"),
                F.sum(F.when(F.col("b") == 0, F.col("cnt")).otherwise(0)).alias("c0")))
-    grp = ["pair", "l", "prefix"]
-    blk = lv.groupBy(*grp, "xb").agg(F.sum("c1").alias("_s1"))
-    before_blk = Window.partitionBy(*grp).orderBy("xb").rowsBetween(Window.unboundedPreceding, -1)
-    blk = blk.select(*grp, "xb", F.coalesce(F.sum("_s1").over(before_blk), F.lit(0)).alias("_off"))
-    before_x = Window.partitionBy(*grp, "xb").orderBy("x").rowsBetween(Window.unboundedPreceding, -1)
-    ones_before = F.col("_off") + F.coalesce(F.sum("c1").over(before_x), F.lit(0))
-    disc = (lv.join(blk, [*grp, "xb"])
-            .select("pair", (F.col("c0") * ones_before).alias("_d"))
-            .groupBy("pair").agg(F.sum("_d").cast("double").alias("d")))
-
-    t = tx.join(ty, "pair").join(txy, "pair").join(disc, "pair", "left")
+    disc = (_running(lv, [*_PAIR, "l", "prefix"], "xb", "x", {"c1": "ones"})
+            .groupBy(*_PAIR).agg(F.sum(F.col("c0") * F.col("ones")).cast("double").alias("d")))
+
+    t = tx.join(ty, _PAIR).join(txy, _PAIR).join(disc, _PAIR, "left")
     n0 = F.col("n") * (F.col("n") - 1) / 2
     d = F.coalesce(F.col("d"), F.lit(0.0))
     c = n0 - F.col("tx") - F.col("ty") + F.col("txy") - d
     tau = F.try_divide(c - d, F.sqrt((n0 - F.col("tx")) * (n0 - F.col("ty"))))
-    names_df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)],
-                                     "pair int, a string, b string")
-    j = t.select("pair", tau.alias("kendall")).join(F.broadcast(names_df), "pair")
-    both = j.select(F.col("a").alias("series_a"), F.col("b").alias("series_b"), "kendall") \
-        .unionByName(j.select(F.col("b").alias("series_a"), F.col("a").alias("series_b"), "kendall"))
-    return both.unionByName(diag)
+    own = every.where("series_a = series_b").groupBy(*_PAIR).agg(F.sum("cnt").alias("n"))
+    return _both_orders(t.select(*_PAIR, tau.alias("r"), "n").unionByName(
+        own.select(*_PAIR, F.lit(1.0).alias("r"), "n")), "kendall")
 
 
 # --- model metrics (A17) ----------------------------------------------------

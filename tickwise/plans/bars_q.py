@@ -54,7 +54,6 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from tickwise.operators import series as S  # noqa: E402
 from tickwise.plans.series_q import HIST, REFERENCE_COIN  # noqa: E402
-from tickwise.session import materialize  # noqa: E402
 
 
 def _minutes(spark, sf_dir):
@@ -85,9 +84,8 @@ def q_hourly_close_volume_sum(spark, sf_dir):
     """A6 + W4: dense hourly sums of close and volume (empty hour = 0), each
     also divided by its abs-max."""
     m = _minutes(spark, sf_dir)
-    c = bars.dense_bucket_agg(m, "Timestamp_Rounded", "Close", "sum", "hour", out="close_sum")
-    v = bars.dense_bucket_agg(m, "Timestamp_Rounded", "Volume", "sum", "hour", out="volume_sum")
-    both = materialize(c.join(v, "bucket", "full_outer"))
+    both = bars.dense_bucket_agg(m, "Timestamp_Rounded", ["Close", "Volume"], "sum", "hour",
+                                 out=["close_sum", "volume_sum"])
     return finish(S.absmax_normalise(both, ["close_sum", "volume_sum"]))
 
 
@@ -101,11 +99,9 @@ def q_sentiment_price_overlay(spark, sf_dir):
     """J4 + W4 + W3: hourly news score and close on one axis, normalised
     by their abs-max, with the derivative of each normalised series."""
     step = F.expr("INTERVAL 1 HOUR")
-    # Each hourly series is small (one row per hour of the span) but is read
-    # by the scale subquery and both neighbour joins: scan the raw rows once.
-    n = S.absmax_normalise(materialize(_hourly_news(spark, sf_dir)), ["score_sum"])
+    n = S.absmax_normalise(_hourly_news(spark, sf_dir), ["score_sum"])
     n = S.gradient_dense(n, "bucket", "score_sum_norm", step, out="score_slope")
-    c = S.absmax_normalise(materialize(_hourly_close(spark, sf_dir)), ["close_mean"])
+    c = S.absmax_normalise(_hourly_close(spark, sf_dir), ["close_mean"])
     c = S.gradient_dense(c, "bucket", "close_mean_norm", step, out="close_slope")
     return finish(bars.overlay(n, c, "bucket"))
 

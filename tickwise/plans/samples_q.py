@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tickwise.operators import bars, samples
 from tickwise.plans.bars_q import MINUTE_FEATURES_RAW_SQL
 from tickwise.plans.common import finish
+from tickwise.session import materialize, scratch_path
 from tickwise.sources import tables
 
 # A smaller holdout used to exercise both splits on small inputs.
@@ -14,7 +17,9 @@ SMALL_HOLDOUT = 1000
 
 
 def _input(spark, sf_dir):
-    return samples.model_input(bars.minute_features_tagged(tables.tagged_ticks(spark, sf_dir)))
+    """The complete minutes, written once: the row index reads them twice."""
+    return materialize(samples.model_input(
+        bars.minute_features_tagged(tables.tagged_ticks(spark, sf_dir))))
 
 
 def q_sample_targets(spark, sf_dir):
@@ -114,10 +119,9 @@ def q_model_validation(spark, sf_dir):
 def q_model_scores(spark, sf_dir):
     """M2 + K5 + M4 + F24: train, save, reload, score the test starts."""
     from tickwise.operators import model
-    from tickwise.session import scratch_path
     s = samples.build_samples(_input(spark, sf_dir), test_starts=SMALL_HOLDOUT)
     m, _ = model.train(s)
-    path = scratch_path(spark, "tickwise-models/direction")
+    path = scratch_path(spark, f"tickwise-models/direction-{uuid.uuid4().hex}")
     model.save(m, path)
     return finish(model.score(model.load(path), s.where(F.col("split") == "test")))
 

@@ -31,18 +31,12 @@ PCT = """pct AS (
     coalesce(ff / nullif(lag(ff) OVER (PARTITION BY coin ORDER BY date), 0) - 1, 0) AS pct
   FROM (SELECT *, last_value(close IGNORE NULLS) OVER (PARTITION BY coin ORDER BY date
         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ff FROM hist) h)"""
-ALIGNED = """aligned AS (
-  SELECT * FROM pct WHERE pct IS NOT NULL AND date IN (
-    SELECT date FROM pct WHERE pct IS NOT NULL GROUP BY date
-    HAVING count(*) = (SELECT count(DISTINCT coin) FROM pct))),
-idxd AS (
-  SELECT a.coin, a.date, a.pct, d.idx FROM aligned a JOIN (
-    SELECT date, row_number() OVER (ORDER BY date) - 1 AS idx
-    FROM (SELECT DISTINCT date FROM aligned) u) d USING (date))"""
+INDEXED = """idxd AS (
+  SELECT coin, date, pct, CAST(date - (SELECT min(date) FROM pct) AS BIGINT) AS idx FROM pct)"""
 LAGS = f"""xc AS (
   SELECT a.coin, a.idx - b.idx AS d, sum(a.pct * b.pct) AS z
   FROM idxd a JOIN idxd b ON b.coin = '{REFERENCE_COIN}' GROUP BY 1, 2),
-nn AS (SELECT count(DISTINCT idx) AS n FROM idxd),
+nn AS (SELECT max(idx) + 1 AS n FROM idxd),
 best AS (
   SELECT coin AS series, n, d + n - 1 AS raw_lag, d AS lag, z AS xcorr_max FROM (
     SELECT xc.*, row_number() OVER (PARTITION BY coin ORDER BY z DESC, d) AS rn FROM xc) x, nn
@@ -75,15 +69,19 @@ GROUP BY 1, 2"""
 
 
 def kendall_sql(src: str, key: str, val: str) -> str:
-    return f"""SELECT a1.coin AS series_a, b1.coin AS series_b,
-  round(CASE WHEN a1.coin = b1.coin THEN 1.0 ELSE
+    """Tau-b by all row pairs of each pair of series."""
+    return f"""SELECT sa AS series_a, sb AS series_b, round(CASE WHEN sa = sb THEN 1.0 ELSE tau END, 6) AS kendall, n
+FROM (SELECT a.coin AS sa, b.coin AS sb, count(*) AS n
+      FROM {src} a JOIN {src} b USING ({key}) GROUP BY 1, 2) c
+LEFT JOIN (
+  SELECT a1.coin AS sa, b1.coin AS sb,
     sum(sign(a1.{val} - a2.{val}) * sign(b1.{val} - b2.{val}))
-    / sqrt(sum(CASE WHEN a1.{val} <> a2.{val} THEN 1 ELSE 0 END)::DOUBLE
-         * sum(CASE WHEN b1.{val} <> b2.{val} THEN 1 ELSE 0 END)) END, 6) AS kendall
-FROM {src} a1 JOIN {src} b1 ON a1.{key} = b1.{key}
-JOIN {src} a2 ON a2.coin = a1.coin AND a2.{key} > a1.{key}
-JOIN {src} b2 ON b2.coin = b1.coin AND b2.{key} = a2.{key}
-GROUP BY 1, 2"""
+    / nullif(sqrt(sum(CASE WHEN a1.{val} <> a2.{val} THEN 1 ELSE 0 END)::DOUBLE
+         * sum(CASE WHEN b1.{val} <> b2.{val} THEN 1 ELSE 0 END)), 0) AS tau
+  FROM {src} a1 JOIN {src} b1 ON a1.{key} = b1.{key}
+  JOIN {src} a2 ON a2.coin = a1.coin AND a2.{key} > a1.{key}
+  JOIN {src} b2 ON b2.coin = b1.coin AND b2.{key} = a2.{key}
+  GROUP BY 1, 2) t USING (sa, sb)"""
 
 
 # --- Spark side --------------------------------------------------------------
@@ -93,30 +91,29 @@ def _pct(spark, sf_dir):
     return S.pct_change(h, "close", "date", ["coin"], out="pct")
 
 
+def _daily(spark, sf_dir, *columns):
+    """Columns of the daily histories, written once for queries that read them twice."""
+    return materialize(tables.daily_history(spark, sf_dir).select("coin", "date", *columns))
+
+
 def _pct_written(spark, sf_dir):
     """The daily pct series, written once for the matrix jobs."""
     return materialize(_pct(spark, sf_dir).select("coin", "date", "pct"))
 
 
-def _aligned(spark, sf_dir):
-    """Date-aligned pct series (small), materialised for the matrix jobs."""
-    return materialize(S.align(_pct(spark, sf_dir).select("coin", "date", "pct"), "date", "coin", "pct"))
-
-
-def _aligned_indexed(spark, sf_dir):
-    """Date-aligned pct series with a dense date index, materialised once:
-    the lag search, the shift and the matrices all read this small table
-    instead of re-aggregating the raw orders."""
-    a = S.align(_pct(spark, sf_dir).select("coin", "date", "pct"), "date", "coin", "pct")
-    days = a.select("date").distinct()
-    idx = S.with_row_index(days, ["date"], F.year("date"), total="n")
-    return materialize(a.join(idx, "date"))
+def _indexed(spark, sf_dir):
+    """The daily pct series with the day's number since the first day of all
+    series as index, written once: the lag search, the shift and the matrices
+    all read this small table instead of re-aggregating the raw orders."""
+    p = _pct_written(spark, sf_dir)
+    first = p.agg(F.min("date")).scalar()
+    return p.withColumn("idx", F.datediff("date", first).cast("long"))
 
 
 def _rolled(spark, sf_dir):
-    ix = _aligned_indexed(spark, sf_dir)
-    lags = S.best_lag(ix, "coin", "pct", REFERENCE_COIN)
-    n = ix.select(F.max("n")).scalar()
+    ix = _indexed(spark, sf_dir)
+    lags = materialize(S.best_lag(ix, "coin", "pct", REFERENCE_COIN))
+    n = lags.agg(F.max("n")).scalar()
     return materialize(S.roll(ix.select("coin", "idx", "pct"), lags, "coin", n))
 
 
@@ -153,11 +150,11 @@ def q_corr_spearman(spark, sf_dir):
 
 
 def q_corr_kendall(spark, sf_dir):
-    return finish(stats.kendall_matrix(_aligned(spark, sf_dir), "date", "coin", "pct"))
+    return finish(stats.kendall_matrix(_pct_written(spark, sf_dir), "date", "coin", "pct"))
 
 
 def q_xcorr_lag(spark, sf_dir):
-    ix = _aligned_indexed(spark, sf_dir)
+    ix = _indexed(spark, sf_dir)
     return finish(S.best_lag(ix, "coin", "pct", REFERENCE_COIN))
 
 
@@ -179,20 +176,19 @@ def q_latest_per_coin(spark, sf_dir):
 
 
 def q_max_high_rows(spark, sf_dir):
-    h = tables.daily_history(spark, sf_dir)
-    return finish(S.rows_at_max(h, "high", ["coin"]).select("coin", "date", "high"))
+    return finish(S.rows_at_max(_daily(spark, sf_dir, "high"), "high", ["coin"]))
 
 
 def q_global_max_high(spark, sf_dir):
-    h = tables.daily_history(spark, sf_dir)
-    return finish(S.rows_at_max(h, "high").select("coin", "date", "high"))
+    return finish(S.rows_at_max(_daily(spark, sf_dir, "high"), "high"))
 
 
 def q_coin_history_window(spark, sf_dir):
     """P17 (inclusive) and P7 (open interval) on one coin."""
     h = tables.daily_history(spark, sf_dir)
-    inc = filters.history_between(h, "coin", PICK_COIN, "date", PICK_START, PICK_END)
-    opn = filters.open_range(h.where(F.col("coin") == PICK_COIN), "date", PICK_START, PICK_END)
+    inc = materialize(filters.history_between(h, "coin", PICK_COIN, "date", PICK_START, PICK_END)
+                      .select("coin", "date", "close"))
+    opn = filters.open_range(inc, "date", PICK_START, PICK_END)
     return finish(inc.select("coin", "date", "close", F.lit("inclusive").alias("kind"))
                   .unionByName(opn.select("coin", "date", "close", F.lit("open").alias("kind"))))
 
@@ -207,8 +203,7 @@ def q_market_share(spark, sf_dir):
 
 def q_close_extremes(spark, sf_dir):
     """A10 per coin + W4 normalisation of close by its abs-max."""
-    h = tables.daily_history(spark, sf_dir)
-    return finish(S.absmax_normalise(h.select("coin", "date", "close"), ["close"], ["coin"]))
+    return finish(S.absmax_normalise(_daily(spark, sf_dir, "close"), ["close"], ["coin"]))
 
 
 QUERIES = {
@@ -231,8 +226,7 @@ QUERIES = {
     "close_norm": q_close_extremes,
 }
 
-_A = f"WITH {HIST}, {PCT}, {ALIGNED}"
-_L = f"WITH {HIST}, {PCT}, {ALIGNED}, {LAGS}"
+_L = f"WITH {HIST}, {PCT}, {INDEXED}, {LAGS}"
 ORACLE = {
     "history_features": f"""WITH {HIST}
 SELECT coin, date, round(close, 6) AS close, volume, round(market_cap / 1e9, 6) AS market_cap_bn,
@@ -251,7 +245,7 @@ SELECT coin, date, round(pct, 6) AS pct FROM (
 WHERE rn <= 10""",
     "corr_pearson": f"WITH {HIST}, {PCT} {pearson_sql('pct', 'date', 'pct')}",
     "corr_spearman": f"WITH {HIST}, {PCT} {spearman_sql('pct', 'date', 'pct')}",
-    "corr_kendall": f"{_A} {kendall_sql('aligned', 'date', 'pct')}",
+    "corr_kendall": f"WITH {HIST}, {PCT} {kendall_sql('pct', 'date', 'pct')}",
     "xcorr_lag": f"{_L} SELECT series, n, raw_lag, lag, round(xcorr_max, 6) AS xcorr_max FROM best",
     "lagged_corr_pearson": f"{_L} {pearson_sql('rolled', 'idx', 'pct')}",
     "lagged_corr_spearman": f"{_L} {spearman_sql('rolled', 'idx', 'pct')}",
