@@ -84,6 +84,38 @@ def test_anchor_extraction(spark):
     assert src == {1: "https://github.com/xcoin"}
 
 
+def test_anchors_of_every_form(spark):
+    html = """<A CLASS='k' HREF='/up?a=1&amp;b=2'>Upper &amp;lt; &#233;&#x1F600; &nope; & x</A>
+<a
+  class="k"
+  href="/two
+lines">over
+two lines</a><a class="k">bare</a><a data-href="/no" href="/yes">d</a>"""
+    p = spark.createDataFrame([(1, "https://s.example/", html), (2, "u", None), (3, "u", "")],
+                              "page_id long, url string, html string")
+    got = [(r.page_id, r.text, r.href) for r in P.anchors(p).orderBy("pos").collect()]
+    assert got == [(1, "Upper &lt; \u00e9\U0001f600 &nope; & x", "/up?a=1&b=2"),
+                   (1, "over\ntwo lines", "/two\nlines"), (1, "bare", ""), (1, "d", "/yes")]
+    assert [r.text for r in P.anchors(p, "k").orderBy("pos").collect()][1:] == ["over\ntwo lines", "bare"]
+
+
+def test_article_by_element_and_attribute(spark):
+    html = """<section name="top">no</section><SECTION class='x' name='articleBody'><p>One [1]</p>
+two</SECTION><article>other</article>"""
+    p = spark.createDataFrame([(1, html), (2, "<section>no</section>")], "page_id long, html string")
+    body = P.article_text(F.col("html"), "section", ("name", "articleBody"))
+    assert [r.b for r in p.select(body.alias("b")).collect()] == ["One [1]\ntwo", None]
+
+
+def test_coin_records_join_on_the_coin(spark):
+    p = spark.createDataFrame([(1, "https://s.example/currencies/alpha/?x=1", "<p>a</p>"),
+                               (2, "https://s.example/currencies/beta", "<p>b</p>")],
+                              "page_id long, url string, html string")
+    latest = spark.createDataFrame([("alpha", 2.5)], "coin string, close double")
+    got = {r.page_id: (r.coin, r.close) for r in P.coin_records(p, latest).collect()}
+    assert got == {1: ("alpha", 2.5), 2: ("beta", None)}
+
+
 def test_elements_cards_counts_tables(spark):
     p = _pages(spark)
     r = p.select(P.first_element_text(F.col("html"), "small", "bold hidden-xs").alias("s"),

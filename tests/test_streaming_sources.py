@@ -145,6 +145,12 @@ def test_predict_each_batch(spark, tmp_dir):
     fn(feats, 0)                                   # replay of the same epoch is idempotent
     p = spark.read.parquet(f"{tmp_dir}/pred").collect()
     assert len(p) == 1 and p[0].direction in ("UP", "DOWN")
+    # the newest rows are the same as from the whole feature table
+    new = merge._newest_rows(spark, f"{tmp_dir}/features", 60)
+    want = samples.latest_sample(samples.model_input(feats)).first()
+    assert samples.latest_sample(new).first() == want
+    assert merge._newest_rows(spark, f"{tmp_dir}/features", 10 ** 9).count() == \
+        samples.model_input(feats).count()
 
 
 def test_csv_history_and_cache(spark, tmp_dir):

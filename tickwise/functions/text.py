@@ -119,6 +119,32 @@ def ends_with(c, suffix: str) -> Column:
     return _c(c).endswith(suffix)
 
 
+# The named character references that markup text uses.
+NAMED_REFERENCES = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0"}
+
+
+def decode_references(c) -> Column:
+    """Character references (named as above, decimal, hexadecimal) decoded once;
+    any other ``&`` stays as it is."""
+    c = _c(c)
+    named = F.create_map(*[F.lit(x) for kv in NAMED_REFERENCES.items() for x in kv])
+
+    def one(part):
+        name = F.regexp_extract(part, r"^([A-Za-z]+|#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6});", 1)
+        code = F.when(name.rlike("^#[xX]"), F.conv(F.substr(name, F.lit(3)), 16, 10)) \
+            .when(name.startswith("#"), F.substr(name, F.lit(2))).cast("bigint")
+        sign = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
+        text = F.when(sign, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")) \
+            .otherwise(F.try_element_at(named, name))
+        return F.when((name != "") & text.isNotNull(),
+                      F.concat(text, F.substr(part, F.length(name) + 2))) \
+            .otherwise(F.concat(F.lit("&"), part))
+
+    parts = F.split(c, "&", -1)
+    decoded = F.array_join(F.transform(F.slice(parts, F.lit(2), F.size(parts)), one), "")
+    return F.when(c.contains("&"), F.concat(parts[0], decoded)).otherwise(c)
+
+
 def absolute_url(base, href) -> Column:
     """resolve ``href`` against ``base`` (absolute, rooted and relative)."""
     b, h = _c(base), _c(href)

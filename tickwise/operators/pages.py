@@ -15,18 +15,23 @@ from pyspark.sql import functions as F
 from tickwise.functions import text as tx
 
 # Markup the extractors look for.
-ANCHOR_RE = r"<a(\s[^>]*)?>(.*?)</a>"
-HREF_RE = r"""href\s*=\s*"([^"]*)\""""
-ARTICLE_RE = r"(?s)<article(?:\s[^>]*)?>(.*?)</article>"
-TITLE_RE = r"(?s)<title[^>]*>(.*?)</title>"
+ANCHOR_RE = r"(?is)<a(\s[^>]*)?>(.*?)</a>"
+HREF_RE = r"""(?is)\shref\s*=\s*(?:"([^"]*)"|'([^']*)')"""
+TITLE_RE = r"(?is)<title[^>]*>(.*?)</title>"
 TABLE_RE = r"(?s)<table(?:\s[^>]*)?>(.*?)</table>"
 ROW_RE = r"(?s)<tr(?:\s[^>]*)?>(.*?)</tr>"
 CELL_RE = r"(?s)<t[dh](?:\s[^>]*)?>(.*?)</t[dh]>"
 
 
+def attribute_re(name: str, value: str) -> str:
+    """An attribute with exactly this value (as an XPath ``@name='value'`` test),
+    in either kind of quotes and with the name in either case."""
+    v = _escape(value)
+    return rf"""(?<=\s)(?i:{_escape(name)})\s*=\s*(?-i:"{v}"|'{v}')"""
+
+
 def class_re(cls: str) -> str:
-    """``class="..."`` attribute with exactly this value (as an XPath ``@class=`` test)."""
-    return r"""class\s*=\s*"(?:""" + _escape(cls) + r""")\""""
+    return attribute_re("class", cls)
 
 
 def _escape(s: str) -> str:
@@ -43,7 +48,9 @@ def _first_text(inner: Column) -> Column:
 
 def anchors(pages: DataFrame, cls: str | None = None) -> DataFrame:
     """``(page_id, url, pos, text, href)`` for every anchor, optionally
-    only those whose class equals ``cls``; ``pos`` is document order."""
+    only those whose class equals ``cls``; ``pos`` is document order. Tags in
+    either case, over several lines, attributes in either kind of quotes;
+    character references are decoded (an anchor without href has an empty one)."""
     attrs = F.regexp_extract_all("html", F.lit(ANCHOR_RE), 1)
     inner = F.regexp_extract_all("html", F.lit(ANCHOR_RE), 2)
     a = pages.select("page_id", "url", F.posexplode(F.arrays_zip(attrs.alias("attrs"),
@@ -52,8 +59,10 @@ def anchors(pages: DataFrame, cls: str | None = None) -> DataFrame:
                  F.col("col.attrs").alias("attrs"), F.col("col.inner").alias("inner"))
     if cls is not None:
         a = a.where(F.col("attrs").rlike(class_re(cls)))
-    return a.select("page_id", "url", "pos", _first_text(F.col("inner")).alias("text"),
-                    F.regexp_extract("attrs", HREF_RE, 1).alias("href"))
+    href = F.concat(*[F.regexp_extract("attrs", HREF_RE, g) for g in (1, 2)])
+    return a.select("page_id", "url", "pos",
+                    tx.decode_references(_first_text(F.col("inner"))).alias("text"),
+                    tx.decode_references(href).alias("href"))
 
 
 def first_link_with_text(pages: DataFrame, text: str) -> DataFrame:
@@ -71,16 +80,24 @@ def first_element_text(html: Column, tag: str, cls: str) -> Column:
     return F.when(found, hit)
 
 
-def has_article(html: Column) -> Column:
-    return html.rlike(r"(?s)<article(?:\s[^>]*)?>.*?</article>")
+def _element_re(tag: str, attribute: tuple[str, str] | None) -> str:
+    if attribute:
+        return rf"(?is)<{tag}\s[^>]*{attribute_re(*attribute)}[^>]*>(.*?)</{tag}>"
+    return rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)</{tag}>"
+
+
+def has_article(html: Column, tag: str = "article", attribute: tuple[str, str] | None = None) -> Column:
+    return html.rlike(_element_re(tag, attribute))
 
 
-def article_text(html: Column) -> Column:
-    """E5 + F5 + F6: every ``<article>`` body of the page, joined the way a
-    list of elements prints (``", "`` between them), tags removed and outer
-    brackets stripped; a page without one gives null (dropped by the join)."""
-    bodies = F.array_join(F.regexp_extract_all(html, F.lit(ARTICLE_RE), 1), ", ")
-    return F.when(has_article(html), tx.strip_brackets(tx.strip_tags(bodies)))
+def article_text(html: Column, tag: str = "article", attribute: tuple[str, str] | None = None) -> Column:
+    """E5 + F5 + F6: every body of the page, joined the way a list of elements
+    prints (``", "`` between them), tags removed and outer brackets stripped; a
+    page without one gives null (dropped by the join). A body is a ``tag``
+    element, of a given ``attribute`` (name, value) if any, such as
+    ``("name", "articleBody")`` of ``section``."""
+    bodies = F.array_join(F.regexp_extract_all(html, F.lit(_element_re(tag, attribute)), 1), ", ")
+    return F.when(has_article(html, tag, attribute), tx.strip_brackets(tx.strip_tags(bodies)))
 
 
 def page_title(html: Column) -> Column:
@@ -108,7 +125,7 @@ def repo_cards(pages: DataFrame, card_cls: str = "pinned-repo-item-content",
     card_re = r"(?s)<div\s[^>]*" + class_re(card_cls) + r"[^>]*>(.*?)</div>"
     c = pages.select("page_id", "url", F.posexplode(
         F.regexp_extract_all("html", F.lit(card_re), 1)).alias("card_no", "card"))
-    span = r"(?s)<a\s[^>]*" + HREF_RE + r"[^>]*>\s*<span\s[^>]*" + class_re(name_cls) + r"[^>]*>([^<]*)"
+    span = r"(?s)<a\s[^>]*href\s*=\s*[\"']([^\"']*)[\"'][^>]*>\s*<span\s[^>]*" + class_re(name_cls) + r"[^>]*>([^<]*)"
     return c.select("page_id", "card_no",
                     F.regexp_extract("card", span, 2).alias("name"),
                     tx.absolute_url(F.col("url"), F.regexp_extract("card", span, 1)).alias("repo_url"),
@@ -151,12 +168,13 @@ def repo_of_page(pages: DataFrame) -> DataFrame:
 
 def coin_records(pages: DataFrame, latest: DataFrame | None = None) -> DataFrame:
     """One record per coin page: symbol (F8 on the ``small.bold hidden-xs``
-    text), source-code link (E2) and, if given, the latest price row (O5)
-    joined on the coin name."""
+    text), source-code link (E2) and, if given, the latest price row (O5) whose
+    ``coin`` is the page's: the last part of its URL's path."""
     sym = tx.inner_text(first_element_text(F.col("html"), "small", "bold hidden-xs"))
-    base = pages.select("page_id", "url", sym.alias("symbol"))
+    coin = F.regexp_extract("url", r"^[^?#]*?([^/?#]+)/*(?:[?#].*)?$", 1)
+    base = pages.select("page_id", "url", coin.alias("coin"), sym.alias("symbol"))
     src = first_link_with_text(pages, "Source Code").withColumnRenamed("href", "github_url")
     out = base.join(src, "page_id", "left")
     if latest is not None:
-        out = out.join(latest, "page_id", "left")
+        out = out.join(latest, "coin", "left")
     return out

@@ -55,13 +55,23 @@ QUERIES = {
     "page_articles": q_page_articles,
 }
 
-_ANCHORS = f"""a AS (
-  SELECT page_id, url, CAST(unnest(range(len(ats))) AS INTEGER) AS pos, unnest(ats) AS attrs, unnest(inns) AS inner_html
-  FROM (SELECT page_id, url, regexp_extract_all(html, {_lit(P.ANCHOR_RE)}, 1) AS ats,
-               regexp_extract_all(html, {_lit(P.ANCHOR_RE)}, 2) AS inns FROM pages) p),
+# The SQL has patterns of its own, not those of the operators.
+_REFS = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", "\u00a0"), ("&amp;", "&")]
+
+
+def _plain(x: str) -> str:
+    for ref, sign in _REFS:
+        x = f"replace({x}, {_lit(ref)}, {_lit(sign)})"
+    return x
+
+
+_ANCHORS = f"""tags AS (
+  SELECT page_id, url, regexp_extract_all(html, '(?is)<a(?:>|\\s.*?>).*?</a>') AS els FROM pages),
+a AS (
+  SELECT page_id, url, CAST(unnest(range(len(els))) AS INTEGER) AS pos, unnest(els) AS el FROM tags),
 links AS (
-  SELECT page_id, url, pos, regexp_extract(inner_html, '^([^<]*)', 1) AS text,
-         regexp_extract(attrs, {_lit(P.HREF_RE)}, 1) AS href FROM a)"""
+  SELECT page_id, url, pos, {_plain("regexp_extract(el, '^[^>]*>([^<]*)', 1)")} AS text,
+    {_plain("""regexp_extract(el, '(?i)^<a\\s(?:[^>]*\\s)?href\\s*=\\s*["'']([^"''>]*)', 1)""")} AS href FROM a)"""
 
 
 def abs_url_sql(b: str, h: str) -> str:
@@ -83,15 +93,15 @@ FROM links""",
     "page_first_link": f"""WITH {_ANCHORS}
 SELECT page_id, arg_min(href, pos) AS href FROM links WHERE text = {_lit(LINK_TEXT)} GROUP BY page_id""",
     "page_ad_text": f"""SELECT page_id,
-  CASE WHEN regexp_matches(html, {_lit('(?s)<div\\s[^>]*' + P.class_re('ad') + '[^>]*>')})
-  THEN regexp_extract(html, {_lit('(?s)<div\\s[^>]*' + P.class_re('ad') + '[^>]*>([^<]*)')}, 1) END AS ad_text
+  CASE WHEN regexp_matches(html, '<div [^>]*class=["'']ad["'']')
+  THEN regexp_extract(html, '<div [^>]*class=["'']ad["''][^>]*>([^<]*)', 1) END AS ad_text
 FROM pages""",
     "page_articles": f"""WITH b AS (
   SELECT page_id, url AS web_url, regexp_replace(regexp_replace(
-    array_to_string(regexp_extract_all(html, {_lit(P.ARTICLE_RE)}, 1), ', '), '<.*?>', '', 'g'),
+    array_to_string(regexp_extract_all(html, '(?s)<article[^>]*>(.*?)</article>', 1), ', '), '<.*?>', '', 'g'),
     {_lit(r'^[\[\]]+|[\[\]]+$')}, '', 'g') AS content
   FROM pages WHERE regexp_matches(html, '(?s)<article(?:\\s[^>]*)?>.*?</article>')),
-m AS (SELECT page_id, url AS web_url, regexp_extract(html, {_lit(P.TITLE_RE)}, 1) AS headline FROM pages),
+m AS (SELECT page_id, url AS web_url, regexp_extract(html, '<title>([^<]*)</title>', 1) AS headline FROM pages),
 b1 AS (SELECT *, row_number() OVER (PARTITION BY web_url ORDER BY page_id) AS rn FROM b),
 m1 AS (SELECT *, row_number() OVER (PARTITION BY web_url ORDER BY page_id) AS rn FROM m)
 SELECT m1.page_id, web_url, headline, content FROM b1 JOIN m1 USING (web_url) WHERE b1.rn = 1 AND m1.rn = 1""",

@@ -6,7 +6,8 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from tickwise.operators import bars, samples
+from tickwise.functions import numeric as num
+from tickwise.operators import bars, samples, stats
 from tickwise.plans.bars_q import MINUTE_FEATURES_RAW_SQL
 from tickwise.plans.common import finish
 from tickwise.session import materialize, scratch_path
@@ -130,3 +131,52 @@ QUERIES.update({
     "model_validation": q_model_validation,
     "model_scores": q_model_scores,
 })
+
+
+# --- decisions and metrics over a stored prediction column -------------------
+def _naive(spark, sf_dir):
+    """A prediction that needs no training: the price returns to the mean of the
+    window's closes. ``y_hat`` is that mean over the last close."""
+    s = samples.build_samples(_input(spark, sf_dir), test_starts=SMALL_HOLDOUT)
+    step, close = len(samples.FEATURES), samples.FEATURES.index("Close")
+    closes = F.filter("features", lambda v, i: i % step == close)
+    total = F.aggregate(closes, F.lit(0.0), lambda acc, v: acc + v)
+    # written once: the decision, the filter and both metrics read the mean
+    n = materialize(s.select("t", "split", "y1", "label",
+                             (total / F.lit(float(samples.WINDOW))).alias("y_hat")))
+    return n.where(F.col("y_hat").isNotNull()) \
+        .withColumn("p_up", F.col("y_hat") / (F.col("y_hat") + F.lit(1.0)))
+
+
+def q_direction_decisions(spark, sf_dir):
+    """M4 + F24: UP/DOWN decisions of the held-out starts from a probability column."""
+    n = _naive(spark, sf_dir).where(F.col("split") == "test")
+    return finish(n.select("t", "p_up", num.direction("p_up").alias("direction"), "label"))
+
+
+def q_prediction_metrics(spark, sf_dir):
+    """Accuracy, mean absolute and mean squared error of a prediction column."""
+    n = _naive(spark, sf_dir).where(F.col("y1").isNotNull())
+    up = (num.direction("p_up") == "UP").cast("int")
+    acc = stats.binary_metrics(n.withColumn("up", up), "label", "up")
+    err = stats.regression_metrics(n, "y1", "y_hat")
+    return finish(acc.join(err, "n"))
+
+
+QUERIES.update({
+    "direction_decisions": q_direction_decisions,
+    "prediction_metrics": q_prediction_metrics,
+})
+_NAIVE = f"""WITH x AS ({_samples_sql(SMALL_HOLDOUT)}),
+y AS (SELECT i AS t, split, c1 / nullif(lc, 0) AS y1, CAST({_div('c1', 'lc')} > 1 AS INTEGER) AS label,
+  list_sum(list_transform(rws, lambda r: r[4] / nullif(lc, 0))) / {samples.WINDOW} AS y_hat FROM x),
+p AS (SELECT *, y_hat / (y_hat + 1) AS p_up FROM y WHERE y_hat IS NOT NULL)"""
+ORACLE.update({
+    "direction_decisions": f"""{_NAIVE}
+SELECT t, round(p_up, 6) AS p_up, CASE WHEN p_up < 0.5 THEN 'DOWN' ELSE 'UP' END AS direction, label
+FROM p WHERE split = 'test'""",
+    "prediction_metrics": f"""{_NAIVE}
+SELECT round(avg(CAST(label = CAST(p_up >= 0.5 AS INTEGER) AS INTEGER)), 6) AS accuracy, count(*) AS n,
+  round(avg(abs(y_hat - y1)), 6) AS mae, round(avg((y_hat - y1) * (y_hat - y1)), 6) AS mse
+FROM p WHERE y1 IS NOT NULL""",
+})

@@ -34,18 +34,20 @@ def with_index_column(schema: StructType, name: str = "_c0") -> StructType:
     return StructType([StructField(name, IntegerType()), *schema.fields])
 
 
-def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    """S3: monthly archive responses (one JSON document per file)."""
-    return spark.read.schema(schemas.ARCHIVE_JSON).option("multiLine", True).json(path)
+def read_archive(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """S3: monthly archive responses, one JSON document per file, or per line
+    with ``multi_line=False`` (such files can be split)."""
+    return spark.read.schema(schemas.ARCHIVE_JSON).option("multiLine", multi_line).json(path)
 
 
-def read_history(spark: SparkSession, path: str, coin_from_file: bool = True) -> DataFrame:
+def read_history(spark: SparkSession, path: str | Sequence[str],
+                 coin_from_file: bool = True) -> DataFrame:
     """Scraped daily histories -> ``(coin, date, open, high, low, close, volume, market_cap)``.
 
     P12: ``-`` volume / market cap becomes 0 (bigint); F13: ``MMM dd, yyyy``
     dates; the coin name comes from the file name (``<coin>-history.csv``).
     """
-    df = read_csv(spark, path, schemas.HISTORY_CSV, header=True)
+    df = read_csv(spark, path, schemas.HISTORY_CSV, header=True, drop_index="_index")
     df = df.withColumnsRenamed(schemas.HISTORY_RENAMES)
     coin = (F.regexp_extract(F.url_decode(F.col("_metadata.file_name")), r"^(.*)-history\.csv$", 1)
             if coin_from_file else F.lit(None).cast("string"))

@@ -207,18 +207,32 @@ def state_merge(tagged: DataFrame, delay: str = DEFAULT_DELAY) -> DataFrame:
                       "Open", "High", "Low", "Close", "Volume", "Score", "news_count")
 
 
+def _newest_rows(spark, feature_path: str, rows: int) -> DataFrame:
+    """Complete feature rows of the newest days that hold at least ``rows`` of them
+    (or of all days): days are folders, so only those needed are read."""
+    from tickwise.operators import samples
+    feats = spark.read.parquet(feature_path)
+    first, last = feats.agg(F.min("day"), F.max("day")).first()
+    back = 1
+    while True:
+        recent = samples.model_input(feats.where(F.col("day") > F.date_sub(F.lit(last), back)))
+        if last is None or back > (last - first).days or recent.limit(rows).count() == rows:
+            return recent
+        back *= 4
+
+
 def predict_each_batch(feature_path: str, prediction_path: str, model_path: str):
     """A ``foreachBatch`` function. Each micro-batch of closed minutes is
     written to the feature table (one folder per epoch, overwritten on retry,
-    so a replayed epoch is idempotent); then the newest 60-row window is
-    rebuilt from the feature table and scored with the saved model."""
+    so a replayed epoch is idempotent; days below it); then the newest 60-row
+    window is rebuilt from the newest days and scored with the saved model."""
     from tickwise.operators import model, samples
 
     def run(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{feature_path}/epoch={epoch_id}")
-        feats = spark.read.parquet(feature_path).drop("epoch")
-        last = samples.latest_sample(samples.model_input(feats))
+        (batch.withColumn("day", F.to_date("Timestamp_Rounded")).write.mode("overwrite")
+         .partitionBy("day").parquet(f"{feature_path}/epoch={epoch_id}"))
+        last = samples.latest_sample(_newest_rows(spark, feature_path, samples.WINDOW))
         scored = model.score(model.load(model_path), last.withColumn("split", F.lit("live")))
         scored.withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite") \
             .parquet(f"{prediction_path}/epoch={epoch_id}")
