@@ -28,13 +28,13 @@ def share_of_total(df: DataFrame, label: str, value: str | None = None,
     """Percent of the total per label (``autopct`` with one decimal).
 
     ``value=None`` counts rows. The total is a one-number subquery over the
-    grouped table (the same exchange, so the input is aggregated once).
+    grouped table, which is written once, so the input is aggregated once.
     """
     agg = F.count(F.lit(1)) if value is None else F.sum(value)
     # The null-label group is removed only after the aggregate: a filter on a
     # derived label placed before it would be pushed into the projection that
     # computes the label and evaluate it twice.
-    g = df.groupBy(label).agg(agg.cast("double").alias("amount"))
+    g = materialize(df.groupBy(label).agg(agg.cast("double").alias("amount")))
     known = F.col(label).isNotNull()
     total = g.agg(F.sum(F.when(known, F.col("amount")))).scalar()
     return (g.select(label, "amount",
@@ -46,9 +46,10 @@ def top_k_with_other(df: DataFrame, label: str, value: str, k: int,
                      other: str = "other") -> DataFrame:
     """Keep the ``k`` largest labels (ties broken by label), sum the rest.
 
-    The top ``k`` come from a distributed ordered limit over the grouped table.
+    The top ``k`` come from a distributed ordered limit over the grouped table,
+    which is written once.
     """
-    g = df.groupBy(label).agg(F.sum(value).alias("amount"))
+    g = materialize(df.groupBy(label).agg(F.sum(value).alias("amount")))
     top = (g.orderBy(F.col("amount").desc(), F.col(label).desc()).limit(k)
            .select(F.col(label).alias("_top"), F.lit(True).alias("_in")))
     r = g.join(top, F.col(label).eqNullSafe(F.col("_top")), "left")
