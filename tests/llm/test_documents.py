@@ -224,6 +224,38 @@ def test_license_notices_of_the_table(spark, docs):
     assert want and got == want
 
 
+def test_license_files_of_every_text(spark, tmp_path):
+    from tickwise.llm import queries as Q
+    texts = license_digest.license_texts()
+    assert {"MIT", "ISC", "0BSD", "Zlib", "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-3.0", "BSD-2-Clause",
+            "BSD-3-Clause", "MPL-2.0", "Unlicense", "CC0-1.0", "CC-BY-SA-4.0"} == set(texts)
+    files, want = [], {}
+
+    def put(kind, text):
+        want[len(files)] = kind
+        files.append((len(files), text))
+
+    for k, forms in texts.items():
+        put(k, forms[0])
+        put(k, "Copyright (c) 2021 A. Person\n\n" + "\r\n".join(x.strip() for x in forms[0].split("\n")))
+        put(k, " ".join(w for w in re.split(r"\s+", forms[-1]) if w) if k not in ("GPL-2.0", "GPL-3.0", "LGPL-3.0")
+            else forms[-1])
+    put("MIT", "The MIT License\nCopyright (c) 2020 Someone\n" + license_digest.TEXTS["MIT"].upper())
+    put("ISC", "ISC License\n\nCopyright 2020, Someone\n\n" + license_digest.TEXTS["ISC"])
+    put("Zlib", "zlib License\n\n(C) 2020 Someone\n\n" + license_digest.TEXTS["Zlib"])
+    bsd = texts["BSD-3-Clause"][0]
+    put("BSD-3-Clause", "BSD 3-Clause License\n\nCopyright (c) 2020, Someone\nAll rights reserved.\n\n" + bsd)
+    put("BSD-3-Clause", re.sub(r"(?m)^[123]\. ", "* ", bsd).replace("COPYRIGHT HOLDER ", "COPYRIGHT\nHOLDER "))
+    apache = texts["Apache-2.0"][0]
+    put("Apache-2.0", apache.replace("[yyyy] [name of copyright owner]", "2020 Someone"))
+    put("Apache-2.0", apache[:apache.index("APPENDIX")])
+    put(None, "A preface of our own.\n" + apache)
+    put(None, bsd.replace("specific prior", "any"))
+    spark.createDataFrame(files, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r["license_id"] for r in rows(Q.op6_license_digest(spark, str(tmp_path))) if r["unit"] == "text"}
+    assert got == {i: k for i, k in want.items() if k}
+
+
 # --- 7 quality ---
 
 def quality_plain(text):

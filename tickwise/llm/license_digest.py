@@ -6,12 +6,19 @@ SHA-256 is joined to the digests of known licences, made by the same rule. Both
 the whole text and each of its lines are units, so a licence file and a one-line
 notice inside a longer text are found alike; a unit matches only in its entirety.
 
+Known are the short texts below, the files of the folder ``licenses`` in their
+usual forms (with and without heading and appendix, wrapped or a paragraph a
+line), each body under its usual title lines where asked, and one-line notices.
+
 The join is on equal digests; Spark broadcasts the known side where it is below
 its own threshold and shuffles otherwise. The result has a row per match.
 """
 
 from __future__ import annotations
 
+import re
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,6 +73,54 @@ NAMES = {
     "CC-BY-NC-SA-4.0": ("CC BY-NC-SA 4.0",),
     "CC-BY-NC-ND-4.0": ("CC BY-NC-ND 4.0",),
 }
+# Title lines that licence files put over the body.
+TITLES = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)", "MIT"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)", "The ISC License (ISC)", "ISC"),
+    "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD", "Zero-Clause BSD License", "BSD Zero Clause License (0BSD)",
+             "BSD 0-Clause License", "0BSD"),
+    "Zlib": ("zlib License", "The zlib License", "zlib/libpng License", "The zlib/libpng License", "zlib"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The BSD 2-Clause License", "Simplified BSD License",
+                     'BSD 2-Clause "Simplified" License', "The 2-Clause BSD License", "FreeBSD License",
+                     "BSD License", "BSD-2-Clause"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The BSD 3-Clause License", "New BSD License", "Modified BSD License",
+                     'BSD 3-Clause "New" or "Revised" License', "The 3-Clause BSD License", "The BSD License",
+                     "BSD License", "BSD-3-Clause"),
+    "Unlicense": ("The Unlicense", "Unlicense", "The Unlicense (Unlicense)"),
+    "Apache-2.0": ("Apache License 2.0", "Apache License, Version 2.0", "Apache License Version 2.0, January 2004"),
+    "GPL-2.0": ("GNU General Public License Version 2", "GNU General Public License Version 2, June 1991"),
+    "GPL-3.0": ("GNU General Public License Version 3", "GNU General Public License Version 3, 29 June 2007"),
+    "LGPL-3.0": ("GNU Lesser General Public License Version 3",
+                 "GNU Lesser General Public License Version 3, 29 June 2007"),
+    "MPL-2.0": ("Mozilla Public License Version 2.0", "Mozilla Public License 2.0 (MPL-2.0)", "MPL-2.0"),
+    "CC0-1.0": ("CC0 1.0 Universal", "Creative Commons CC0 1.0 Universal", "Creative Commons Legal Code CC0 1.0 Universal"),
+    "CC-BY-SA-4.0": ("Attribution-ShareAlike 4.0 International",
+                     "Creative Commons Attribution-ShareAlike 4.0 International"),
+}
+# Where the body of a long text may begin, and where it may end.
+STARTS = {
+    "Apache-2.0": ("TERMS AND CONDITIONS FOR USE",), "MPL-2.0": ("1. Definitions\n",),
+    "GPL-2.0": ("Everyone is permitted", "Preamble\n"), "GPL-3.0": ("Everyone is permitted", "Preamble\n"),
+    "LGPL-3.0": ("Everyone is permitted", "This version of the GNU Lesser"),
+    "CC0-1.0": ("CREATIVE COMMONS CORPORATION", "Statement of Purpose\n"),
+    "CC-BY-SA-4.0": ('Creative Commons Corporation ("Creative Commons")',
+                     "Creative Commons Attribution-ShareAlike 4.0 International Public\nLicense\n",
+                     "By exercising the Licensed Rights"),
+}
+ENDS = {
+    "Apache-2.0": ("END OF TERMS AND CONDITIONS", "APPENDIX: How to apply"), "MPL-2.0": ("Exhibit A - Source",),
+    "GPL-2.0": ("END OF TERMS AND CONDITIONS", "How to Apply These"),
+    "GPL-3.0": ("END OF TERMS AND CONDITIONS", "How to Apply These"),
+    "CC-BY-SA-4.0": ("Creative Commons is not a party",), "Unlicense": ("For more information",),
+}
+# Passages that published editions of a text have differently.
+EDITIONS = {
+    "Apache-2.0": (("Copyright [yyyy] [name of copyright owner]", ""),),
+    "GPL-2.0": (("51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA",
+                 "59 Temple Place, Suite 330, Boston, MA 02111-1307 USA"),),
+    "BSD-2-Clause": (("1. Redis", "Redis"), ("2. Redis", "Redis")),
+    "BSD-3-Clause": (("1. Redis", "Redis"), ("2. Redis", "Redis"), ("3. Neither", "Neither")),
+}
 OPENINGS = ("{0}", "Licensed under {0}", "Licensed under the {0}", "Released under {0}",
             "Released under the {0}", "This work is licensed under {0}",
             "This work is licensed under the {0}", "This software is licensed under the {0}",
@@ -76,7 +131,7 @@ OPENINGS = ("{0}", "Licensed under {0}", "Licensed under the {0}", "Released und
 def canonical_lines(text: Column) -> Column:
     """Canonical text, line by line (empty lines stay empty)."""
     c = F.lower(F.regexp_replace(text, r"\r\n?", "\n"))
-    c = F.regexp_replace(c, r"(?m)^[^\p{L}\p{N}\n©]*(?:copyright(?=[ \t]*(?:©|\(c\)|[0-9:]))|©|\(c\))[^\n]*$", "")
+    c = F.regexp_replace(c, r"(?m)^[^\p{L}\p{N}\n©]*(?:copyright(?=[ \t]*(?:©|\(c\)|[0-9:]))|©|\(c\)(?![ \t]*(?:you must retain|under patent claims)))[^\n]*$", "")
     c = F.regexp_replace(c, r"(?m)^[ \t]*all rights reserved\.?[ \t]*$", "")
     for old, new in SPELLINGS:
         c = F.replace(c, F.lit(old), F.lit(new))
@@ -85,12 +140,46 @@ def canonical_lines(text: Column) -> Column:
 
 
 def _whole(lines: Column) -> Column:
-    return F.trim(F.regexp_replace(lines, r"[ \n]+", " "))
-
-
-def known_licenses(spark: SparkSession) -> DataFrame:
-    """``(license_id, text)``: the fixed texts, and notices by rule."""
-    rows = [(k, t) for k, t in TEXTS.items()]
+    c = F.trim(F.regexp_replace(lines, r"[ \n]+", " "))
+    for old, new in SPELLINGS:                           # phrases that a line break parted
+        if " " in old.strip():
+            c = F.replace(c, F.lit(old), F.lit(new))
+    return c
+
+
+def license_texts() -> dict[str, list[str]]:
+    """Usual forms of every known text: whole, without heading, without appendix,
+    by edition, each as wrapped and with a paragraph a line."""
+    whole = dict(TEXTS)
+    for f in sorted((Path(__file__).parent / "licenses").glob("*.txt")):
+        whole[f.stem] = f.read_text(encoding="utf-8")
+    out = {}
+    for k, text in whole.items():
+        other = text
+        for old, new in EDITIONS.get(k, ()):
+            other = other.replace(old, new)
+        forms = []
+        for t in dict.fromkeys((text, other)):
+            starts = [0, *(t.index(x) for x in STARTS.get(k, ()))]
+            ends = [len(t), *(t.rindex(x) for x in ENDS.get(k, ()))]
+            forms += [t[a:e] for a in starts for e in ends]
+            if "END OF TERMS AND CONDITIONS" in ENDS.get(k, ()):
+                end = t.rindex("END OF TERMS AND CONDITIONS") + len("END OF TERMS AND CONDITIONS")
+                forms += [t[a:end] for a in starts]
+        forms += ["\n\n".join(" ".join(p.split()) for p in re.split(r"\n[ \t]*\n", t)) for t in forms]
+        out[k] = list(dict.fromkeys(t.strip("\n") for t in forms))
+    return out
+
+
+def known_licenses(spark: SparkSession, titles: bool = False) -> DataFrame:
+    """``(license_id, text)``: the known texts, and notices by rule; ``titles``
+    adds every text under each of its title lines."""
+    texts = license_texts()
+    rows = [(k, t) for k, forms in texts.items() for t in forms]
+    if titles:
+        rows += [(k, f"{title}\n\n{t}") for k, forms in texts.items() for t in forms
+                 if k not in STARTS or t.startswith(tuple(" ".join(x.split()) for x in STARTS[k]) + STARTS[k])
+                 for title in TITLES[k]]
     rows += [(k, o.format(n)) for k, names in NAMES.items() for n in names for o in OPENINGS]
     return spark.createDataFrame(rows, "license_id string, text string")
 

@@ -92,7 +92,8 @@ def op5_secret_ownership(spark, sf_dir):
 
 def op6_license_digest(spark, sf_dir):
     """Licence texts and notices in every document."""
-    return license_digest.scan(table(spark, sf_dir, "documents"))
+    return license_digest.scan(table(spark, sf_dir, "documents"),
+                               license_digest.known_licenses(spark, titles=True))
 
 
 def op7_fertility(spark, sf_dir):
