@@ -62,6 +62,24 @@ def test_marked_furniture_goes():
     assert page_diff.main_lines([(t, m) for t, m, _ in lines], set()) == ["T", "One bold word", "two"]
 
 
+def extracted(spark, pages):
+    data = [(k, f"http://h.example/a/{k:03d}", p) for k, p in enumerate(pages)]
+    got = rows(page_diff.extract(spark.createDataFrame(data, "page_id long, url string, html string")))
+    return [r["text"] for r in sorted(got, key=lambda r: r["page_id"])]
+
+
+def test_body_outside_an_article_stays(spark):
+    def page(k):
+        return (f"<body><div>Site name</div><div><p>Body {k} begins.<p>Quoted line.<p>Body {k} ends.</div>"
+                f"<article><h2>Next story {k}</h2></article><div>All rights</div></body>")
+    pages = [page(k).replace("<p>Quoted line.", "" if k % 2 else "<p>Quoted line.") for k in range(12)]
+    quoted = ["", "\nQuoted line."]
+    assert extracted(spark, pages) == [f"Body {k} begins.{quoted[1 - k % 2]}\nBody {k} ends.\nNext story {k}"
+                                       for k in range(12)]
+    alone = page_diff.page_lines(page(0))                          # no neighbour: nothing is known to be shared
+    assert "Body 0 begins." in page_diff.main_lines([(t, m) for t, m, _ in alone], set())
+
+
 def lcs_plain(a, b):
     t = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i, x in enumerate(a, 1):

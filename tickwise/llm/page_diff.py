@@ -7,9 +7,10 @@ its element, since a template repeats the place and not always the words. The
 lines are aligned by longest common subsequence and shared lines deleted.
 
 What lies in an article element is the page's own and stays even where another
-page repeats it (copies, quoted passages); furniture that no neighbour shares is
-removed after the difference. On a page without an article the unshared rest is
-the text.
+page repeats it (copies, quoted passages); of the other lines the unshared rest
+stays, whether the page has an article element or not. Furniture that no
+neighbour shares is removed after the difference. A page without a neighbour has
+no difference: there an article element with most of the text is the text.
 
 The pairing needs no host-wide group: ranges of (host, path, page) are cut at
 split points taken from the sorted keys, each range is read in order with the
@@ -216,11 +217,14 @@ def _trace(x: list, y: list) -> set[int]:
     return out
 
 
-def main_lines(lines: list[tuple[str, int]], shared: set[int]) -> list[str]:
-    """What stays of a page's (text, mark) lines once shared ones are deleted."""
-    if any(m == ARTICLE for _, m in lines):
-        return [t for t, m in lines if m == ARTICLE]
-    return [t for i, (t, m) in enumerate(lines) if m == PLAIN and i not in shared]
+def main_lines(lines: list[tuple[str, int]], shared: set[int], compared: bool = False) -> list[str]:
+    """What stays of a page's (text, mark) lines once shared ones are deleted;
+    ``compared`` says that the page has a neighbour."""
+    if not compared:
+        inside = sum(len(t) for t, m in lines if m == ARTICLE)
+        if inside > sum(len(t) for t, m in lines if m == PLAIN):
+            return [t for t, m in lines if m == ARTICLE]
+    return [t for i, (t, m) in enumerate(lines) if m == ARTICLE or (m == PLAIN and i not in shared)]
 
 
 def _keys(pages: DataFrame) -> DataFrame:
@@ -287,13 +291,11 @@ def _difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def same_host(x, y):
         return x[0] == y[0] and x[1].split("\t", 1)[0] == y[1].split("\t", 1)[0]
 
-    def near(other):
-        return shared_lines(run[7], other[7]) if other and same_host(run, other) else set()
-
     def write(after):
         if members:
-            shared = near(before) | near(after)
-            text = "\n".join(main_lines(list(zip(run[5], run[6])), shared))
+            others = [x for x in (before, after) if x and same_host(run, x)]
+            shared = set().union(*(shared_lines(run[7], x[7]) for x in others))
+            text = "\n".join(main_lines(list(zip(run[5], run[6])), shared, bool(others)))
             out.extend((*m, text, len(text), len(run[5]), len(shared)) for m in members)
             members.clear()
 
