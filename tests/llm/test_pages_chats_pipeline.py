@@ -80,6 +80,26 @@ def test_body_outside_an_article_stays(spark):
     assert "Body 0 begins." in page_diff.main_lines([(t, m) for t, m, _ in alone], set())
 
 
+@pytest.mark.parametrize("wrap", [
+    "<div class='has-sidebar'>", "<div class='layout no-sidebar with-sidebar'>", "<section id='discussion'>",
+    "<div id='page' class='page-with-comments'>", "<div class='post social-share-enabled'>", "<div id='related-work'>",
+    "<div class='sidebar'><article>", "<div class='sidebar'><main class='content'>",
+    "<div class=sidebar><div itemprop=articleBody>", "<div class='comments'><article class='post has-comments'>"])
+def test_layout_wrappers_keep_their_text(spark, wrap):
+    pages = [f"<body><nav>menu {k}</nav><div class='ad'>Buy {k}</div>{wrap}<p>Body {k} begins.<p>Body {k} ends."
+             for k in range(5)]
+    assert extracted(spark, pages) == [f"Body {k} begins.\nBody {k} ends." for k in range(5)]
+
+
+def test_cued_lines_go_where_a_neighbour_has_their_place(spark):
+    def page(k):
+        said = "".join(f"<article class='comment-body'><p>said {k} {j}</p></article>" for j in range(1 + 3 * k % 5))
+        return (f"<body><div class='cookie-notice'>Cookies {k}</div><main><p>Body {k}.</p></main>"
+                f"{'<div class=banner>Only here.</div>' if k == 2 else ''}<section id=comments>{said}</section></body>")
+    assert extracted(spark, [page(k) for k in range(5)]) == [
+        f"Body {k}." + ("\nOnly here." if k == 2 else "") for k in range(5)]
+
+
 def lcs_plain(a, b):
     t = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i, x in enumerate(a, 1):

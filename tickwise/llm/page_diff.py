@@ -2,15 +2,17 @@
 
 Pages of a host are ordered by URL path and each is paired with the page before
 and after it. Both are read as lines: a block's text, or, for a line of page
-furniture (menus, headers, adverts: by element and class names), the place of
-its element, since a template repeats the place and not always the words. The
+furniture (menus, headers, adverts: by element, role and class names), the place
+of its element, since a template repeats the place and not always the words. The
 lines are aligned by longest common subsequence and shared lines deleted.
 
 What lies in an article element is the page's own and stays even where another
 page repeats it (copies, quoted passages); of the other lines the unshared rest
-stays, whether the page has an article element or not. Furniture that no
-neighbour shares is removed after the difference. A page without a neighbour has
-no difference: there an article element with most of the text is the text.
+stays, whether the page has an article element or not. Furniture by element or
+role that no neighbour shares is removed after the difference. A class or id name
+is only a hint: its lines go where a neighbour has the same place, and an article
+or main element inside ends it. A page without a neighbour has no difference:
+there an article element with most of the text is the text.
 
 The pairing needs no host-wide group: ranges of (host, path, page) are cut at
 split points taken from the sorted keys, each range is read in order with the
@@ -40,16 +42,17 @@ SILENT = frozenset("script style template noscript svg math iframe object canvas
                    "button select textarea head title map datalist".split())
 FURNITURE = frozenset("nav header footer aside form menu dialog".split())
 SELF_CLOSING = frozenset("p li dt dd td th tr option".split())
+UNMARKED = frozenset("html body article main p h1 h2 h3 h4 h5 h6".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert".split())
 CUES = frozenset("ad ads advert adverts advertisement advertising banner sponsor sponsored promo "
                  "cookie cookies consent gdpr notice notices alert disclaimer sidebar menu nav navbar "
                  "navigation breadcrumb breadcrumbs masthead footer comment comments disqus reply "
-                 "replies respond discussion share sharing social newsletter subscribe signup popup "
+                 "replies respond share sharing social newsletter subscribe signup popup "
                  "modal overlay related recommended widget toolbar pagination pager".split())
 _WORD = re.compile(r"[a-z]+|[A-Z][a-z]*")
 _SPACE = re.compile(r"\s+")
 
-PLAIN, ARTICLE, CHROME = 0, 1, 2
+PLAIN, ARTICLE, CHROME, CUED = 0, 1, 2, 3
 
 
 class Lines(HTMLParser):
@@ -57,8 +60,10 @@ class Lines(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, bool, bool, bool]] = []   # tag, silent, furniture, article
+        # tag, silent, furniture, article, the cue that held before it
+        self.stack: list[tuple[str, bool, bool, bool, str]] = []
         self.silent = self.chrome = self.article = 0
+        self.cue = ""
         self.buffer: list[str] = []
         self.state: tuple[int, str] = (PLAIN, "")
         self.out: list[tuple[str, int, str]] = []
@@ -71,22 +76,36 @@ class Lines(HTMLParser):
                 self.out.append((text, *self.state))
 
     @staticmethod
-    def _cue(tag: str, attrs) -> bool:
-        if tag in ("html", "body", "article", "main", "p", "h1", "h2", "h3", "h4", "h5", "h6"):
-            names = " ".join(v or "" for k, v in attrs if k == "class")
-            return tag in ("p",) and any(w.lower() in CUES for w in _WORD.findall(names))
+    def _named(attrs, whole: bool = True) -> str:
+        """The first class or id name made of cue words only, or, unless
+        ``whole``, one that begins with a cue word."""
         for k, v in attrs:
-            if k == "role" and (v or "").lower() in ROLES:
-                return True
-            if k in ("class", "id") and any(w.lower() in CUES for w in _WORD.findall(v or "")):
-                return True
-        return False
+            if k in ("class", "id"):
+                for name in (v or "").split():
+                    words = [w.lower() for w in _WORD.findall(name)]
+                    if words and all(w in CUES for w in (words if whole else words[:1])):
+                        return name
+        return ""
+
+    def _cue(self, tag: str, attrs, article: bool) -> str:
+        """The cue that holds inside an element."""
+        if tag == "main":
+            return ""
+        if article:                                      # own text, but for comments as articles
+            return self.cue if self._named(attrs, whole=False) else ""
+        if tag in UNMARKED and tag != "p":
+            return self.cue
+        if tag == "p":
+            attrs = [x for x in attrs if x[0] == "class"]
+        return self._named(attrs) or self.cue
 
     def _pop_to(self, at: int) -> None:
-        for _, s, c, a in self.stack[at:]:
+        for _, s, c, a, _ in self.stack[at:]:
             self.silent -= s
             self.chrome -= c
             self.article -= a
+        if at < len(self.stack):
+            self.cue = self.stack[at][4]
         del self.stack[at:]
 
     def handle_starttag(self, tag, attrs) -> None:
@@ -101,11 +120,14 @@ class Lines(HTMLParser):
                 at -= 1
             if at >= 0 and (self.stack[at][0] == "p" or self.stack[at][0] == tag in SELF_CLOSING):
                 self._pop_to(at)
-        s, c = tag in SILENT, tag in FURNITURE or self._cue(tag, attrs)
+        s = tag in SILENT
+        c = tag in FURNITURE or (tag not in UNMARKED and any(
+            k == "role" and (v or "").lower() in ROLES for k, v in attrs))
         a = tag == "article" or any(k == "itemprop" and v == "articleBody" for k, v in attrs)
         if tag == "body":
             self._pop_to(0)                              # whatever the head left open
-        self.stack.append((tag, s, c, a))
+        self.stack.append((tag, s, c, a, self.cue))
+        self.cue = self._cue(tag, attrs, a)
         self.silent += s
         self.chrome += c
         self.article += a
@@ -124,13 +146,11 @@ class Lines(HTMLParser):
     def handle_data(self, data) -> None:
         if self.silent:
             return
-        mark = CHROME if self.chrome else ARTICLE if self.article else PLAIN
-        if not self.buffer:
-            place = ">".join(x[0] for x in self.stack[-6:]) if mark == CHROME else ""
-            self.state = (mark, place)
-        elif mark != self.state[0]:
+        mark = CHROME if self.chrome else CUED if self.cue else ARTICLE if self.article else PLAIN
+        if not self.buffer or mark != self.state[0]:
             self._flush()
-            self.state = (mark, ">".join(x[0] for x in self.stack[-6:]) if mark == CHROME else "")
+            place = ">".join(x[0] for x in self.stack[-6:]) if mark in (CHROME, CUED) else ""
+            self.state = (mark, f"{place} {self.cue}" if mark == CUED else place)
         self.buffer.append(data)
 
     def close(self) -> None:
@@ -219,12 +239,13 @@ def _trace(x: list, y: list) -> set[int]:
 
 def main_lines(lines: list[tuple[str, int]], shared: set[int], compared: bool = False) -> list[str]:
     """What stays of a page's (text, mark) lines once shared ones are deleted;
-    ``compared`` says that the page has a neighbour."""
+    ``compared`` says that the page has a neighbour. Cued lines of shared places
+    are among ``shared``."""
     if not compared:
         inside = sum(len(t) for t, m in lines if m == ARTICLE)
         if inside > sum(len(t) for t, m in lines if m == PLAIN):
             return [t for t, m in lines if m == ARTICLE]
-    return [t for i, (t, m) in enumerate(lines) if m == ARTICLE or (m == PLAIN and i not in shared)]
+    return [t for i, (t, m) in enumerate(lines) if m == ARTICLE or (m in (PLAIN, CUED) and i not in shared)]
 
 
 def _keys(pages: DataFrame) -> DataFrame:
@@ -295,6 +316,9 @@ def _difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if members:
             others = [x for x in (before, after) if x and same_host(run, x)]
             shared = set().union(*(shared_lines(run[7], x[7]) for x in others))
+            if CUED in run[6]:
+                places = set().union(*(x[7] for x in others))
+                shared.update(i for i, m in enumerate(run[6]) if m == CUED and run[7][i] in places)
             text = "\n".join(main_lines(list(zip(run[5], run[6])), shared, bool(others)))
             out.extend((*m, text, len(text), len(run[5]), len(shared)) for m in members)
             members.clear()
