@@ -76,6 +76,15 @@ def _pages(spark):
                                  "page_id long, url string, html string")
 
 
+def test_archive_responses_are_bounded_by_rows(spark):
+    from tickwise.plans import files_q
+    rows = [(7 if k % 3 == 0 else None if k % 3 == 1 else k, "en", "src1", k) for k in range(7000)]
+    d = spark.createDataFrame(rows, "doc_id long, lang string, source string, n_chars int").repartition(3)
+    got = [r[0] for r in files_q.archive_responses(d).collect()]
+    assert max(map(len, got)) <= files_q.DOCS_PER_RESPONSE
+    assert sorted(x["word_count"] for docs in got for x in docs) == list(range(7000))
+
+
 def test_anchor_extraction(spark):
     p = _pages(spark)
     cls = P.anchors(p, "currency-name-container link-secondary").orderBy("pos").collect()

@@ -37,10 +37,9 @@ def q_csv_history(spark, sf_dir):
     return finish(back.drop("coin"))
 
 
-def q_archive_articles(spark, sf_dir):
-    """S3 + P8 + F4 + F27 + P6: documents as archive responses (one a line, at most
-    ``DOCS_PER_RESPONSE`` ids each), read back and flattened."""
-    d = tables.table(spark, sf_dir, "documents")
+def archive_responses(d):
+    """``docs``: the rows as archive responses of at most ``DOCS_PER_RESPONSE`` rows,
+    numbered by a row's place in its input task, whatever the ids are."""
     doc = F.struct(
         F.concat(F.lit("https://archive/"), F.col("doc_id")).alias("web_url"),
         F.struct(F.concat(F.lit("Document "), F.col("doc_id")).alias("main")).alias("headline"),
@@ -48,7 +47,15 @@ def q_archive_articles(spark, sf_dir):
         F.when(F.col("lang") == "en", "article").otherwise("blogpost").alias("document_type"),
         F.col("lang").alias("source"), F.col("source").alias("section_name"),
         F.col("n_chars").alias("word_count"))
-    docs = d.groupBy(F.floor(F.col("doc_id") / DOCS_PER_RESPONSE)).agg(F.collect_list(doc).alias("docs"))
+    place = F.expr(f"monotonically_increasing_id() div {DOCS_PER_RESPONSE}")
+    return (d.select(place.alias("_response"), doc.alias("_doc")).groupBy("_response")
+            .agg(F.collect_list("_doc").alias("docs")).drop("_response"))
+
+
+def q_archive_articles(spark, sf_dir):
+    """S3 + P8 + F4 + F27 + P6: documents as archive responses (one a line), read
+    back and flattened."""
+    docs = archive_responses(tables.table(spark, sf_dir, "documents"))
     path = scratch_path(spark, f"archive-{uuid.uuid4().hex}")
     docs.select(F.to_json(F.struct(F.struct("docs").alias("response"))).alias("value")).write.text(path)
     return news.flatten_archive(files.read_archive(spark, path, multi_line=False), SECTIONS)
