@@ -135,6 +135,24 @@ def test_pseudonyms(spark):
     assert pii_feistel.pseudonymize(no_docs(spark)).count() == 0
 
 
+def test_pseudonyms_of_other_forms(spark):
+    forms = {"(212) 555-0147": 1, "212-555-0147": 1, "3782 822463 10005": 0, "3/4/2021": 4, "4.3.2021": 4,
+             "March 3, 2021": 4, "Mar 4, 2021": 4, "3 March 2021": 4, "02/28/2001": 4}
+    bad = ["3782 822463 10006", "13/32/2021", "February 30, 2021", "1212-555-01478", "1.2.3.2021"]
+    text = "; ".join([*forms, *bad]) + "; +1 (212) 555-0147 on 3/4/2021."
+    r = rows(pii_feistel.pseudonymize(spark.createDataFrame([(1, text)], "doc_id long, text string")))[0]
+    found = {f["value"]: (f["kind"], f["pseudonym"]) for f in r["found"]}
+    assert {v: k for v, (k, _) in found.items()} == {**forms, "+1 (212) 555-0147": 1}
+    assert all(b in r["text"].split("; ") for b in bad) and not any(v in r["text"].split("; ") for v in forms)
+    new = {v: p for v, (_, p) in found.items()}
+    assert new["+1 (212) 555-0147"] == "+1 " + new["(212) 555-0147"]
+    card = new["3782 822463 10005"]
+    assert re.fullmatch(r"3\d{3} \d{6} \d{5}", card) and luhn_ok(card.replace(" ", ""))
+    day = re.fullmatch(r"([A-Z][a-z]+) (\d{1,2}), (\d{4})", new["March 3, 2021"]).groups()
+    assert new["3 March 2021"] == f"{day[1]} {day[0]} {day[2]}"
+    assert re.fullmatch(r"\d{1,2}/\d{1,2}/\d{4}", new["3/4/2021"]) and re.fullmatch(r"[A-Z][a-z]{2} .*", new["Mar 4, 2021"])
+
+
 def test_feistel_is_a_permutation(spark):
     for a, b in ((7, 9), (270, 3), (1, 10)):
         n = F.lit(b).cast("bigint")

@@ -7,8 +7,8 @@ different ones. Rounds add a keyed SHA-256 of one half to the other half, modulo
 the half's size, so any size a * b is permuted exactly, without cycle walking.
 
 Kinds: payment cards (Luhn; first digit kept, check digit made anew), phone
-numbers (country code and separators kept), IPv4 addresses, US social security
-numbers, calendar dates and e-mail addresses (the local part; separators and
+numbers (country code and separators kept; also (ddd) ddd-dddd without one), IPv4 addresses, US social security
+numbers, calendar dates (also with one-digit parts or month names) and e-mail addresses (the local part; separators and
 domain kept). Candidates that fail the validation stay as they are.
 
 JVM-side only and without a shuffle: one projection per document.
@@ -25,11 +25,16 @@ ROUNDS = 8
 DEFAULT_KEY = "tickwise-pseudonyms"
 
 EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9](?:[A-Za-z0-9.-]*[A-Za-z0-9])?\.[A-Za-z]{2,}"
-PHONE = r"\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]?\d{2,4}){2,3}(?!\d)"
+PHONE = (r"\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]?\d{2,4}){2,3}(?!\d)"
+         r"|(?<![\d+.-])(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?![.-]?\d)")
 IP = r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\.?\d)"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
-DATE = r"(?<![\d-])\d{4}-\d{2}-\d{2}(?![\d-])|(?<![\d./])\d{2}([./])\d{2}\1\d{4}(?![\d./])"
-CARD = r"(?<![\dA-Za-z])(?:\d{13,19}|\d{4}([ -])\d{4}\2\d{4}\2\d{4})(?![\dA-Za-z])"
+MONTH = (r"(?:Jan(?:uary)?|Feb(?:ruary)?|Mar(?:ch)?|Apr(?:il)?|May|June?|July?|Aug(?:ust)?|Sep(?:tember)?"
+         r"|Oct(?:ober)?|Nov(?:ember)?|Dec(?:ember)?)")
+DATE = (r"(?<![\d-])\d{4}-\d{2}-\d{2}(?![\d-])|(?<![\d./])\d{1,2}([./])\d{1,2}\1\d{4}(?![./]?\d)"
+        rf"|(?<![A-Za-z]){MONTH} \d{{1,2}}, \d{{4}}(?!\d)|(?<![\d.,/-])\d{{1,2}} {MONTH} \d{{4}}(?!\d)")
+CARD = (r"(?<![\dA-Za-z])(?:\d{13,19}|\d{4}([ -])\d{4}\2\d{4}\2\d{4}|\d{4}([ -])\d{6}\3\d{5})"
+        r"(?![\dA-Za-z])")
 ANY = "|".join(f"(?:{p})" for p in (EMAIL, PHONE, IP, SSN, DATE, CARD))
 KINDS = ("card", "phone", "ip", "ssn", "date", "email")
 # Dates are permuted inside eras of 270 * 270 days (about 200 years) from this day on.
@@ -145,12 +150,19 @@ def _ssn(v: Column, key: str) -> Column:
 
 
 def _date(v: Column, key: str) -> Column:
-    iso = v.rlike("^[0-9]{4}-")
-    sep = F.substring(v, 3, 1)
+    iso, named = v.rlike("^[0-9]{4}-"), v.rlike("[A-Z]")
+    sep = F.regexp_extract(v, "[./]", 0)
+    year, month = F.right(v, F.lit(4)), F.regexp_extract(v, "[A-Za-z]+", 0)
+    one, two = F.regexp_extract(v, r"^(\d{1,2})[./]", 1), F.regexp_extract(v, r"[./](\d{1,2})[./]", 1)
+    short = (F.length(one) == 1) | (F.length(two) == 1)
+
+    def joined(m, d):
+        return F.concat_ws("-", year, F.lpad(m, 2, "0"), F.lpad(d, 2, "0"))
     # dd.mm.yyyy; with slashes mm/dd/yyyy
-    other = F.when(sep == ".", F.concat_ws("-", F.substring(v, 7, 4), F.substring(v, 4, 2),
-                                           F.substring(v, 1, 2))) \
-        .otherwise(F.concat_ws("-", F.substring(v, 7, 4), F.substring(v, 1, 2), F.substring(v, 4, 2)))
+    other = F.when(named, joined(
+        F.floor((F.instr(F.lit("JanFebMarAprMayJunJulAugSepOctNovDec"), F.left(month, F.lit(3))) + 2) / 3)
+        .cast("string"), F.regexp_extract(v, r"(?<!\d)(\d{1,2})(?!\d)", 1))) \
+        .when(sep == ".", joined(two, one)).otherwise(joined(one, two))
     day = F.try_to_timestamp(F.when(iso, v).otherwise(other), F.lit("yyyy-MM-dd")).cast("date")
 
     def shown(n):
@@ -158,8 +170,13 @@ def _date(v: Column, key: str) -> Column:
         moved = feistel(F.pmod(n, F.lit(_ERA)), F.lit(_HALF_ERA).cast("bigint"),
                         F.lit(_HALF_ERA).cast("bigint"), key, "date") + era * _ERA
         out = F.date_add(F.lit(_FIRST_DAY).cast("date"), moved.cast("int"))
-        return F.when(iso, F.date_format(out, "yyyy-MM-dd")).when(
-            sep == ".", F.date_format(out, "dd.MM.yyyy")).otherwise(F.date_format(out, "MM/dd/yyyy"))
+        form = F.when(F.length(month) > 3, F.date_format(out, "MMMM")).otherwise(F.date_format(out, "MMM"))
+        return F.when(iso, F.date_format(out, "yyyy-MM-dd")) \
+            .when(named & v.rlike("^[0-9]"), F.concat_ws(" ", F.date_format(out, "d"), form, F.date_format(out, "yyyy"))) \
+            .when(named, F.concat(form, F.date_format(out, " d, yyyy"))) \
+            .when(short & (sep == "."), F.date_format(out, "d.M.yyyy")) \
+            .when(short, F.date_format(out, "M/d/yyyy")) \
+            .when(sep == ".", F.date_format(out, "dd.MM.yyyy")).otherwise(F.date_format(out, "MM/dd/yyyy"))
     return let(F.datediff(day, F.lit(_FIRST_DAY).cast("date")).cast("bigint"),
                lambda n: F.when((n >= 0) & (n < 18 * _ERA // 2 * 2), shown(n)))
 
@@ -203,9 +220,9 @@ def _email(v: Column, key: str) -> Column:
 
 def _kind(v: Column) -> Column:
     """Which pattern a candidate is of (an index of :data:`KINDS`)."""
-    return F.when(v.contains("@"), 5).when(v.startswith("+"), 1) \
+    return F.when(v.contains("@"), 5).when(v.rlike(r"^\+|^\(|^\d{3}[.-]\d{3}[.-]\d{4}$"), 1) \
         .when(v.rlike(r"^\d{1,3}(\.\d{1,3}){3}$"), 2).when(v.rlike(r"^\d{3}-\d{2}-\d{4}$"), 3) \
-        .when(v.rlike(r"^\d{4}-\d{2}-\d{2}$|^\d{2}[./]\d{2}[./]\d{4}$"), 4).otherwise(0)
+        .when(v.rlike(r"^\d{4}-\d{2}-\d{2}$|^\d{1,2}[./]\d{1,2}[./]\d{4}$|[A-Z]"), 4).otherwise(0)
 
 
 def pseudonymize(docs: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
