@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -87,3 +88,11 @@ def materialize(df):
     loss; never a local-only copy)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df, name: str):
+    """Write an intermediate that several jobs read as Parquet in the shared
+    checkpoint folder and read it back: it outlives any executor."""
+    path = scratch_path(df.sparkSession, f"written/{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
