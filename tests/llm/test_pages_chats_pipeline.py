@@ -161,7 +161,7 @@ def test_chat_parts_are_placed_in_order(spark):
 
 def test_all_queries_are_registered():
     names = list(E.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
     assert "pipeline" in names
 

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tickwise.llm import (cgk_leaks, chat_parts, edit_tokens, fertility, license_digest, packing,
-                          page_diff, pii_feistel, secret_owners, simhash_ring)
+from tickwise.llm import (cgk_leaks, chat_parts, edit_tokens, fertility, hard_negatives, license_digest,
+                          merkle_manifest, oracles, packing, page_diff, pii_feistel, pu_toxicity,
+                          secret_owners, simhash_ring)
 from tickwise.llm._common import table
 
 
@@ -122,7 +123,24 @@ def op10_edit_tokens(spark, sf_dir):
     return edit_tokens.recount(edit_tokens.with_trees(rows))
 
 
+def op11_merkle_manifest(spark, sf_dir):
+    """Every document's leaf, proof and check after tampering."""
+    return merkle_manifest.manifest(table(spark, sf_dir, "documents"))
+
+
+def op12_pu_toxicity(spark, sf_dir):
+    """Toxicity score of every document."""
+    return pu_toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_hard_negatives(spark, sf_dir):
+    """Hard negatives of every fiftieth vector."""
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_page_diff, op2_packing, op3_chat_parts, op4_pii_feistel, op5_secret_ownership,
-    op6_license_digest, op7_fertility, op8_benchmark_leaks, op9_simhash_ring, op10_edit_tokens)}
-ORACLE: dict[str, str] = {"op3_chat_parts": OP3_SQL}
+    op6_license_digest, op7_fertility, op8_benchmark_leaks, op9_simhash_ring, op10_edit_tokens,
+    op11_merkle_manifest, op12_pu_toxicity, op13_hard_negatives)}
+ORACLE: dict[str, str] = {"op3_chat_parts": OP3_SQL, "op11_merkle_manifest": oracles.OP11,
+                          "op13_hard_negatives": oracles.OP13}
