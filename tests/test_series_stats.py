@@ -184,3 +184,91 @@ def test_correlations_are_pairwise_complete(spark):
             assert n == frame[[x, y]].dropna().shape[0] if x != y else True
             assert (r is None) == pd.isna(want.loc[x, y])
             assert r is None or abs(r - want.loc[x, y]) < 1e-9
+
+
+# --- long series: scans over ranges, numbers, lags -------------------------
+
+SERIES = "s string, k int, u int, v double, extra string"
+
+
+def _ticks(seed=3, n=400):
+    """Rows of three series (one null) with ties in ``k``, nulls and a hot key."""
+    import random
+    rng = random.Random(seed)
+    rows = [(rng.choice(["a", "a", "b", None]), rng.choice([None, 7, 7, 7, rng.randrange(60)]), i,
+             rng.choice([None, 0.0, rng.uniform(1, 9), rng.uniform(1, 9)]), "x") for i in range(n)]
+    return rows + [("nulls", i, n + i, None, "x") for i in range(40)]
+
+
+def _plain_changes(rows, by):
+    groups = {}
+    for r in sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[2])):
+        groups.setdefault(r[0] if by else 0, []).append(r)
+    out = {}
+    for g in groups.values():
+        v = pd.Series([r[3] for r in g], dtype="float64")
+        ff = v.ffill()
+        pct = [(b / a - 1) if a and not math.isnan(a) and not math.isnan(b) else 0.0
+               for a, b in zip(ff.shift(1), ff)]
+        for r, d, p in zip(g, v.diff().fillna(0), pct):
+            out[r[2]] = (pytest.approx(d), pytest.approx(p))
+    return out
+
+
+@pytest.mark.parametrize("by,files", [((), 1), ((), 7), (("s",), 5)])
+def test_changes_of_long_series(spark, by, files):
+    rows = _ticks()
+    df = spark.createDataFrame(rows, SERIES).repartition(files)
+    d = S.first_diff(df, "v", ["k", "u"], by, "diff", long=True)
+    d = S.pct_change(d, "v", ["k", "u"], by, "pct", long=True)
+    assert d.columns == df.columns + ["diff", "pct"]
+    got = {r.u: (r["diff"], r.pct) for r in d.collect()}
+    assert got == _plain_changes(rows, by)
+    empty = df.where("false")
+    assert S.pct_change(S.first_diff(empty, "v", "k"), "v", "k").count() == 0
+
+
+def test_no_range_holds_a_hot_key(spark):
+    """A third of the rows equal in every order column still spread over the ranges."""
+    from tickwise.operators.order import ranged
+    df = spark.range(0, 6000, 1, 6).selectExpr("IF(id % 3 = 0, 5, id) AS k")
+    sizes = [r["count"] for r in ranged(df, ["k"]).groupBy("_part").count().collect()]
+    assert sum(sizes) == 6000 and max(sizes) < 2 * 6000 / len(sizes) and len(sizes) > 4
+    with pytest.raises(ValueError):
+        S.first_diff(df, "k", "k", long=False)
+
+
+@pytest.mark.parametrize("by", [(), ("s",)])
+def test_numbers_in_global_order(spark, by):
+    from tickwise.operators.order import numbered
+    rows = _ticks()
+    for files in (1, 6):
+        df = spark.createDataFrame(rows, SERIES).repartition(files)
+        got = {r.u: r.pos for r in numbered(df, [F.col("k").desc_nulls_last(), "u"], by).collect()}
+        groups = {}
+        for r in sorted(rows, key=lambda r: (r[1] is None, -(r[1] or 0), r[2])):
+            groups.setdefault(r[0] if by else 0, []).append(r[2])
+        assert got == {u: i for g in groups.values() for i, u in enumerate(g)}
+    assert numbered(df.where("false"), ["k"]).count() == 0
+    same = spark.createDataFrame([(1,)] * 50, "k int").repartition(4)      # equal rows
+    assert sorted(r.pos for r in numbered(same, ["k"]).collect()) == list(range(50))
+
+
+@pytest.mark.parametrize("max_lag", [0, 3, 8, 40])
+def test_lags_in_a_band(spark, monkeypatch, max_lag):
+    monkeypatch.setattr(S, "LAG_BLOCK", 8)
+    monkeypatch.setattr(S, "LAG_BINS", 3)
+    import random
+    rng = random.Random(4)
+    rows = [(c, i, rng.uniform(-1, 1)) for c in ("ref", "x", "far") for i in range(70)
+            if rng.random() < 0.7 and (c != "far" or i > 50)] + [("x", 5, None), ("x", None, 1.0)]
+    df = spark.createDataFrame(rows, "coin string, idx long, v double")
+    got = {(r.series, r.lag): (r.z, r.pairs)
+           for r in S.lag_products(df, "coin", "v", "ref", max_lag=max_lag).collect()}
+    want = {}
+    for c, i, v in rows:
+        for _, j, w in (r for r in rows if r[0] == "ref"):
+            if None not in (i, v, j, w) and abs(i - j) <= max_lag:
+                z, n = want.get((c, i - j), (0.0, 0))
+                want[c, i - j] = (z + v * w, n + 1)
+    assert got == {k: (pytest.approx(z), n) for k, (z, n) in want.items()}

@@ -2,9 +2,9 @@
 
 :func:`numbered` gives every row its number in a global order: rows are dealt
 out by range, sorted inside each range, written once, and the row counts of the
-ranges (one row per range) give the offsets. :func:`previous` and
-:func:`filled_forward` look one row back across ranges the same way: only the
-edge of each range, one row, travels.
+ranges (one row per range) give the offsets. :func:`with_previous`
+looks back over a series the same way: only the edge of each range, one row,
+travels.
 """
 
 from __future__ import annotations
@@ -67,3 +67,39 @@ def numbered(df: DataFrame, order: Sequence[str | Column], by: Sequence[str] = (
                                            - F.col("_first")).alias("_off"))
     out = same(d, offsets, [*by, "_part"], "inner")
     return out.withColumn(idx, F.col("_row") + F.col("_off")).drop("_part", "_row", "_off")
+
+
+def with_previous(df: DataFrame, value: str, order: Sequence[str | Column], by: Sequence[str] = (),
+                  previous: str = "prev", filled: str = "filled",
+                  filled_previous: str = "filled_prev") -> DataFrame:
+    """Each row with the value of the row before it (``previous``), its own value
+    filled forward over nulls (``filled``) and that of the row before it
+    (``filled_previous``), in ``order`` within each series of ``by`` (or over the
+    whole table). Null where there is no earlier row or value.
+
+    A segmented scan: inside a range the values come from a window over that range's
+    rows of the series; what enters a range from outside is one row (its halo), the
+    last value and the last non-null value of the ranges before it, carried forward
+    over one row per range and series.
+    """
+    d = ranged(df, order, by)
+    last = F.max_by(F.struct(F.col(value).alias("v")), F.col("_row"))["v"]
+    last_known = F.max_by(F.col(value), F.when(F.col(value).isNotNull(), F.col("_row")))
+    edges = d.groupBy(*by, "_part").agg(last.alias("_last"), last_known.alias("_known"))
+    over = _over_ranges(by, F.col("_part"))
+    halo = edges.select(
+        *by, "_part", F.lag("_last").over(over).alias("_in"),
+        F.last("_known", ignorenulls=True)
+        .over(over.rowsBetween(Window.unboundedPreceding, -1)).alias("_in_known"))
+    w = Window.partitionBy("_part", *by).orderBy("_row")
+    inside = d.select(
+        "*", F.lag(value).over(w).alias(previous), (F.row_number().over(w) == 1).alias("_first"),
+        F.last(value, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias(filled),
+        F.last(value, ignorenulls=True)
+        .over(w.rowsBetween(Window.unboundedPreceding, -1)).alias(filled_previous))
+    out = same(inside, halo, [*by, "_part"], "inner")
+    return out.withColumns({
+        previous: F.when(F.col("_first"), F.col("_in")).otherwise(F.col(previous)),
+        filled: F.coalesce(filled, "_in_known"),
+        filled_previous: F.coalesce(filled_previous, "_in_known"),
+    }).drop("_part", "_row", "_first", "_in", "_in_known")

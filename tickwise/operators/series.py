@@ -2,16 +2,16 @@
 
 Series are never one frame per name: every operator takes a long table and a
 ``by`` list, so many series are processed in one job. Windows are always
-partitioned by the series key; a single very long series is numbered by
-:func:`with_row_index` (bucketed, no one-task window) and shifted by
-equi-joins on the index instead of a whole-series window.
+partitioned by the series key; a very long series, or a whole table as one, is
+scanned range by range (:mod:`tickwise.operators.order`), numbered by
+:func:`with_row_index` and shifted by equi-joins on the index.
 """
 
 from __future__ import annotations
 
 import sys
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -19,35 +19,72 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickwise.operators.order import with_previous
+from tickwise.session import written
 
 # Python functions of this module run inside tasks: ship them by value so
 # workers need no installed copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-def _w(by: Sequence[str], order):
-    order = list(order) if isinstance(order, (list, tuple)) else [order]
-    return Window.partitionBy(*by).orderBy(*order) if by else Window.orderBy(*order)
+
+def _w(by: Sequence[str], order) -> Window:
+    """A window over one series; a whole table is never one window."""
+    if not by:
+        raise ValueError("name the series, or use the scan over ranges")
+    return Window.partitionBy(*by).orderBy(order)
+
+
+def _is_long(by: Sequence[str], long: bool | None) -> bool:
+    return not by if long is None else long
 
 
-def first_diff(df: DataFrame, value: str, order: str, by: Sequence[str] = (),
-               out: str | None = None) -> DataFrame:
-    """``v - previous v``; first row and missing neighbours give 0."""
-    w = _w(by, order)
-    return df.withColumn(out or f"{value}_diff",
-                         F.coalesce(F.col(value) - F.lag(value).over(w), F.lit(0.0)))
+def changes(df: DataFrame, value: str, order: str | Sequence[str], by: Sequence[str] = (),
+            diff: str | None = None, pct: str | None = None) -> DataFrame:
+    """W1 (column ``diff``) and W2 (column ``pct``) of long series in one scan over
+    ranges: no task holds a series (:func:`tickwise.operators.order.with_previous`)."""
+    d = with_previous(df, value, _listed(order), by, "_prev", "_ff", "_ffp")
+    if diff:
+        d = d.withColumn(diff, F.coalesce(F.col(value) - F.col("_prev"), F.lit(0.0)))
+    if pct:
+        change = F.try_divide(F.col("_ff"), F.col("_ffp")) - F.lit(1.0)
+        d = d.withColumn(pct, F.coalesce(change, F.lit(0.0)))
+    return d.drop("_prev", "_ff", "_ffp")
 
 
-def pct_change(df: DataFrame, value: str, order: str, by: Sequence[str] = (),
-               out: str | None = None) -> DataFrame:
+def first_diff(df: DataFrame, value: str, order: str | Sequence[str], by: Sequence[str] = (),
+               out: str | None = None, long: bool | None = None) -> DataFrame:
+    """``v - previous v``; first row and missing neighbours give 0.
+
+    ``long`` series (the default without ``by``) are scanned range by range
+    (:func:`changes`); otherwise each series is sorted in one task (a row per day,
+    say). Rows equal in ``order`` have no stated order; give several columns to fix it.
+    """
+    out = out or f"{value}_diff"
+    if _is_long(by, long):
+        return changes(df, value, order, by, diff=out)
+    w = _w(by, _listed(order))
+    return df.withColumn(out, F.coalesce(F.col(value) - F.lag(value).over(w), F.lit(0.0)))
+
+
+def pct_change(df: DataFrame, value: str, order: str | Sequence[str], by: Sequence[str] = (),
+               out: str | None = None, long: bool | None = None) -> DataFrame:
     """Percent change on the forward-filled value; missing -> 0.
 
-    A zero previous value yields 0 here (pandas gives inf).
+    A zero previous value yields 0 here (pandas gives inf). ``long`` as in
+    :func:`first_diff`.
     """
-    w = _w(by, order)
+    out = out or f"{value}_pct"
+    if _is_long(by, long):
+        return changes(df, value, order, by, pct=out)
+    w = _w(by, _listed(order))
     filled = F.last(value, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
     d = df.withColumn("_ff", filled)
     pct = F.try_divide(F.col("_ff"), F.lag("_ff").over(w)) - F.lit(1.0)
-    return d.withColumn(out or f"{value}_pct", F.coalesce(pct, F.lit(0.0))).drop("_ff")
+    return d.withColumn(out, F.coalesce(pct, F.lit(0.0))).drop("_ff")
+
+
+def _listed(order) -> list:
+    return list(order) if isinstance(order, (list, tuple)) else [order]
 
 
 def gradient_dense(df: DataFrame, key: str, value: str, step, by: Sequence[str] = (),
@@ -104,6 +141,8 @@ def global_extremes(df: DataFrame, value: str) -> DataFrame:
 
 def last_n(df: DataFrame, n: int, order: str, by: Sequence[str] = ()) -> DataFrame:
     """The last ``n`` rows of every series (a top-k, so the limit is the feature)."""
+    if not by:
+        return df.orderBy(F.col(order).desc()).limit(n)
     w = _w(by, F.col(order).desc())
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
@@ -152,55 +191,111 @@ def with_row_index(df: DataFrame, order: Sequence[str], bucket: Column,
 # --- cross-correlation lag (W10-W12) --------------------------------------
 
 LAG_BLOCK = 1024        # steps of the index in one block of a series
-
-
-def _block_products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Sums of products by lag for pairs of blocks (dense vectors; a step without
-    a row adds nothing). Pairs of a batch on one block diagonal are added up."""
-    for pdf in batches:
-        sums: dict = {}
-        for r in pdf.itertuples(index=False):
-            side = []
-            for at, v in ((r.xi, r.xv), (r.yi, r.yv)):
-                dense, there = np.zeros(LAG_BLOCK), np.zeros(LAG_BLOCK)
-                dense[np.asarray(at)], there[np.asarray(at)] = v, 1.0
-                side.append((dense, there))
-            (x, hx), (y, hy) = side
-            z = np.stack([np.correlate(x, y, "full"), np.correlate(hx, hy, "full")])
-            k = (r.series, r.i - r.j)
-            sums[k] = sums[k] + z if k in sums else z
-        keys = list(sums)
-        yield pd.DataFrame({
-            "series": [k[0] for k in keys],
-            "base": np.array([k[1] * LAG_BLOCK - (LAG_BLOCK - 1) for k in keys], dtype="int64"),
-            "z": [sums[k][0].tolist() for k in keys],
-            "pairs": [np.rint(sums[k][1]).astype("int64").tolist() for k in keys]})
-
-
-def lag_products(indexed: DataFrame, series: str, value: str, reference: str) -> DataFrame:
-    """``(series, lag, z, pairs)`` for every lag at which a series and the
-    reference have rows ``lag`` steps apart: the sum of products and their number.
-
-    Both are cut into blocks of ``LAG_BLOCK`` steps, each block meets each block
-    of the reference (an equi-join on the block number), and the partial sums are
-    added by lag, so no task holds a whole series.
+LAG_BINS = 64           # frequencies that one task of the second transform holds
+
+_SPECTRUM = "series string, block long, part int, z binary, h binary"
+
+
+def _block_spectra(length: int) -> Callable:
+    """Blocks of a series to their spectra: values and presence, each padded with
+    zeros to twice the length, cut into parts of :data:`LAG_BINS` frequencies."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for r in pdf.itertuples(index=False):
+                dense, there = np.zeros(2 * length), np.zeros(2 * length)
+                dense[np.asarray(r.at)], there[np.asarray(r.at)] = r.v, 1.0
+                z, h = np.fft.rfft(dense), np.fft.rfft(there)
+                out += [(r.series, r.block, p, z[s:s + LAG_BINS].tobytes(), h[s:s + LAG_BINS].tobytes())
+                        for p, s in enumerate(range(0, len(z), LAG_BINS))]
+            yield pd.DataFrame(out, columns=["series", "block", "part", "z", "h"])
+    return run
+
+
+def _rows(pdf: pd.DataFrame, name: str, first: int, size: int) -> np.ndarray:
+    """Spectra of a series as a matrix, one row per block (zeros where it has none)."""
+    bins = [np.frombuffer(b, dtype="complex128") for b in pdf[name]]
+    out = np.zeros((size, len(bins[0])), dtype="complex128")
+    out[pdf["block"].to_numpy() - first] = bins
+    return out
+
+
+def _across_blocks(length: int, max_lag: int | None) -> Callable:
+    """Second transform, along the blocks: for some frequencies, the spectrum of the
+    products on every block diagonal, of a series against the reference."""
+    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        if not len(a) or not len(b):
+            return pd.DataFrame(columns=["series", "block", "part", "z", "h"])
+        a0, b0 = int(a["block"].min()), int(b["ref_block"].min())
+        na, nb = int(a["block"].max()) - a0 + 1, int(b["ref_block"].max()) - b0 + 1
+        b = b.rename(columns={"ref_block": "block", "ref_z": "z", "ref_h": "h"})
+        size = na + nb - 1
+        # diagonal d: block of the series minus block of the reference
+        diagonals = np.arange(size) - (nb - 1) + (a0 - b0)
+        if max_lag is not None:
+            diagonals = diagonals[np.abs(diagonals) <= max_lag // length + 1]
+        both = []
+        for name in ("z", "h"):
+            x = np.fft.fft(_rows(a, name, a0, na), size, axis=0)
+            y = np.fft.fft(_rows(b, name, b0, nb), size, axis=0)
+            both.append(np.fft.ifft(x * np.conj(y), axis=0)[(diagonals - (a0 - b0)) % size])
+        return pd.DataFrame({"series": a["series"].iloc[0], "block": diagonals.astype("int64"),
+                             "part": a["part"].iloc[0], "z": [r.tobytes() for r in both[0]],
+                             "h": [r.tobytes() for r in both[1]]})
+    return run
+
+
+def _diagonal_lags(length: int, max_lag: int | None) -> Callable:
+    """All parts of one diagonal back to sums by lag. The blocks overlap: a lag has
+    a share in two diagonals, which are added up afterwards."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("part")
+        z, h = (np.fft.irfft(np.concatenate([np.frombuffer(b, dtype="complex128") for b in pdf[c]]),
+                             2 * length) for c in ("z", "h"))
+        lag = np.arange(2 * length)
+        lag = np.where(lag < length, lag, lag - 2 * length) + int(pdf["block"].iloc[0]) * length
+        pairs = np.rint(h).astype("int64")
+        keep = pairs > 0
+        if max_lag is not None:
+            keep &= np.abs(lag) <= max_lag
+        return pd.DataFrame({"series": pdf["series"].iloc[0], "lag": lag[keep], "z": z[keep],
+                             "pairs": pairs[keep]})
+    return run
+
+
+def lag_products(indexed: DataFrame, series: str, value: str, reference: str,
+                 max_lag: int | None = None) -> DataFrame:
+    """``(series, lag, z, pairs)`` for every lag (of at most ``max_lag`` steps
+    either way, if given) at which a series and the reference have rows ``lag``
+    steps apart: the sum of products and their number.
+
+    A transform in two steps, O(n log n) however many lags are asked for. Series are
+    cut into blocks of ``LAG_BLOCK`` steps; each block is transformed padded with
+    zeros; for each few frequencies a second transform along the blocks multiplies a
+    series with the reference on all block diagonals at once; each diagonal is
+    transformed back and its sums are added by lag. A task holds a block, a
+    diagonal, or one number per block for :data:`LAG_BINS` frequencies, never a
+    series. With ``max_lag`` only the diagonals that reach it are kept.
     """
-    b = (indexed.where(F.col(value).isNotNull())
-         .select(F.col(series).alias("series"), F.floor(F.col("idx") / LAG_BLOCK).alias("i"),
-                 F.pmod("idx", F.lit(LAG_BLOCK)).cast("int").alias("at"),
+    # functions are shipped by value with the block length in force
+    length = LAG_BLOCK
+    b = (indexed.where(F.col(value).isNotNull() & F.col("idx").isNotNull())
+         .select(F.col(series).alias("series"), F.floor(F.col("idx") / length).alias("block"),
+                 F.pmod("idx", F.lit(length)).cast("int").alias("at"),
                  F.col(value).cast("double").alias("v"))
-         .groupBy("series", "i").agg(F.collect_list(F.struct("at", "v")).alias("r"))
-         .select("series", "i", F.col("r.at").alias("xi"), F.col("r.v").alias("xv")))
-    ref = b.where(F.col("series") == reference).select(
-        F.col("i").alias("j"), F.col("xi").alias("yi"), F.col("xv").alias("yv"))
-    ends = ref.agg(F.min("j").alias("lo"), F.max("j").alias("hi"))
-    every = F.explode(F.sequence(ends.select("lo").scalar(), ends.select("hi").scalar())).alias("j")
-    met = b.select("*", every).join(ref, "j").select("series", "i", "j", "xi", "xv", "yi", "yv")
-    # shipped by value with the block length in force, so tasks agree with the driver
-    sums = met.mapInPandas(_block_products, "series string, base long, z array<double>, pairs array<long>")
-    return (sums.select("series", "base", F.posexplode(F.arrays_zip("z", "pairs")).alias("p", "s"))
-            .groupBy("series", (F.col("base") + F.col("p")).alias("lag"))
-            .agg(F.sum("s.z").alias("z"), F.sum("s.pairs").alias("pairs")).where(F.col("pairs") > 0))
+         .groupBy("series", "block").agg(F.collect_list(F.struct("at", "v")).alias("r"))
+         .select("series", "block", F.col("r.at").alias("at"), F.col("r.v").alias("v")))
+    spectra = written(b.mapInPandas(_block_spectra(length), _SPECTRUM), "lag-spectra")
+    ref = spectra.where(F.col("series") == reference).select(
+        F.col("part").alias("ref_part"), F.col("block").alias("ref_block"), F.col("z").alias("ref_z"),
+        F.col("h").alias("ref_h"))
+    keys = spectra.select(F.col("series").alias("to"), F.col("part").alias("ref_part")).distinct()
+    met = (spectra.groupBy("series", "part")
+           .cogroup(ref.join(keys, "ref_part").groupBy("to", "ref_part"))
+           .applyInPandas(_across_blocks(length, max_lag), _SPECTRUM))
+    lags = met.groupBy("series", "block").applyInPandas(
+        _diagonal_lags(length, max_lag), "series string, lag long, z double, pairs long")
+    return lags.groupBy("series", "lag").agg(F.sum("z").alias("z"), F.sum("pairs").alias("pairs"))
 
 
 def best_lag(indexed: DataFrame, series: str, value: str, reference: str) -> DataFrame:

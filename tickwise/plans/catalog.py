@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tickwise.plans import bars_q, files_q, news_q, pages_q, samples_q, series_q, streams_q
+from tickwise.plans import (bars_q, files_q, long_q, model_q, news_q, pages_q, samples_q, series_q,
+                            streams_q)
 
-_MODULES = [bars_q, series_q, news_q, pages_q, files_q, samples_q, streams_q]
+_MODULES = [bars_q, series_q, news_q, pages_q, files_q, samples_q, long_q, model_q, streams_q]
 
 
 def _utc(fn):
