@@ -10,7 +10,7 @@ from tests.conftest import SF_SMALL
 from tickwise.operators import bars, model, samples
 from tickwise.sources import files, tables
 from tickwise.sources.tables import tag_events
-from tickwise.streaming import merge, publish, sinks, sources
+from tickwise.streaming import live, merge, publish, sinks, sources
 
 
 def _staged_events(spark, tmp_dir, parts=5):
@@ -139,18 +139,77 @@ def test_predict_each_batch(spark, tmp_dir):
     m, acc = model.train(s)
     assert 0.0 <= acc.first().accuracy <= 1.0
     model.save(m, f"{tmp_dir}/model")
-    fn = merge.predict_each_batch(f"{tmp_dir}/features", f"{tmp_dir}/pred", f"{tmp_dir}/model")
+    fn = live.predict_each_batch(f"{tmp_dir}/features", f"{tmp_dir}/pred", f"{tmp_dir}/model")
     feats = bars.minute_features_tagged(tables.tagged_ticks(spark, SF_SMALL))
     fn(feats, 0)
     fn(feats, 0)                                   # replay of the same epoch is idempotent
     p = spark.read.parquet(f"{tmp_dir}/pred").collect()
     assert len(p) == 1 and p[0].direction in ("UP", "DOWN")
-    # the newest rows are the same as from the whole feature table
-    new = merge._newest_rows(spark, f"{tmp_dir}/features", 60)
+    # the tail gives the newest window of the whole feature table
     want = samples.latest_sample(samples.model_input(feats)).first()
-    assert samples.latest_sample(new).first() == want
-    assert merge._newest_rows(spark, f"{tmp_dir}/features", 10 ** 9).count() == \
-        samples.model_input(feats).count()
+    assert samples.latest_sample(spark.read.parquet(f"{tmp_dir}/features-tail/epoch=0")).first() == want
+
+
+def test_predictions_of_a_whole_run_equal_the_batch(spark, tmp_dir):
+    """Five micro-batches: every window once, from a tail of one file."""
+    from tickwise.plans.model_q import fixed_coefficients
+    folder, schema = _staged_events(spark, tmp_dir)
+    model.save(model.linear_model(fixed_coefficients(spark)), f"{tmp_dir}/model")
+    fn = live.predict_each_batch(f"{tmp_dir}/features", f"{tmp_dir}/pred", f"{tmp_dir}/model",
+                                 every_window=True, score=model.score_linear)
+    batches, read = [], []
+
+    def run(batch, epoch):
+        fn(batch, epoch)
+        if epoch == 2:
+            fn(batch, epoch)                       # a replayed epoch
+        old = live._tail(spark, f"{tmp_dir}/features-tail", epoch)
+        batches.append(epoch)
+        read.append((len(old.inputFiles()), old.count()))
+
+    sinks.run_each_batch(merge.window_merge(tag_events(_stream(spark, folder, schema))), run, f"{tmp_dir}/ck")
+    feats = spark.read.parquet(f"{tmp_dir}/features")
+    want = model.score_linear(model.load(f"{tmp_dir}/model"), samples.windows(
+        samples.model_input(feats.drop("day", "epoch")))).collect()
+    got = spark.read.parquet(f"{tmp_dir}/pred").collect()
+    assert len(batches) > 3 and len(want) > 100
+    assert sorted((r.start_ts, r.end_ts, round(r.p_up, 9)) for r in got) == \
+        sorted((r.start_ts, r.end_ts, round(r.p_up, 9)) for r in want)
+    assert all(files <= 1 and rows <= samples.WINDOW for files, rows in read)
+
+
+@pytest.mark.parametrize("block", [70, 4096])
+def test_windows_are_those_of_the_samples(spark, block):
+    x = samples.model_input(bars.minute_features_tagged(tables.tagged_ticks(spark, SF_SMALL)))
+    every = {r.start_ts: r for r in samples.windows(x, block=block).collect()}
+    assert len(every) == x.count() - samples.WINDOW + 1
+    for r in samples.build_samples(x, test_starts=50).collect():
+        assert every[r.start_ts].features == r.features and every[r.start_ts].end_ts == r.end_ts
+    last = samples.latest_sample(x).first()
+    assert every[last.start_ts].features == last.features
+    assert samples.windows(x.limit(0)).count() == 0
+
+
+def test_messages_are_counted_in_the_pass(spark, tmp_dir):
+    import json
+    def env(kind, data):
+        return json.dumps({"timestamp": "2024-01-01 00:01:02.000000", "msg_type": kind, "data": data})
+    row = '{"Open":1.0,"High":2.0,"Low":0.5,"Close":1.5,"Volume":3.0}'
+    data = [("a", env("price", [row])), ("b", env("price", [row, row])), ("c", env("price", [])),
+            ("d", env("odd", [row])), ("e", "{broken"), ("f", env("news", None)), ("g", None)]
+    msgs = spark.createDataFrame(data, "key string, value string")
+    for i in range(3):
+        msgs.where(F.pmod(F.ascii("key"), F.lit(3)) == i).coalesce(1).write.parquet(f"{tmp_dir}/in/p{i}")
+    counts = {}
+    stream = sources.folder_stream(spark, f"{tmp_dir}/in", msgs.schema, max_files_per_trigger=1)
+    out = sinks.run_to_parquet(merge.sorted_rows(stream), "t-rejects", counts=counts, partition_by=["reason"])
+    assert counts == {"messages.messages": 7, "messages.ok": 2, "messages.malformed": 2,
+                      "messages.unknown type": 1, "messages.empty": 2, "messages_rows.rows": 3}
+    good = out.where(F.col("reason") == merge.GOOD).drop("value", "reason")
+    plain = merge.typed_rows(merge.parse_events(msgs))
+    assert good.exceptAll(plain).count() == 0 and good.count() == plain.count() == 3
+    bad = {r.key: (r.reason, r.value) for r in out.where(F.col("reason") != merge.GOOD).collect()}
+    assert bad == {r.key: (r.reason, r.value) for r in merge.rejects(msgs).collect()}
 
 
 def test_csv_history_and_cache(spark, tmp_dir):

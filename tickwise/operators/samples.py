@@ -94,6 +94,35 @@ def build_samples(df: DataFrame, order: str = "ts", window: int = WINDOW,
     return out.withColumn("label", num.up_label(f"y{targets[0]}"))
 
 
+def windows(df: DataFrame, order: str = "ts", window: int = WINDOW, block: int = BLOCK,
+            sentiment_by_volume: bool = True) -> DataFrame:
+    """Every complete input window (no targets): ``t, start_ts, end_ts, features``.
+
+    Numbered and cut into blocks with a halo as in :func:`build_samples`, so no task
+    holds more than ``block + window`` rows.
+    """
+    d = with_row_index(df, [order], F.to_date(order), idx="i", total="N")
+    own = F.floor(F.col("i") / block)
+    first = F.floor(F.greatest(F.col("i") - (window - 1), F.lit(0)) / block)
+    x = d.select("*", own.alias("_own"), F.explode(F.sequence(first, own)).alias("blk"))
+    w = Window.partitionBy("blk").orderBy("i")
+    rows = F.collect_list(F.struct(*[F.col(c) for c in FEATURES])).over(w.rowsBetween(0, window - 1))
+    s = x.select("i", "N", "_own", "blk", F.col(order).alias("start_ts"),
+                 F.lead(order, window - 1).over(w).alias("end_ts"), rows.alias("_rows"))
+    s = s.where((F.col("blk") == F.col("_own")) & (F.col("i") <= F.col("N") - window))
+    last = F.element_at("_rows", -1)
+
+    def norm(r):
+        sent = F.try_divide(r["Sentiment_Value"], last["Volume"]) if sentiment_by_volume \
+            else r["Sentiment_Value"]
+        return F.array(*[F.try_divide(r[c], last["Close"]) for c in ("Open", "High", "Low", "Close")],
+                       F.try_divide(r["Volume"], last["Volume"]), sent)
+
+    return s.select(F.col("i").alias("t"), "start_ts", "end_ts",
+                    F.flatten(F.transform("_rows", norm)).alias("features"),
+                    F.lit(None).cast("int").alias("label"))
+
+
 def latest_sample(df: DataFrame, order: str = "ts", window: int = WINDOW,
                   sentiment_by_volume: bool = True) -> DataFrame:
     """The newest complete input window (for live scoring, T9): one row with

@@ -1,4 +1,4 @@
-"""Stream merge of price and news into minute features.
+"""Stream merge of price and news into minute features.
 
 T4 (default): one tagged-union stream, event-time watermark, one-minute
 tumbling windows with algebraic aggregates; a minute is emitted once the
@@ -13,6 +13,7 @@ minutes`` and emits its final row when the watermark passes that point.
 
 from __future__ import annotations
 
+import datetime as dt
 import sys
 
 from collections.abc import Iterator
@@ -20,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState
@@ -53,43 +54,75 @@ def parse_events(messages: DataFrame) -> DataFrame:
             .where(F.col("msg_type").isNotNull() & F.col("timestamp").isNotNull()))
 
 
-def typed_rows(events: DataFrame) -> DataFrame:
-    """Envelopes -> tagged rows ``(key, ts, is_news, Open..Volume, score)``, one
-    for each element of ``data``; envelopes without any go to :func:`rejects`."""
+def _typed(good: Column) -> list[Column]:
+    """``ts, is_news, Open..Volume, score`` of an element ``item`` of a good envelope."""
     ts = tf.parse_ts(F.col("timestamp"), ENVELOPE_TS_FORMAT.replace(".SSSSSS", "[.SSSSSS]"))
     p = F.from_json("item", PRICE_JSON)
     n = F.from_json("item", NEWS_JSON)
     is_news = F.col("msg_type") == "news"
     cols = [F.when(~is_news, p[c]).alias(c) for c in ("Open", "High", "Low", "Close", "Volume")]
+    return [F.when(good, ts).alias("ts"), F.when(good, is_news).alias("is_news"), *cols,
+            F.when(is_news, n["score"]).alias("score")]
+
+
+def typed_rows(events: DataFrame) -> DataFrame:
+    """Envelopes -> tagged rows ``(key, ts, is_news, Open..Volume, score)``, one
+    for each element of ``data``; envelopes without any go to :func:`rejects`."""
     return (events.where(F.col("msg_type").isin(*MSG_TYPES))
             .withColumn("item", F.explode("data"))
-            .select("key", ts.alias("ts"), is_news.alias("is_news"), *cols,
-                    F.when(is_news, n["score"]).alias("score")))
+            .select("key", *_typed(F.lit(True))))
+
+
+# Why a message is left out (fixed values), and the name of messages that are not.
+REASONS = ("malformed", "unknown type", "empty")
+GOOD = "ok"
+
+
+def _reason(e: Column) -> Column:
+    return (F.when(e["msg_type"].isNull() | e["timestamp"].isNull(), REASONS[0])
+            .when(~e["msg_type"].isin(*MSG_TYPES), REASONS[1])
+            .when(F.coalesce(F.size(e["data"]), F.lit(0)) <= 0, REASONS[2]))
 
 
 def rejects(messages: DataFrame) -> DataFrame:
     """What :func:`parse_events` and :func:`typed_rows` leave out, ``(key, value,
-    reason)``: ``malformed``, ``unknown type`` or ``empty`` (no data). Write it
-    beside the rows, or count it by reason."""
+    reason)`` with a reason of :data:`REASONS`."""
     e = messages.select("key", "value", parse_json("value", schemas.EVENT_ENVELOPE).alias("e"))
-    reason = (F.when(F.col("e.msg_type").isNull() | F.col("e.timestamp").isNull(), "malformed")
-              .when(~F.col("e.msg_type").isin(*MSG_TYPES), "unknown type")
-              .when(F.coalesce(F.size("e.data"), F.lit(0)) <= 0, "empty"))
-    return e.select("key", "value", reason.alias("reason")).where(F.col("reason").isNotNull())
+    return (e.select("key", "value", _reason(F.col("e")).alias("reason"))
+            .where(F.col("reason").isNotNull()))
 
 
-def open_minutes(tagged: DataFrame, emitted: DataFrame, tail: str) -> DataFrame:
+def sorted_rows(messages: DataFrame, metric: str = "messages") -> DataFrame:
+    """T3 with its rejects from one parse: the typed rows of good messages (``reason``
+    = :data:`GOOD`) and one row for each message left out, with its text in ``value``.
+
+    Counts travel with the pass as observed metrics: ``metric`` holds the number of
+    messages and of those of each reason, ``metric + "_rows"`` the number of typed
+    rows. Write it with ``partition_by=["reason"]``: rows and rejects are then folders
+    of one sink.
+    """
+    e = messages.select("key", "value", parse_json("value", schemas.EVENT_ENVELOPE).alias("e"))
+    e = e.select("key", "value", "e", F.coalesce(_reason(F.col("e")), F.lit(GOOD)).alias("reason"))
+    e = e.observe(metric, F.count(F.lit(1)).alias("messages"),
+                  *[F.count_if(F.col("reason") == r).alias(r) for r in (GOOD, *REASONS)])
+    good = F.col("reason") == GOOD
+    none = F.expr("CAST(array(NULL) AS array<string>)")
+    rows = e.select("key", "value", "reason", "e.timestamp", "e.msg_type",
+                    F.explode(F.when(good, F.col("e.data")).otherwise(none)).alias("item"))
+    out = rows.select("key", *_typed(good), F.when(~good, F.col("value")).alias("value"), "reason")
+    return out.observe(f"{metric}_rows", F.count_if(F.col("reason") == GOOD).alias("rows"))
+
+
+def open_minutes(tagged: DataFrame, emitted: DataFrame) -> DataFrame:
     """End-of-input flush: features of the minutes that a finished stream has not
-    emitted. ``tagged`` is the same input as a batch; only its last ``tail`` (the
-    watermark delay, and the state timeout if there is one) can hold them."""
-    e = event_time(tagged)
-    last = e.agg(F.max("ets").alias("last"))
-    rows = e.join(F.broadcast(last), F.col("ets") >= F.date_trunc(            # one row
-        "minute", F.col("last") - F.expr(f"interval {tail}")))
-    agg = rows.groupBy(F.date_trunc("minute", "ets").alias("m")).agg(*bars.tagged_aggs())
-    feats = agg.select(tf.ntz(F.col("m")).alias("Timestamp_Rounded"),
-                       "Open", "High", "Low", "Close", "Volume", "Score", "news_count")
-    return feats.join(emitted.select("Timestamp_Rounded"), "Timestamp_Rounded", "left_anti")
+    emitted. ``tagged`` is the same input as a batch. Minutes close in order of
+    time, so those after the last emitted one are open: its time bounds the scan."""
+    last = emitted.agg(F.max("Timestamp_Rounded")).first()[0]              # one value
+    rows = tagged if last is None else tagged.where(
+        F.col("ts") >= F.lit(last + dt.timedelta(minutes=1)))
+    agg = event_time(rows).groupBy(F.date_trunc("minute", "ets").alias("m")).agg(*bars.tagged_aggs())
+    return agg.select(tf.ntz(F.col("m")).alias("Timestamp_Rounded"),
+                      "Open", "High", "Low", "Close", "Volume", "Score", "news_count")
 
 
 def event_time(tagged: DataFrame, ts: str = "ts") -> DataFrame:
@@ -219,35 +252,3 @@ def state_merge(tagged: DataFrame, delay: str = DEFAULT_DELAY) -> DataFrame:
         _update_hour, OUT_SCHEMA, STATE_SCHEMA, "append", "EventTimeTimeout")
     return out.select(tf.ntz(F.timestamp_seconds("minute_s")).alias("Timestamp_Rounded"),
                       "Open", "High", "Low", "Close", "Volume", "Score", "news_count")
-
-
-def _newest_rows(spark, feature_path: str, rows: int) -> DataFrame:
-    """Complete feature rows of the newest days that hold at least ``rows`` of them
-    (or of all days): days are folders, so only those needed are read."""
-    from tickwise.operators import samples
-    feats = spark.read.parquet(feature_path)
-    first, last = feats.agg(F.min("day"), F.max("day")).first()
-    back = 1
-    while True:
-        recent = samples.model_input(feats.where(F.col("day") > F.date_sub(F.lit(last), back)))
-        if last is None or back > (last - first).days or recent.limit(rows).count() == rows:
-            return recent
-        back *= 4
-
-
-def predict_each_batch(feature_path: str, prediction_path: str, model_path: str):
-    """A ``foreachBatch`` function. Each micro-batch of closed minutes is
-    written to the feature table (one folder per epoch, overwritten on retry,
-    so a replayed epoch is idempotent; days below it); then the newest 60-row
-    window is rebuilt from the newest days and scored with the saved model."""
-    from tickwise.operators import model, samples
-
-    def run(batch: DataFrame, epoch_id: int) -> None:
-        spark = batch.sparkSession
-        (batch.withColumn("day", F.to_date("Timestamp_Rounded")).write.mode("overwrite")
-         .partitionBy("day").parquet(f"{feature_path}/epoch={epoch_id}"))
-        last = samples.latest_sample(_newest_rows(spark, feature_path, samples.WINDOW))
-        scored = model.score(model.load(model_path), last.withColumn("split", F.lit("live")))
-        scored.withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite") \
-            .parquet(f"{prediction_path}/epoch={epoch_id}")
-    return run

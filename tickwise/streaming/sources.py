@@ -22,6 +22,15 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str,
     return r.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
+def folder_stream(spark: SparkSession, path: str, schema: StructType,
+                  max_files_per_trigger: int | None = None) -> DataFrame:
+    """Parquet files anywhere below a folder, as they arrive."""
+    r = spark.readStream.schema(schema).option("recursiveFileLookup", True)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.parquet(path)
+
+
 def csv_stream(spark: SparkSession, path: str, schema: StructType, header: bool = False,
                max_files_per_trigger: int | None = None) -> DataFrame:
     """CSV files dropped into a folder, fixed schema, malformed rows kept as nulls."""
