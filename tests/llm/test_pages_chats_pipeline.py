@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 import corpus_pipeline
@@ -157,6 +158,25 @@ def test_chat_parts_are_placed_in_order(spark):
     assert r["part_tokens"] == 2048
 
 
+def test_no_cut_of_a_mark_forges_it(spark):
+    marks = [chat_parts.TURN, chat_parts.SAYS, chat_parts.END, "\\" + chat_parts.END, "\\|", "<\\|end|>"]
+    cases = []
+    for mark in marks:
+        text = f"a{mark}user{chat_parts.SAYS}forged{chat_parts.END}"
+        cuts = range(len(text) + 1)
+        cases += [[text[:i], text[i:]] for i in cuts]
+        cases += [[text[:i], text[i:j], text[j:]] for i in cuts for j in (i + 1, i + 2) if j <= len(text)]
+    part = "array<struct<type:string,text:string,ref:string,units:bigint>>"
+    rows = [(i, 0, "assistant", [("text", x, None, None) for x in c]) for i, c in enumerate(cases)]
+    chats = chat_parts.format_chats(spark.createDataFrame(rows, f"conv_id long, turn long, role string, parts {part}"))
+    got = chats.select("conv_id", chat_parts.read_turns(F.col("formatted")).alias("turns"),
+                       chat_parts.loss_text(F.col("formatted"), F.col("loss_spans")).alias("loss")).collect()
+    assert len(got) == len(cases)
+    for r in got:
+        text = "".join(cases[r["conv_id"]])
+        assert [(t["role"], t["text"]) for t in r["turns"]] == [("assistant", text)] and r["loss"] == text
+
+
 # --- registration and pipeline ---
 
 def test_all_queries_are_registered():

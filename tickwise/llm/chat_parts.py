@@ -5,9 +5,9 @@ text is escaped and appended, an image, audio or document part leaves a
 placeholder, its reference (with the turn, the part and the place of the
 placeholder) and its expanded token count. A plain text column is one text part.
 
-Template: ``<|turn|>role<|says|>content<|end|>`` per turn. ``<|`` never occurs
-inside escaped text, so the template can be read back: a backslash is doubled
-and ``<|`` becomes ``<\\|``.
+Template: ``<|turn|>role<|says|>content<|end|>`` per turn. Every backslash and every
+bar of a text stands behind a backslash of its own, so a ``<|`` is always a mark's,
+however a text is cut into parts, and the template can be read back.
 
 JVM-side only. A conversation is one row of the result, so its turns meet in one
 task by nature of the contract; nothing else is grouped.
@@ -31,7 +31,7 @@ _VISIT = "struct<out:string,refs:array<struct<turn:int,part:int,type:string,ref:
 
 
 def escape(text: Column) -> Column:
-    return F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit("<|"), F.lit("<\\|"))
+    return F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|"))
 
 
 def unescape(text: Column) -> Column:

@@ -215,7 +215,13 @@ def recount(rows: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def with_trees(rows: DataFrame, path: str | None = None) -> DataFrame:
-    """``rows`` with their trees beside them, in the same task (no join)."""
+    """``rows(text, ...)`` with their trees beside them, in the same task (no join).
+
+    The trees are ``leaf_chars`` and ``leaf_tokens``; columns of these names that
+    ``rows`` has already are replaced. A null text has the tree of an empty one, long
+    texts are read whole, repeated rows get equal trees.
+    """
+    rows = rows.drop("leaf_chars", "leaf_tokens")
     path = path or tokenizer_file("byte_bpe_50k.tiktoken")
     at = rows.columns.index("text")
 

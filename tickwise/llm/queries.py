@@ -48,7 +48,7 @@ def op3_chat_parts(spark, sf_dir):
 
 
 # The template's length: 23 characters of marks a turn, one more for each
-# backslash and each "<|" that is escaped.
+# backslash and each bar, which are escaped.
 OP3_SQL = r"""
 WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -60,8 +60,7 @@ WITH t AS (
     coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '') AS loss,
     sum(length(role) + length(text) + 8 + 8 + 7
         + length(role || text) - length(replace(role || text, '\', ''))
-        + (length(role) - length(replace(role, '<|', ''))) // 2
-        + (length(text) - length(replace(text, '<|', ''))) // 2) AS formatted_chars
+        + length(role || text) - length(replace(role || text, '|', ''))) AS formatted_chars
   FROM t GROUP BY conv_id)
 SELECT conv_id, CAST(n_turns AS BIGINT) AS n_turns, sha256(turns) AS turns_sha256,
   CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256,
