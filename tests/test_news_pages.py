@@ -160,3 +160,55 @@ def test_articles_do_not_depend_on_file_layout(spark, tmp_dir):
         seen.add(tuple(sorted(map(tuple, got))))
         assert [(r.page_id, r.content) for r in got if r.web_url == "http://x/hot"] == [(0, "body 0")]
     assert len(seen) == 1
+
+
+def _elements_plain(html, tags, cls=None):
+    """Outermost elements by a plain walk over the tags."""
+    import re
+    out, depth, start = [], 0, 0
+    for m in re.finditer(r"(?is)<(/?)(%s)(?=[\s/>])[^>]*>" % "|".join(tags), html):
+        if not m.group(1):
+            if depth == 0 and cls is not None and f'class="{cls}"' not in m.group():
+                continue
+            if depth == 0:
+                start = m.end()
+            depth += 1
+        elif depth:
+            depth -= 1
+            if depth == 0:
+                out.append(html[start:m.start()])
+    return out + ([html[start:]] if depth else [])
+
+
+def test_elements_carry_their_depth(spark):
+    import random
+    rng = random.Random(8)
+    parts = ["<div>", '<div class="x">', "</div>", "<p>", "</p>", "text", "<divide>", "<DIV\n>", "</Div >", "<td>", ""]
+    pages = ["".join(rng.choice(parts) for _ in range(rng.randrange(30))) for _ in range(200)] + ["", "no tags"]
+    df = spark.createDataFrame([(i, h) for i, h in enumerate(pages)] + [(-1, None)], "i int, h string")
+    got = {r.i: r for r in df.select(
+        "i", F.transform(P.elements(F.col("h"), ["div"]), lambda e: e["body"]).alias("any"),
+        F.transform(P.elements(F.col("h"), ["div", "p"], P.class_re("x")), lambda e: e["body"]).alias("x")).collect()}
+    for i, h in enumerate(pages):
+        assert got[i]["any"] == _elements_plain(h, ["div"])
+        assert got[i].x == _elements_plain(h, ["div", "p"], "x")
+    assert got[-1]["any"] is None
+
+
+def test_nested_tables_and_cards(spark):
+    nested = ("<!-- <table><tr><td>no</td></tr></table> --><table><tr><th>a</th></tr>"
+              "<tr><td>x<table><tr><td>in</td><td>ner</td></tr></table>y</td><td>2</td></tr>"
+              "<tr></tr></table><table><tr><td>second</td></tr></table>")
+    card = ('<div class="pinned-repo-item-content"><div><a href=/o/r><span class="repo js-repo">r</span></a></div>'
+            "<p>about <b>it</b></p></div><p>outside</p>")
+    pages = spark.createDataFrame([(1, "https://h/x", nested), (2, "https://h/x", card), (3, None, None), (4, "u", "")],
+                                  "page_id long, url string, html string")
+    assert [(r.row_no, r.cells) for r in P.first_table(pages).orderBy("row_no").collect()] == \
+        [(0, ["a"]), (1, ["xinnery", "2"])]
+    assert [tuple(r) for r in P.repo_cards(pages).collect()] == [(2, 0, "r", "https://h/o/r", "about ")]
+
+
+def test_hrefs_without_quotes(spark):
+    pages = spark.createDataFrame([(1, "https://h/", "<a href=foo>t</a><a class=x href=/b?c=1&amp;d=2>u</a><a href=''>v</a>")],
+                                  "page_id long, url string, html string")
+    assert [r.href for r in P.anchors(pages).orderBy("pos").collect()] == ["foo", "/b?c=1&d=2", ""]

@@ -2,13 +2,15 @@
 
 Extraction is written as regex projections that run inside the JVM
 (``regexp_extract_all`` + ``arrays_zip`` + ``posexplode``), one page per row,
-no shuffle and no per-row Python. The patterns cover the markup the crawler
-saw (flat anchors, classed elements, one article body, simple tables); they
-are not a general HTML parser (see README).
+no shuffle and no per-row Python. Elements that nest (tables, rows, cells, cards)
+are found by :func:`elements`, a scan over tag tokens that carries the depth; it is
+not a general HTML parser (see README).
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,11 +18,10 @@ from tickwise.functions import text as tx
 
 # Markup the extractors look for.
 ANCHOR_RE = r"(?is)<a(\s[^>]*)?>(.*?)</a>"
-HREF_RE = r"""(?is)\shref\s*=\s*(?:"([^"]*)"|'([^']*)')"""
+HREF_RE = r"""(?is)\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 TITLE_RE = r"(?is)<title[^>]*>(.*?)</title>"
-TABLE_RE = r"(?s)<table(?:\s[^>]*)?>(.*?)</table>"
-ROW_RE = r"(?s)<tr(?:\s[^>]*)?>(.*?)</tr>"
-CELL_RE = r"(?s)<t[dh](?:\s[^>]*)?>(.*?)</t[dh]>"
+# Markup whose content is no markup: comments, scripts, styles.
+RAW_RE = r"(?is)<!--.*?-->|<script(?=[\s>]).*?</script\s*>|<style(?=[\s>]).*?</style\s*>"
 
 
 def attribute_re(name: str, value: str) -> str:
@@ -46,10 +47,56 @@ def _first_text(inner: Column) -> Column:
     return F.regexp_extract(inner, r"^([^<]*)", 1)
 
 
+_ELEMENTS = "struct<depth:int,head:string,body:string,found:array<struct<head:string,body:string>>>"
+
+
+def elements(html: Column, tags: Sequence[str], attribute: str | None = None) -> Column:
+    """The outermost elements of some tags, as an array of ``(head, body)``: the start
+    tag and the markup inside, up to the element's own end tag.
+
+    ``attribute`` is a pattern that the start tag must contain. The text is cut at
+    the start and end tags of these names only, and one pass over the tokens carries
+    how many are open, so elements of the same name inside one do not end it. An
+    element without an end tag reaches to the end of the text; an end tag too many
+    is passed over. Null gives null.
+    """
+    name = "|".join(_escape(t) for t in tags)
+    token = rf"""(?is)</?(?:{name})(?=[\s/>])(?:[^'">]++|"[^"]*+"|'[^']*+')*+>"""
+    start = F.expr(f"CAST(named_struct('depth', 0, 'head', '', 'body', '', 'found', array()) AS {_ELEMENTS})")
+
+    def state(depth, head, body, found):
+        return F.struct(depth.cast("int").alias("depth"), head.alias("head"), body.alias("body"),
+                        found.alias("found")).cast(_ELEMENTS)
+
+    def with_one(acc):
+        one = F.struct(acc["head"].alias("head"), acc["body"].alias("body"))
+        return F.concat(acc["found"], F.array(one))
+
+    def step(acc, x):
+        tag, text = x["tag"], x["after"]
+        ends = tag.startswith("</")
+        starts = ~ends if attribute is None else ~ends & tag.rlike(attribute)
+        inside = F.concat(acc["body"], tag, text)
+        return (F.when((acc["depth"] == 0) & starts, state(F.lit(1), tag, text, acc["found"]))
+                .when(acc["depth"] == 0, acc)
+                .when(ends & (acc["depth"] == 1), state(F.lit(0), F.lit(""), F.lit(""), with_one(acc)))
+                .otherwise(state(acc["depth"] + F.when(ends, -1).otherwise(1), acc["head"], inside, acc["found"])))
+
+    def scan(h):
+        tags_after = F.zip_with(F.regexp_extract_all(h, F.lit(token), 0),
+                                F.slice(F.split(h, token, -1), F.lit(2), F.length(h) + 1),
+                                lambda t, a: F.struct(t.alias("tag"), a.alias("after")))
+        return F.aggregate(tags_after, start, step,
+                           lambda acc: F.when(acc["depth"] > 0, with_one(acc)).otherwise(acc["found"]))
+
+    # the text as a lambda variable, so that what it comes from is worked out once
+    return F.get(F.transform(F.array(html), scan), 0)
+
+
 def anchors(pages: DataFrame, cls: str | None = None) -> DataFrame:
     """``(page_id, url, pos, text, href)`` for every anchor, optionally
     only those whose class equals ``cls``; ``pos`` is document order. Tags in
-    either case, over several lines, attributes in either kind of quotes;
+    either case, over several lines, attributes in either kind of quotes or none;
     character references are decoded (an anchor without href has an empty one)."""
     attrs = F.regexp_extract_all("html", F.lit(ANCHOR_RE), 1)
     inner = F.regexp_extract_all("html", F.lit(ANCHOR_RE), 2)
@@ -59,7 +106,7 @@ def anchors(pages: DataFrame, cls: str | None = None) -> DataFrame:
                  F.col("col.attrs").alias("attrs"), F.col("col.inner").alias("inner"))
     if cls is not None:
         a = a.where(F.col("attrs").rlike(class_re(cls)))
-    href = F.concat(*[F.regexp_extract("attrs", HREF_RE, g) for g in (1, 2)])
+    href = F.concat(*[F.regexp_extract("attrs", HREF_RE, g) for g in (1, 2, 3)])
     return a.select("page_id", "url", "pos",
                     tx.decode_references(_first_text(F.col("inner"))).alias("text"),
                     tx.decode_references(href).alias("href"))
@@ -106,30 +153,34 @@ def page_title(html: Column) -> Column:
 
 def first_table(pages: DataFrame) -> DataFrame:
     """Rows of the first ``<table>`` of each page as
-    ``(page_id, row_no, cells array<string>)``; header cells included."""
-    t = pages.select("page_id", F.regexp_extract("html", TABLE_RE, 1).alias("t")).where(F.col("t") != "")
-    rows = t.select("page_id", F.posexplode(F.regexp_extract_all("t", F.lit(ROW_RE), 1)).alias("row_no", "tr"))
-    cells = F.transform(F.regexp_extract_all("tr", F.lit(CELL_RE), 1),
-                        lambda c: F.regexp_replace(tx.strip_tags(c), tx.EDGE_WS, ""))
-    return rows.select("page_id", "row_no", cells.alias("cells")).where(F.size("cells") > 0)
+    ``(page_id, row_no, cells array<string>)``; header cells included. A table
+    inside a cell is part of that cell's text."""
+    table = F.get(elements(F.regexp_replace("html", RAW_RE, ""), ["table"]), 0)["body"]
+    rows = F.transform(elements(table, ["tr"]), lambda r: F.transform(
+        elements(r["body"], ["td", "th"]),
+        lambda c: F.regexp_replace(tx.strip_tags(c["body"]), tx.EDGE_WS, "")))
+    return (pages.select("page_id", F.posexplode(rows).alias("row_no", "cells"))
+            .where(F.size("cells") > 0))
 
 
 def repo_cards(pages: DataFrame, card_cls: str = "pinned-repo-item-content",
                name_cls: str = "repo js-repo") -> DataFrame:
     """One row per repository card: ``(page_id, card_no, name, url, description)``.
 
-    A card is the ``<div class=card_cls>`` block; ``name`` is the text of its
-    ``<span class=name_cls>``, ``url`` the enclosing anchor's href resolved
+    A card is the ``<div class=card_cls>`` block up to its own end tag; ``name`` is the
+    text of its ``<span class=name_cls>``, ``url`` the enclosing anchor's href resolved
     against the page url (F11), ``description`` its first ``<p>``'s text.
     """
-    card_re = r"(?s)<div\s[^>]*" + class_re(card_cls) + r"[^>]*>(.*?)</div>"
-    c = pages.select("page_id", "url", F.posexplode(
-        F.regexp_extract_all("html", F.lit(card_re), 1)).alias("card_no", "card"))
-    span = r"(?s)<a\s[^>]*href\s*=\s*[\"']([^\"']*)[\"'][^>]*>\s*<span\s[^>]*" + class_re(name_cls) + r"[^>]*>([^<]*)"
+    found = elements(F.regexp_replace("html", RAW_RE, ""), ["div"], class_re(card_cls))
+    c = pages.select("page_id", "url", F.posexplode(found).alias("card_no", "card"))
+    c = c.withColumn("card", F.col("card")["body"])
+    span = (r"""(?s)<a\s[^>]*href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))[^>]*>\s*<span\s[^>]*"""
+            + class_re(name_cls) + r"[^>]*>([^<]*)")
+    href = F.concat(*[F.regexp_extract("card", span, g) for g in (1, 2, 3)])
     return c.select("page_id", "card_no",
-                    F.regexp_extract("card", span, 2).alias("name"),
-                    tx.absolute_url(F.col("url"), F.regexp_extract("card", span, 1)).alias("repo_url"),
-                    F.regexp_extract("card", r"(?s)<p[^>]*>([^<]*)", 1).alias("description"))
+                    F.regexp_extract("card", span, 4).alias("name"),
+                    tx.absolute_url(F.col("url"), href).alias("repo_url"),
+                    F.regexp_extract("card", r"(?s)<p(?:\s[^>]*)?>([^<]*)", 1).alias("description"))
 
 
 def repo_counts(pages: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tickwise.operators import news
 from tickwise.plans.common import finish, sql_list
 from tickwise.session import scratch_path
-from tickwise.sources import files, tables
+from tickwise.sources import files, incremental, tables
 
 CSV_SPLIT = "1995-06-17"                # orders of either side go to a folder of their own
 NO_VOLUME = "P"                         # orders of this status have '-' cells
@@ -61,8 +61,37 @@ def q_archive_articles(spark, sf_dir):
     return news.flatten_archive(files.read_archive(spark, path, multi_line=False), SECTIONS)
 
 
-QUERIES = {"csv_history": q_csv_history, "archive_articles": q_archive_articles}
+def _daily_totals(rows):
+    return rows.groupBy("day", "event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
+
+
+def q_incremental_daily(spark, sf_dir):
+    """S8 + K4: daily totals of the events, built from a folder of weekly files; then
+    the first week's file changes and only its days are built again."""
+    ev = tables.table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
+    base = scratch_path(spark, f"incremental-{uuid.uuid4().hex}")
+    week = F.date_trunc("week", "ts").cast("date")
+    ev.withColumn("week", week).repartition("week").write.partitionBy("week").parquet(f"{base}/in")
+
+    def read(s, paths):
+        return s.read.schema(ev.schema).parquet(*paths).withColumn("day", F.to_date("ts"))
+
+    incremental.rebuild(spark, f"{base}/in", f"{base}/out", read, _daily_totals)
+    first = ev.agg(F.min(week)).first()[0]
+    if first is not None:
+        (ev.where(week == F.lit(first)).withColumn("value", F.col("value") * 2)
+         .coalesce(1).write.mode("overwrite").parquet(f"{base}/in/week={first}"))
+    incremental.rebuild(spark, f"{base}/in", f"{base}/out", read, _daily_totals)
+    return finish(spark.read.parquet(f"{base}/out"))
+
+
+QUERIES = {"incremental_daily": q_incremental_daily,
+           "csv_history": q_csv_history, "archive_articles": q_archive_articles}
 ORACLE = {
+    "incremental_daily": """SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n,
+  round(sum(CASE WHEN date_trunc('week', ts) = (SELECT min(date_trunc('week', ts)) FROM events)
+            THEN value * 2 ELSE value END), 6) AS total
+FROM events GROUP BY 1, 2""",
     "csv_history": f"""SELECT CAST(o_orderdate AS DATE) AS date, round(CAST(o_totalprice AS DOUBLE), 6) AS open,
   round(CAST(o_totalprice AS DOUBLE), 6) AS high, round(CAST(o_totalprice AS DOUBLE), 6) AS low,
   round(CAST(o_totalprice AS DOUBLE), 6) AS close,

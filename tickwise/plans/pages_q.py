@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tickwise.functions import text as tx
 from tickwise.operators import pages as P
 from tickwise.operators import stats
+from tickwise.session import written
 from tickwise.sources import tables
 
 LINK_TEXT = "the"        # E2 parameter for the registered query
@@ -48,7 +49,68 @@ def q_page_articles(spark, sf_dir):
     return j.select("page_id", "web_url", "headline", "content")
 
 
+def _cell(c, tag="td"):
+    return F.concat(F.lit(f"<{tag}>"), c.cast("string"), F.lit(f"</{tag}>"))
+
+
+def order_pages(lineitem):
+    """An order as a page: a table of its lines, with a table inside the last cell."""
+    inner = F.concat(F.lit('<table class="x"><tr><td>shipped</td><td>'),
+                     F.date_format("l_shipdate", "yyyy-MM-dd"), F.lit("</td></tr></table>"))
+    row = F.concat(F.lit("<TR class='line'>"), _cell(F.col("l_linenumber")), _cell(F.col("l_partkey")),
+                   F.lit("<td\n align=right> "), F.col("l_quantity").cast("int").cast("string"), F.lit(" </td>"),
+                   _cell(inner), F.lit("</TR>"))
+    head = "<tr><th>line</th><th>part</th><th>quantity</th><th>more</th></tr>"
+    lines = F.array_join(F.transform(F.sort_array(F.collect_list(
+        F.struct("l_linenumber", "l_partkey", "l_quantity", "l_shipdate", row.alias("row")))), lambda x: x["row"]), "")
+    return lineitem.groupBy(F.col("l_orderkey").alias("page_id")).agg(F.concat(
+        F.lit(f"<html><!-- <table><tr><td>no</td></tr></table> --><body><table border=1>{head}"), lines,
+        F.lit("</table><table><tr><td>second</td></tr></table></body></html>")).alias("html"))
+
+
+def q_order_tables(spark, sf_dir):
+    """Orders rendered as pages with nested tables, written and read back."""
+    html = written(order_pages(tables.table(spark, sf_dir, "lineitem")), "order-pages")
+    return P.first_table(html)
+
+
+def repo_pages(part):
+    """A part as a repository page: two cards with nested blocks, counters, a symbol."""
+    key = F.col("p_partkey").cast("string")
+    count = F.format_number(F.col("p_partkey") * 7, 0)
+
+    def card(no, name, text):
+        return F.concat(
+            F.lit('<div class="pinned-repo-item-content"><div class="d-flex"><div>'),
+            F.lit("<a class=text-bold href=/"), F.col("p_brand"), F.lit("/"), key, F.lit(f"-{no}>\n<span class='repo js-repo'>"),
+            name, F.lit("</span></a></div></div><p class=note>"), text, F.lit("</p></div>"))
+
+    scope = F.when(F.col("p_partkey") % 2 == 0, "This repository").otherwise("This organization")
+    html = F.concat(
+        F.lit('<a class="header-search-scope no-underline">'), scope, F.lit("</a>"),
+        F.lit('<small class="bold hidden-xs">('), F.col("p_brand"), F.lit(")</small>"),
+        card(0, F.col("p_name"), F.col("p_type")), card(1, F.lit("second"), F.lit("other")),
+        F.lit('<a class="social-count js-social-count"> '), count, F.lit(" </a><a href=/x/network>"), key,
+        F.lit("</a><a href='/x/watchers'> n/a </a><span class=\"lang\">"), F.col("p_type"),
+        F.lit("</span><a href=https://code.example/"), key, F.lit(">Source Code</a>"))
+    return part.select(F.col("p_partkey").cast("long").alias("page_id"),
+                       F.concat(F.lit("https://hub.example/coin-"), key, F.lit("/?tab=1")).alias("url"), html.alias("html"))
+
+
+def q_repo_records(spark, sf_dir):
+    """E4 + E6 + E8 + F8 + F9: cards, counters and coin records of rendered pages."""
+    p = written(repo_pages(tables.table(spark, sf_dir, "part")), "repo-pages")
+    first = P.repo_cards(p).where("card_no = 0").select("page_id", "name", "description")
+    cards = P.repo_cards(p).groupBy("page_id").agg(F.count(F.lit(1)).alias("cards"))
+    out = P.repo_counts(p)
+    for other in (first, cards, P.repo_of_page(p), P.coin_records(p).drop("url")):
+        out = out.join(other, "page_id")
+    return out
+
+
 QUERIES = {
+    "order_tables": q_order_tables,
+    "repo_records": q_repo_records,
     "page_links": q_page_links,
     "page_first_link": q_page_first_link,
     "page_ad_text": q_page_ad_text,
@@ -87,6 +149,19 @@ def abs_url_sql(b: str, h: str) -> str:
 
 
 ORACLE = {
+    "order_tables": """SELECT l_orderkey AS page_id,
+  CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_quantity, l_shipdate) AS INTEGER) AS row_no,
+  [CAST(l_linenumber AS VARCHAR), CAST(l_partkey AS VARCHAR), CAST(CAST(l_quantity AS INTEGER) AS VARCHAR),
+   'shipped' || strftime(l_shipdate, '%Y-%m-%d')] AS cells FROM lineitem
+UNION ALL
+SELECT DISTINCT l_orderkey, 0, ['line', 'part', 'quantity', 'more'] FROM lineitem""",
+    "repo_records": """SELECT CAST(p_partkey AS BIGINT) AS page_id, p_type AS language,
+  CAST(p_partkey * 7 AS BIGINT) AS stars, CAST(p_partkey AS BIGINT) AS forks, CAST(NULL AS BIGINT) AS watch,
+  p_name AS name, p_type AS description, CAST(2 AS BIGINT) AS cards, p_partkey % 2 = 0 AS is_repo,
+  CASE WHEN p_partkey % 2 = 0 THEN 'https://hub.example/coin-' || p_partkey || '/?tab=1'
+       ELSE 'https://hub.example/' || p_brand || '/' || p_partkey || '-0' END AS repo_url,
+  'coin-' || p_partkey AS coin, p_brand AS symbol, 'https://code.example/' || p_partkey AS github_url
+FROM part""",
     "page_links": f"""WITH {_ANCHORS}
 SELECT page_id, pos, text, href, {abs_url_sql('url', 'href')} AS abs_url, ends_with(href, 'e') AS ends_e
 FROM links""",
