@@ -212,3 +212,44 @@ def test_hrefs_without_quotes(spark):
     pages = spark.createDataFrame([(1, "https://h/", "<a href=foo>t</a><a class=x href=/b?c=1&amp;d=2>u</a><a href=''>v</a>")],
                                   "page_id long, url string, html string")
     assert [r.href for r in P.anchors(pages).orderBy("pos").collect()] == ["foo", "/b?c=1&d=2", ""]
+
+
+def _context_plain(text, lexicon, modifiers):
+    import re
+    ws = [w for w in (re.sub(r"^[^\w]+|[^\w]+$", "", t) for t in text.split()) if w]
+    total = 0.0
+    for i, w in enumerate(ws):
+        if w in lexicon:
+            near = [ws[i - d] if i >= d else None for d in (1, 2, 3)]
+            v = lexicon[w]
+            more = sum(modifiers.get(n, (0.0, False))[0] * x for n, x in zip(near, news.REACH_DAMPING))
+            v += (1 if v > 0 else -1) * more
+            if any(modifiers.get(n, (0.0, False))[1] for n in near):
+                v *= news.NEGATION
+            total += v
+    return total
+
+
+def test_negations_and_boosters(spark):
+    import random
+    rng = random.Random(6)
+    words = ["good", "bad", "not", "very", "slightly", "never", "day,", "great!", "--", "loss"]
+    texts = ["not good", "good", "very good", "bad", "not bad", "not a b c good", "not a b good", "very not good",
+             "", "very", "good not", *[" ".join(rng.choice(words) for _ in range(rng.randrange(25))) for _ in range(60)]]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(-1, None), (3, "good"), (None, "not good")]
+    docs = spark.createDataFrame(rows, "id int, t string").repartition(3)
+    lex, mods = news.DEMO_LEXICON, news.DEMO_MODIFIERS
+    table = spark.createDataFrame([(w, float(v)) for w, v in lex.items()], "word string, valence double")
+    by_map = news.with_sentiment(docs, "t", lex, modifiers=mods).collect()
+    by_join = news.with_sentiment(docs, "t", table, modifiers=mods).collect()
+    key = lambda r: (str(r.id), str(r.t), r.SENTIMENT_VALUE, r.SENTIMENT)     # noqa: E731
+    assert sorted(map(key, by_map)) == sorted(map(key, by_join))
+    for r in by_map:
+        if r.t is None:
+            assert r.SENTIMENT_VALUE is None and r.SENTIMENT is None
+            continue
+        s = _context_plain(r.t, lex, mods)
+        assert r.SENTIMENT_VALUE == round(round(s / (s * s + 15) ** 0.5, 4), 1)
+    got = {r.t: r.SENTIMENT_VALUE for r in by_map}
+    assert got["not good"] < 0 < got["good"] <= got["very good"] and got["not a b c good"] == got["good"]
+    assert news.with_sentiment(docs.where("false"), "t", table, modifiers=mods).count() == 0

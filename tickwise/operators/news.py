@@ -7,7 +7,7 @@ lexicon and pre-aggregates per document before its one shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +33,20 @@ DEMO_LEXICON = {
     "ononst": -0.9, "orantion": 1.1, "thon": 0.3, "thre": -0.4, "erin": 0.7,
 }
 
+# Fixed values of the published rule for words near a scored word: how a booster
+# counts one, two and three words back, and what a negation there makes of a score.
+REACH_DAMPING = (1.0, 0.95, 0.9)
+NEGATION = -0.74
+
+# Invented demonstration modifiers: word -> (what it adds in the direction of the
+# score, whether it negates); the last three are frequent words of the test corpus.
+DEMO_MODIFIERS = {
+    "very": (0.293, False), "extremely": (0.293, False), "slightly": (-0.293, False),
+    "barely": (-0.293, False), "not": (0.0, True), "no": (0.0, True), "never": (0.0, True),
+    "without": (0.0, True), "with": (0.293, False), "for": (-0.293, False), "is": (0.0, True),
+}
+Modifiers = Mapping[str, tuple[float, bool]]
+
 
 def clean_content(df: DataFrame, content: str = "content",
                   stop_words: Sequence[str] = tx.ENGLISH_STOP_WORDS) -> DataFrame:
@@ -67,13 +81,51 @@ def _lexicon_tokens(text: Column) -> Column:
     return tx.tokens(F.regexp_replace(tx.normalize_ws(text), tx.TOKEN_EDGE_PUNCT, ""))
 
 
-def valence_sum_map(text: Column, lexicon: Mapping[str, float]) -> Column:
-    """Sum of token valences with the lexicon as a literal map (small lexicons)."""
-    if not lexicon:
+def _lookup(word: Column, table: Mapping[str, float]) -> Column:
+    """A word's number, 0 for other words. The list is tested first (a hash set), so
+    the map is searched only for words that it has."""
+    if not table:
         return F.lit(0.0)
-    m = F.create_map(*[e for w, v in sorted(lexicon.items()) for e in (F.lit(w), F.lit(float(v)))])
-    return F.aggregate(_lexicon_tokens(text), F.lit(0.0),
-                       lambda acc, w: acc + F.coalesce(F.try_element_at(m, w), F.lit(0.0)))
+    m = F.create_map(*[e for w, v in sorted(table.items()) for e in (F.lit(w), F.lit(float(v)))])
+    return F.when(word.isin(*sorted(table)), F.try_element_at(m, word)).otherwise(F.lit(0.0))
+
+
+def valence_sum_map(text: Column, lexicon: Mapping[str, float],
+                    modifiers: Modifiers | None = None,
+                    finish: Callable[[Column], Column] | None = None) -> Column:
+    """Sum of token valences with the lexicon as a literal map (small lexicons);
+    ``finish`` is applied to the sum where it is a variable, so tokens are read once.
+
+    ``modifiers`` (optional) change a valence by the up to three words before it:
+    boosters add to it in its own direction, damped by distance, and a negation turns
+    and damps what results.
+    """
+    if not lexicon:
+        s = F.when(text.isNotNull(), F.lit(0.0))
+        return finish(s) if finish else s
+    boosts = {w: b for w, (b, _) in (modifiers or {}).items() if b}
+    negations = sorted(w for w, (_, n) in (modifiers or {}).items() if n)
+
+    def changed(value, words, i):
+        near = [F.get(words, i - d - 1) for d in range(len(REACH_DAMPING))]
+        more = F.lit(0.0)
+        for w, damp in zip(near, REACH_DAMPING):
+            more = more + _lookup(w, boosts) * damp
+        negated = F.lit(False)
+        if negations:
+            for w in near:
+                negated = negated | F.coalesce(w.isin(*negations), F.lit(False))
+        return (value + F.signum(value) * more) * F.when(negated, NEGATION).otherwise(1.0)
+
+    def total(words):
+        if not modifiers:
+            return F.aggregate(words, F.lit(0.0), lambda acc, w: acc + _lookup(w, lexicon), finish)
+        values = F.transform(words, lambda w, i: F.when(
+            w.isin(*sorted(lexicon)), changed(_lookup(w, lexicon), words, i)).otherwise(F.lit(0.0)))
+        return F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v, finish)
+
+    words = _lexicon_tokens(text)
+    return F.get(F.transform(F.array(words), total), 0) if modifiers else total(words)
 
 
 def compound(s: Column, alpha: float = COMPOUND_ALPHA) -> Column:
@@ -83,7 +135,7 @@ def compound(s: Column, alpha: float = COMPOUND_ALPHA) -> Column:
 
 def with_sentiment(df: DataFrame, text: str = "content_no_stopwords",
                    lexicon: Mapping[str, float] | DataFrame | None = None,
-                   key: str = "id") -> DataFrame:
+                   key: str = "id", modifiers: Modifiers | None = None) -> DataFrame:
     """E7 + F22 + F23: ``SENTIMENT_VALUE`` (1 place, Python rounding) and
     ``SENTIMENT`` (five classes) for every row.
 
@@ -91,12 +143,15 @@ def with_sentiment(df: DataFrame, text: str = "content_no_stopwords",
     valence)`` DataFrame of any size (joined to the tokens). A word that a
     DataFrame lists more than once has its largest valence; rows that share a
     key are scored by their own text. Both forms give the same scores.
+
+    ``modifiers`` adds the rule for negations and boosters, word -> (boost, negates);
+    give it a text that keeps its stop words, since most negations are among them.
     """
     lexicon = DEMO_LEXICON if lexicon is None else lexicon
     if isinstance(lexicon, DataFrame):
-        return _with_sentiment_join(df, text, lexicon, key)
-    s = valence_sum_map(F.col(text), lexicon)
-    return _classify(df.withColumn("_compound", compound(s)))
+        return _with_sentiment_join(df, text, lexicon, key, modifiers)
+    return _classify(df.withColumn("_compound", valence_sum_map(
+        F.col(text), lexicon, modifiers, lambda s: compound(s))))
 
 
 def _classify(df: DataFrame) -> DataFrame:
@@ -106,13 +161,33 @@ def _classify(df: DataFrame) -> DataFrame:
             .drop("_compound"))
 
 
-def _with_sentiment_join(df: DataFrame, text: str, lexicon: DataFrame, key: str) -> DataFrame:
+def _with_sentiment_join(df: DataFrame, text: str, lexicon: DataFrame, key: str,
+                         modifiers: Modifiers | None) -> DataFrame:
     """Tokens joined to the lexicon, a partial sum per (key, text), joined back.
-    Spark broadcasts the lexicon where its size allows."""
+    Spark broadcasts the lexicon where its size allows. With modifiers each scored
+    word brings the words before it, which are joined to the table of modifiers."""
     lex = lexicon.groupBy("word").agg(F.max(F.col("valence").cast("double")).alias("valence"))
-    toks = (df.select(F.col(key).alias("_k"), F.col(text).alias("_t")).distinct()
-            .select("_k", "_t", F.explode(_lexicon_tokens(F.col("_t"))).alias("word")))
-    sums = toks.join(lex, "word").groupBy("_k", "_t").agg(F.sum("valence").alias("_s"))
+    words = df.select(F.col(key).alias("_k"), F.col(text).alias("_t")).distinct()
+    if not modifiers:
+        toks = words.select("_k", "_t", F.explode(_lexicon_tokens(F.col("_t"))).alias("word"))
+        hits = toks.join(lex, "word")
+    else:
+        reach = len(REACH_DAMPING)
+        toks = (words.withColumn("_w", _lexicon_tokens(F.col("_t")))
+                .select("_k", "_t", "_w", F.posexplode("_w").alias("_i", "word")))
+        near = F.transform(F.sequence(F.lit(1), F.lit(reach)), lambda d: F.get("_w", F.col("_i") - d))
+        hits = toks.select("_k", "_t", "_i", "word", near.alias("_near")).join(lex, "word")
+        mods = df.sparkSession.createDataFrame(
+            [(w, float(b), bool(n)) for w, (b, n) in sorted(modifiers.items())],
+            "_m string, _boost double, _negates boolean")
+        damp = F.element_at(F.array(*[F.lit(x) for x in REACH_DAMPING]), F.col("_d") + 1)
+        each = hits.select("*", F.posexplode("_near").alias("_d", "_m")).join(mods, "_m", "left")
+        each = each.groupBy("_k", "_t", "_i", "valence").agg(
+            F.coalesce(F.sum(F.col("_boost") * damp), F.lit(0.0)).alias("_more"),
+            F.coalesce(F.max("_negates"), F.lit(False)).alias("_neg"))
+        hits = each.withColumn("valence", (F.col("valence") + F.signum("valence") * F.col("_more"))
+                               * F.when(F.col("_neg"), NEGATION).otherwise(1.0))
+    sums = hits.groupBy("_k", "_t").agg(F.sum("valence").alias("_s"))
     out = df.join(sums, F.col(key).eqNullSafe(F.col("_k")) & (F.col(text) == F.col("_t")),
                   "left").drop("_k", "_t")
     s = F.when(F.col(text).isNotNull(), F.coalesce(F.col("_s"), F.lit(0.0)))

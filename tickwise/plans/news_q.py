@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
 
 from tickwise.functions import numeric as num
 from tickwise.functions import text as tx
@@ -43,9 +44,20 @@ def q_news_sections(spark, sf_dir):
 
 
 def q_news_distribution(spark, sf_dir):
-    """Non-null count of the other columns per section."""
-    s = _scored(spark, sf_dir).select("section_name", "id", "lang", "SENTIMENT", "score")
-    return stats.count_per_group(s, "section_name")
+    """Non-null count of the other columns per section (a text has a sentiment and
+    a score unless it is null, so none is worked out here)."""
+    a = tables.articles(spark, sf_dir)
+    s = a.select("section_name", "id", "lang", a.content.isNotNull().alias("_has"))
+    has = F.when(F.col("_has"), F.lit(1))
+    return stats.count_per_group(
+        s.select("section_name", "id", "lang", has.alias("SENTIMENT"), has.alias("score")), "section_name")
+
+
+def q_news_sentiment_context(spark, sf_dir):
+    """E7 with negations and boosters, on text that keeps its stop words."""
+    a = tables.articles(spark, sf_dir).withColumn("low", tx.lower("content"))
+    s = news.with_sentiment(a, "low", modifiers=news.DEMO_MODIFIERS)
+    return finish(s.select("id", "SENTIMENT_VALUE", "SENTIMENT"))
 
 
 def q_sentiment_shares(spark, sf_dir):
@@ -71,6 +83,7 @@ QUERIES = {
     "news_clean": q_news_clean,
     "news_sentiment": q_news_sentiment,
     "news_scored": q_news_scored,
+    "news_sentiment_context": q_news_sentiment_context,
     "news_sections": q_news_sections,
     "news_distribution": q_news_distribution,
     "sentiment_shares": q_sentiment_shares,
@@ -132,6 +145,32 @@ scored AS (
   FROM sv)"""
 
 
+_CLASS_SQL = """CASE WHEN v IS NULL THEN NULL WHEN v <= 1 AND v >= 0.5 THEN 'Very Positive'
+  WHEN v < 0.5 AND v > 0 THEN 'Positive' WHEN v = 0 THEN 'Neutral' WHEN v < 0 AND v >= -0.5 THEN 'Negative'
+  ELSE 'Very Negative' END"""
+_MOD_VALUES = ", ".join(f"({_lit(w)}, {b!r}::DOUBLE, {str(n).lower()})"
+                        for w, (b, n) in sorted(news.DEMO_MODIFIERS.items()))
+_NEAR = "".join(f" LEFT JOIN mods m{d} ON m{d}.word = CASE WHEN i > {d} THEN ws[i - {d}] END" for d in (1, 2, 3))
+_MORE = " + ".join(f"coalesce(m{d}.boost, 0) * {x!r}" for d, x in zip((1, 2, 3), news.REACH_DAMPING))
+CONTEXT = f"""WITH t AS (
+  SELECT doc_id AS id, text, list_filter(list_transform({tokens_sql('lower(text)')},
+    lambda w: regexp_replace(w, {_lit(tx.EDGE_PUNCT)}, '', 'g')), lambda w: w <> '') AS ws FROM documents),
+u AS (SELECT id, ws, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM t),
+lex AS (SELECT * FROM (VALUES {LEX_VALUES}) l(word, valence)),
+mods AS (SELECT * FROM (VALUES {_MOD_VALUES}) m(word, boost, negates)),
+h AS (
+  SELECT id, (valence + sign(valence) * ({_MORE}))
+    * CASE WHEN coalesce(m1.negates, false) OR coalesce(m2.negates, false) OR coalesce(m3.negates, false)
+           THEN {news.NEGATION!r} ELSE 1.0 END AS x
+  FROM u JOIN lex USING (word){_NEAR}),
+s AS (SELECT id, sum(x) AS s FROM h GROUP BY id),
+c AS (SELECT t.id, CASE WHEN text IS NOT NULL THEN
+    round(coalesce(s, 0) / sqrt(coalesce(s, 0) * coalesce(s, 0) + {news.COMPOUND_ALPHA!r}), 4) END AS c4
+  FROM t LEFT JOIN s USING (id)),
+v AS (SELECT id, (CASE printf('%.4f', c4) {HALVES} ELSE round(c4, 1) END) + 0.0 AS v FROM c)
+SELECT id, round(v, 6) AS SENTIMENT_VALUE, {_CLASS_SQL} AS SENTIMENT FROM v"""
+
+
 def section_sql(x: str) -> str:
     whens = " ".join(f"WHEN coalesce(regexp_matches({x}, {_lit('^(?:' + s + ')')}), false) THEN {_lit(s)}"
                      for s in DOC_SECTIONS)
@@ -139,6 +178,7 @@ def section_sql(x: str) -> str:
 
 
 ORACLE = {
+    "news_sentiment_context": CONTEXT,
     "news_clean": f"SELECT doc_id AS id, {clean_sql('text')} AS content_no_stopwords FROM documents",
     "news_sentiment": f"WITH {SCORED} SELECT id, round(SENTIMENT_VALUE, 6) AS SENTIMENT_VALUE, SENTIMENT FROM scored",
     "news_scored": f"""WITH {SCORED}
