@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -76,10 +77,23 @@ def test_word_ids_equal_the_whole_tokenizer():
     odd = ("x² ½a naïve ŉx ǅ ﬁn ςΣ ΣΑΣ. <|endoftext|> a<|startoftext|>b Ⅳ ١٢ _a_b ` İstanbul don't, it's' x'. "
            "e\u0301a áb, é. 3.14, ａ １2 x\x1cy z\x85. ...!! foo...bar, A.B.C. 'll. o'clock.,; \ufeffq 中文。 😀ok")
     for text in (odd, prose(200), odd + " " + odd.upper()):
-        words = text.encode().split()
-        known.learn([words])
-        want = known.tok.encode(text, add_special_tokens=False).ids + [1]
-        assert known.ids(words, 1) == b"".join(i.to_bytes(4, "little") for i in want)
+        want = known.tok.encode(text, add_special_tokens=False).ids
+        got = known.texts(pa.array([text, None, "", " \t", text + "\x0b\x0c " + text]))
+        one = b"".join(i.to_bytes(4, "little") for i in want)
+        assert got == [one, b"", b"", b"", one + one]
+
+
+def test_words_in_use_outlive_a_full_memory(monkeypatch):
+    monkeypatch.setattr(packing, "_REMEMBER", 40)
+    known = packing.WordIds(packing.tokenizer_file("word_bpe_49k.json"))
+    met = []
+    word = known._word
+    monkeypatch.setattr(known, "_word", lambda w: (met.append(w), word(w))[1])
+    for i in range(30):
+        text = "the same words " + " ".join(f"new{i}x{k}" for k in range(10))
+        want = known.tok.encode(text, add_special_tokens=False).ids
+        assert known.texts(pa.array([text])) == [b"".join(j.to_bytes(4, "little") for j in want)]
+    assert met.count(b"same") == 1 and len(known) <= 40 and len(known.old) <= 40
 
 
 # --- 4 pseudonyms ---
@@ -484,3 +498,14 @@ def test_trees_and_query(spark, docs):
     tree = rows(edit_tokens.trees(edge))
     assert sorted(t["n_tokens"] for t in tree) == sorted(len(enc.encode_ordinary(r[1] or "")) for r in edge_rows())
     assert edit_tokens.trees(no_docs(spark)).count() == 0
+
+
+def test_trees_replace_columns_of_their_names(spark):
+    rows = spark.createDataFrame([(1, prose(50), "x", [1]), (2, None, None, None)],
+                                 "doc_id long, text string, leaf_chars string, leaf_tokens array<int>")
+    trees = edit_tokens.with_trees(rows.withColumn("edits", edit_tokens.replacements(F.col("text"), "river", "x")))
+    assert sorted(trees.columns) == sorted(["doc_id", "text", "edits", "leaf_chars", "leaf_tokens"])
+    got = {r["doc_id"]: r for r in edit_tokens.recount(trees).collect()}
+    plain = {r["doc_id"]: r for r in edit_tokens.recount(edit_tokens.with_trees(
+        rows.select("doc_id", "text").withColumn("edits", edit_tokens.replacements(F.col("text"), "river", "x")))).collect()}
+    assert got == plain

@@ -20,11 +20,13 @@ from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwise.llm._common import byte_words, ship, shuffle_partitions, staged, tokenizer_file
+from tickwise.llm._common import ship, shuffle_partitions, staged, tokenizer_file
 
 ship(__name__)
 
@@ -32,7 +34,7 @@ WINDOW = 2048
 OPEN_WINDOWS = 64
 END_ID = 1
 MERGE_TOKENS = 1 << 18
-_REMEMBER = 400_000
+_REMEMBER = 300_000                                      # words of one generation
 _ID = 4                                                  # bytes of a token id
 
 PIECE = ("doc_id long, start long, length long, doc_tokens long, ids binary, "
@@ -68,6 +70,7 @@ class WordIds(dict):
         super().__init__()
         self.tok = tokenizers.Tokenizer.from_file(path)
         self.merge = self.tok.model.tokenize
+        self.old: dict[bytes, bytes] = {}
         self.units: dict[str, bytes] = {}
         self.signs = _byte_signs()
 
@@ -78,7 +81,7 @@ class WordIds(dict):
             out.byteswap()
         return out.tobytes()
 
-    def __missing__(self, word: bytes) -> bytes:
+    def _whole(self, word: bytes) -> bytes:
         return self._pack(self.tok.encode(word.decode("utf-8", "surrogatepass"),
                                           add_special_tokens=False).ids)
 
@@ -106,19 +109,39 @@ class WordIds(dict):
                 out.append(ids)
             else:
                 return b"".join(out)
-        return self[word]
-
-    def learn(self, texts: list[list[bytes]]) -> None:
-        """Encode the new words of many texts."""
-        new = [w for w in set().union(*texts) if w not in self and len(w) <= 64]
-        if len(self) + len(new) > _REMEMBER:
-            self.clear()
-            self.units.clear()
-        for w in new:
-            self[w] = self._word(w)
-
-    def ids(self, words: list[bytes], end: int) -> bytes:
-        return b"".join(map(self.__getitem__, words)) + end.to_bytes(_ID, "little")
+        return self._whole(word)
+
+    def find(self, word: bytes) -> bytes:
+        """A word's ids, remembered in two generations: when the young one is full it
+        becomes the old one, so words still in use stay known."""
+        ids = self.get(word)
+        if ids is None:
+            ids = self.old.get(word)
+            if ids is None:
+                ids = self._word(word)
+            if len(word) <= 64:
+                if len(self) >= _REMEMBER:
+                    self.old = dict(self)
+                    self.clear()
+                    self.units.clear()
+                self[word] = ids
+        return ids
+
+    def texts(self, texts: pa.Array) -> list[bytes]:
+        """The ids of many texts. Words are parted and counted as distinct values in
+        Arrow, so only distinct words are looked up; the ids of all words taken in
+        order lie one after another, and a text's are a range of them."""
+        lists = pc.ascii_split_whitespace(pc.fill_null(texts, "").cast(pa.large_string()))
+        words = pc.list_flatten(lists).dictionary_encode()
+        known, find = self.get, self.find
+        ids = pa.array([known(w) or (find(w) if w else b"")
+                        for w in words.dictionary.cast(pa.large_binary()).to_pylist()], pa.large_binary())
+        if not len(words):
+            return [b""] * len(texts)
+        _, ends, data = ids.take(words.indices).buffers()
+        ends, data = np.frombuffer(ends, dtype="int64"), memoryview(data or b"")
+        cuts = ends[lists.offsets.to_numpy() - lists.offsets[0].as_py()].tolist()
+        return [bytes(data[s:e]) for s, e in zip(cuts[:-1], cuts[1:])]
 
 
 class Windows:
@@ -169,7 +192,7 @@ def _place(path: str, window: int, open_windows: int, end: int):
 
         from pyspark import TaskContext
         os.environ["TOKENIZERS_PARALLELISM"] = "false"   # a task has one core
-        part = TaskContext.get().partitionId()
+        part, last = TaskContext.get().partitionId(), end.to_bytes(_ID, "little")
         known, bins, rows = WordIds(path), Windows(window, open_windows), []
 
         def emit(closed, still_open):
@@ -177,12 +200,10 @@ def _place(path: str, window: int, open_windows: int, end: int):
                 rows.extend((*m[:5], part, w, m[5], still_open) for m in members)
 
         for b in batches:
-            names, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-            for at in range(0, len(texts), 500):
-                words = [byte_words(t) for t in texts[at:at + 500]]
-                known.learn(words)
-                for name, w in zip(names[at:at + 500], words):
-                    ids = known.ids(w, end)
+            names = b.column(0).to_pylist()
+            for at in range(0, b.num_rows, 500):
+                for name, ids in zip(names[at:at + 500], known.texts(b.column(1).slice(at, 500))):
+                    ids += last
                     total = len(ids) // _ID
                     for s in range(0, total, window):
                         piece = ids[s * _ID:(s + window) * _ID]
