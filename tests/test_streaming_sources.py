@@ -10,7 +10,7 @@ from tests.conftest import SF_SMALL
 from tickwise.operators import bars, model, samples
 from tickwise.sources import files, tables
 from tickwise.sources.tables import tag_events
-from tickwise.streaming import live, merge, publish, sinks, sources
+from tickwise.streaming import live, merge, publish, sinks, sources, timers
 
 
 def _staged_events(spark, tmp_dir, parts=5):
@@ -268,3 +268,34 @@ def test_lookup_rank_metrics_regression_topn(spark):
     s = model.assemble(samples.build_samples(x, test_starts=50).where("split = 'train'"), label="y1")
     fit = model.regressor("linear").fit(s)
     assert "prediction" in fit.transform(s).columns
+
+
+def test_minute_timers_emit_and_clear(spark, tmp_dir):
+    """Five micro-batches, a restart and a late batch; state falls as minutes are emitted."""
+    folder, schema = _staged_events(spark, tmp_dir)
+    out, batch = f"{tmp_dir}/out", {r.Timestamp_Rounded: r for r in bars.minute_features_tagged(
+        tables.tagged_ticks(spark, SF_SMALL)).collect()}
+
+    def run():
+        w = (timers.timer_merge(tag_events(_stream(spark, folder, schema))).writeStream.format("parquet")
+             .option("path", out).option("checkpointLocation", f"{tmp_dir}/ck").outputMode("append")
+             .trigger(availableNow=True))
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        q = sinks.start_to_end(w, spark, {**timers.STORE, "spark.sql.shuffle.partitions": "2"})
+        assert spark.conf.get("spark.sql.shuffle.partitions") == before
+        return [p.stateOperators[0].numRowsTotal for p in q.recentProgress if p.stateOperators]
+
+    held = run()
+    first = spark.read.parquet(out).count()
+    assert 0 < first < len(batch) and min(held[1:]) < max(held)
+    run()                                                    # a restart without new input
+    assert spark.read.parquet(out).count() == first
+    last = max(batch) + dt.timedelta(days=1)
+    spark.createDataFrame([(-1, last, 0, "view", 1.0, '{"k": 1}')], schema).coalesce(1) \
+        .write.parquet(f"{folder}/late")
+    held = run()
+    got = spark.read.parquet(out).collect()
+    assert sorted(r.Timestamp_Rounded for r in got) == sorted(batch)
+    for r in got:
+        _same_row(r, batch[r.Timestamp_Rounded])
+    assert held[-1] < 10                                     # the late minute alone is held

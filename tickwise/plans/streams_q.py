@@ -16,7 +16,7 @@ from tickwise.plans.model_q import features_sql, fixed_coefficients, p_up_sql
 from tickwise.session import scratch_path
 from tickwise.sources import tables
 from tickwise.sources.tables import NEWS_TYPES, PRICE_TYPES, tag_events, tagged_ticks
-from tickwise.streaming import live, merge, publish, sinks, sources
+from tickwise.streaming import live, merge, publish, sinks, sources, timers
 
 ALL_TYPES = PRICE_TYPES + NEWS_TYPES
 RESUME_FILES = 4
@@ -56,6 +56,13 @@ def q_stream_state_merge(spark, sf_dir):
     return finish(out.unionByName(merge.open_minutes(tagged_ticks(spark, sf_dir), out)))
 
 
+def q_stream_minute_timers(spark, sf_dir):
+    """T5 with a timer a minute: emitted minutes, and those that are still open."""
+    out = sinks.run_to_parquet(timers.timer_merge(_tagged_stream(spark, sf_dir)), "minute-timers",
+                               conf=timers.STORE)
+    return finish(out.unionByName(merge.open_minutes(tagged_ticks(spark, sf_dir), out)))
+
+
 def q_stream_envelope_roundtrip(spark, sf_dir):
     """T1 + T2 + F25 publish, T3 + F26 parse back to typed rows."""
     typed = merge.typed_rows(merge.parse_events(_messages(spark, sf_dir)))
@@ -135,6 +142,7 @@ QUERIES = {
     "stream_predictions": q_stream_predictions,
     "stream_minute_features": q_stream_minute_features,
     "stream_state_merge": q_stream_state_merge,
+    "stream_minute_timers": q_stream_minute_timers,
     "stream_envelope_roundtrip": q_stream_envelope_roundtrip,
 }
 
@@ -165,6 +173,7 @@ SELECT start_ts, end_ts, round(p, 6) AS p_up, CASE WHEN p < 0.5 THEN 'DOWN' ELSE
 FROM p WHERE p IS NOT NULL""",
     "stream_minute_features": MINUTE_FEATURES_SQL,
     "stream_state_merge": MINUTE_FEATURES_SQL,
+    "stream_minute_timers": MINUTE_FEATURES_SQL,
     "stream_envelope_roundtrip": f"""SELECT CAST(event_id AS VARCHAR) AS key,
   CASE WHEN event_type IN ({sql_list(NEWS_TYPES)}) THEN date_trunc('second', ts)
        ELSE date_trunc('second', ts) END AS ts,

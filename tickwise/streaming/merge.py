@@ -231,6 +231,18 @@ def _update_hour(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState):
         yield _final_rows(m[due])
 
 
+def minute_partials(tagged: DataFrame, delay: str) -> DataFrame:
+    """Rows of a tagged stream as partial minutes, made in the tasks that read them,
+    with a watermark on the latest event of each (``ets``). Rows without a time are
+    dropped."""
+    e = event_time(tagged).where(F.col("ets").isNotNull()).select(
+        F.unix_seconds(F.date_trunc("minute", "ets")).alias("minute_s"),
+        F.unix_millis("ets").alias("ms"), "is_news",
+        "Open", "High", "Low", "Close", "Volume", "score")
+    e = e.mapInPandas(_minute_partials, ", ".join(f"{c} double" for c in _COLS))
+    return e.withColumn("ets", F.timestamp_millis(F.col("max_ms").cast("long"))).withWatermark("ets", delay)
+
+
 def state_merge(tagged: DataFrame, delay: str = DEFAULT_DELAY) -> DataFrame:
     """T5: keyed-state form of the minute merge with a 30-minute event-time
     timeout per minute. State is keyed by hour (per-minute aggregates inside),
@@ -241,13 +253,7 @@ def state_merge(tagged: DataFrame, delay: str = DEFAULT_DELAY) -> DataFrame:
     minute carries its latest event time, so a minute of which some row in the
     batch is not late is taken whole. Rows without a time are dropped.
     """
-    e = event_time(tagged).where(F.col("ets").isNotNull()).select(
-        F.unix_seconds(F.date_trunc("minute", "ets")).alias("minute_s"),
-        F.unix_millis("ets").alias("ms"), "is_news",
-        "Open", "High", "Low", "Close", "Volume", "score")
-    e = e.mapInPandas(_minute_partials, ", ".join(f"{c} double" for c in _COLS))
-    e = (e.withColumn("ets", F.timestamp_millis(F.col("max_ms").cast("long")))
-         .withColumn("hour_s", F.floor(F.col("minute_s") / 3600)).withWatermark("ets", delay))
+    e = minute_partials(tagged, delay).withColumn("hour_s", F.floor(F.col("minute_s") / 3600))
     out = e.groupBy("hour_s").applyInPandasWithState(
         _update_hour, OUT_SCHEMA, STATE_SCHEMA, "append", "EventTimeTimeout")
     return out.select(tf.ntz(F.timestamp_seconds("minute_s")).alias("Timestamp_Rounded"),

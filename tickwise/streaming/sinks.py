@@ -27,7 +27,8 @@ def console_writer(df: DataFrame, trigger: str = "2 seconds",
 
 def run_to_parquet(df: DataFrame, name: str, checkpoint: str | None = None,
                    out: str | None = None, partition_by: list[str] | None = None,
-                   counts: dict[str, int] | None = None) -> DataFrame:
+                   counts: dict[str, int] | None = None,
+                   conf: dict[str, str] | None = None) -> DataFrame:
     """Run a streaming query over everything available (``availableNow``),
     appending to Parquet under the shared checkpoint folder, and return the
     written table as a batch DataFrame. Restarting with the same
@@ -42,23 +43,29 @@ def run_to_parquet(df: DataFrame, name: str, checkpoint: str | None = None,
          .trigger(availableNow=True))
     if partition_by:
         w = w.partitionBy(*partition_by)
-    q = start_to_end(w, spark)
+    q = start_to_end(w, spark, conf)
     if counts is not None:
         counts.update(observed(q))
     return spark.read.schema(df.schema).parquet(out)
 
 
-def start_to_end(writer: DataStreamWriter, spark: SparkSession) -> StreamingQuery:
+def start_to_end(writer: DataStreamWriter, spark: SparkSession,
+                 conf: dict[str, str] | None = None) -> StreamingQuery:
     """Run a query until all available input is done. State partitions are fixed when
     it first starts (and then kept in its checkpoint): they are sized to the
-    cluster's cores, not a fixed default."""
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(max(1, spark.sparkContext.defaultParallelism)))
+    cluster's cores, not a fixed default. ``conf`` holds further settings to start with."""
+    conf = {"spark.sql.shuffle.partitions": str(max(1, spark.sparkContext.defaultParallelism)), **(conf or {})}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
     try:
         q = writer.start()
     finally:
-        spark.conf.set(key, before)
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
     q.awaitTermination()
     return q
 
