@@ -167,6 +167,23 @@ def test_pseudonyms_of_other_forms(spark):
     assert re.fullmatch(r"\d{1,2}/\d{1,2}/\d{4}", new["3/4/2021"]) and re.fullmatch(r"[A-Z][a-z]{2} .*", new["Mar 4, 2021"])
 
 
+def test_dates_up_to_the_year_9999(spark):
+    import datetime as dt
+    first = dt.date(1, 1, 1)
+    start = pii_feistel._LAST_ERA * pii_feistel._ERA
+    days = [first + dt.timedelta(days=n) for n in range(start - 500, pii_feistel._DAYS)]
+    days += [dt.date(3593, 8, 1) + dt.timedelta(days=i) for i in range(300)]
+    df = spark.createDataFrame([(i, f"on {d.isoformat()} it") for i, d in enumerate(days)], "doc_id long, text string")
+    got = {r["doc_id"]: r["text"][3:13] for r in pii_feistel.pseudonymize(df).collect()}
+    out = [dt.date.fromisoformat(got[i]) for i in range(len(days))]
+    assert len(set(out)) == len(set(days))
+    last = {d for d in days if (d - first).days >= start}
+    assert {o for d, o in zip(days, out) if d in last} == last         # permuted among themselves
+    assert sum(a != b for a, b in zip(days, out)) > 0.99 * len(days)
+    other = spark.createDataFrame([(1, "0000-01-01"), (2, "10000-01-01"), (3, "9999-13-01")], "doc_id long, text string")
+    assert {r["text"] for r in pii_feistel.pseudonymize(other).collect()} >= {"0000-01-01", "9999-13-01"}
+
+
 def test_feistel_is_a_permutation(spark):
     for a, b in ((7, 9), (270, 3), (1, 10)):
         n = F.lit(b).cast("bigint")
@@ -236,7 +253,7 @@ def test_license_lines_and_texts(spark):
          (4, None, 3), (5, "...\n", 4), (6, mit, 5), (2, "x\nReleased under the MIT Licence!\r\ny", 1)],
         "doc_id long, text string, digest int")
     got = Counter((r["doc_id"], r["unit"], r["line_no"], r["license_id"]) for r in rows(license_digest.scan(df)))
-    assert got == Counter({(1, "text", None, "ISC"): 1, (2, "line", 2, "MIT"): 2})
+    assert got == Counter({(1, "text", None, "ISC"): 1, (2, "line", 2, "MIT"): 2, (6, "text", None, "MIT"): 1})
     known = spark.createDataFrame([("X", "prose, about THE mit licence here"), ("Y", None)],
                                   "license_id string, text string")
     assert sorted((r["doc_id"], r["unit"]) for r in rows(license_digest.scan(df, known))) == [(3, "line"), (3, "text")]

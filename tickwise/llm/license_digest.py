@@ -171,15 +171,14 @@ def license_texts() -> dict[str, list[str]]:
     return out
 
 
-def known_licenses(spark: SparkSession, titles: bool = False) -> DataFrame:
-    """``(license_id, text)``: the known texts, and notices by rule; ``titles``
-    adds every text under each of its title lines."""
+def known_licenses(spark: SparkSession) -> DataFrame:
+    """``(license_id, text)``: the known texts, bare and under each of their title
+    lines, and notices by rule."""
     texts = license_texts()
     rows = [(k, t) for k, forms in texts.items() for t in forms]
-    if titles:
-        rows += [(k, f"{title}\n\n{t}") for k, forms in texts.items() for t in forms
-                 if k not in STARTS or t.startswith(tuple(" ".join(x.split()) for x in STARTS[k]) + STARTS[k])
-                 for title in TITLES[k]]
+    rows += [(k, f"{title}\n\n{t}") for k, forms in texts.items() for t in forms
+             if k not in STARTS or t.startswith(tuple(" ".join(x.split()) for x in STARTS[k]) + STARTS[k])
+             for title in TITLES[k]]
     rows += [(k, o.format(n)) for k, names in NAMES.items() for n in names for o in OPENINGS]
     return spark.createDataFrame(rows, "license_id string, text string")
 

@@ -40,6 +40,10 @@ KINDS = ("card", "phone", "ip", "ssn", "date", "email")
 # Dates are permuted inside eras of 270 * 270 days (about 200 years) from this day on.
 _ERA, _HALF_ERA = 270 * 270, 270
 _FIRST_DAY = "0001-01-01"
+# Days of the years 1 to 9999; the last era has what is left, as a product of two.
+_DAYS = 3_652_059
+_LAST_ERA = _DAYS // _ERA
+_LAST_HALF = max(d for d in range(1, 85) if (_DAYS % _ERA) % d == 0)
 _LETTERS = "0123456789abcdefghijklmnopqrstuvwxyz"
 
 
@@ -167,8 +171,10 @@ def _date(v: Column, key: str) -> Column:
 
     def shown(n):
         era = F.floor(n / _ERA)
-        moved = feistel(F.pmod(n, F.lit(_ERA)), F.lit(_HALF_ERA).cast("bigint"),
-                        F.lit(_HALF_ERA).cast("bigint"), key, "date") + era * _ERA
+        last = era == _LAST_ERA
+        a = F.when(last, _LAST_HALF).otherwise(_HALF_ERA).cast("bigint")
+        b = F.when(last, _DAYS % _ERA // _LAST_HALF).otherwise(_HALF_ERA).cast("bigint")
+        moved = feistel(F.pmod(n, F.lit(_ERA)), a, b, key, "date") + era * _ERA
         out = F.date_add(F.lit(_FIRST_DAY).cast("date"), moved.cast("int"))
         form = F.when(F.length(month) > 3, F.date_format(out, "MMMM")).otherwise(F.date_format(out, "MMM"))
         return F.when(iso, F.date_format(out, "yyyy-MM-dd")) \
@@ -178,7 +184,7 @@ def _date(v: Column, key: str) -> Column:
             .when(short, F.date_format(out, "M/d/yyyy")) \
             .when(sep == ".", F.date_format(out, "dd.MM.yyyy")).otherwise(F.date_format(out, "MM/dd/yyyy"))
     return let(F.datediff(day, F.lit(_FIRST_DAY).cast("date")).cast("bigint"),
-               lambda n: F.when((n >= 0) & (n < 18 * _ERA // 2 * 2), shown(n)))
+               lambda n: F.when((n >= 0) & (n < _DAYS), shown(n)))
 
 
 def _email(v: Column, key: str) -> Column:
