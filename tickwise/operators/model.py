@@ -131,8 +131,8 @@ def least_squares(train: DataFrame, features: Sequence[str], target: str,
     return train.sparkSession.createDataFrame(rows, COEFFICIENTS)
 
 
-def _number(x: float) -> str:
-    return f"CAST({x!r} AS DOUBLE)"
+def _number(x: float | None) -> str:
+    return f"CAST({'NULL' if x is None else repr(x)} AS DOUBLE)"
 
 
 def linear_model(coefficients: DataFrame, features: str = "features",
@@ -140,7 +140,7 @@ def linear_model(coefficients: DataFrame, features: str = "features",
     """A saveable pipeline from a table of coefficients ``(name, pos, weight)``: the
     product of the array column ``features`` with the weights, in the JVM, as
     ``p_up`` (``logistic``) or ``prediction`` (``linear``). One row per place; places
-    beyond an array, and its null elements, make the score null.
+    beyond an array, null elements and null weights make the score null.
     """
     weights = {r["pos"]: r["weight"] for r in coefficients.collect()}     # p numbers
     bias, width = weights.pop(-1, 0.0), max(weights, default=-1) + 1

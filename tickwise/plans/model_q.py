@@ -94,9 +94,9 @@ s AS (SELECT avg(x1) m1, avg(x2) m2, avg(y1) my, covar_pop(x1, x1) + {RIDGE} a,
 w AS (SELECT *, (d * g - b * h) / (a * d - b * b) AS w1, (a * h - b * g) / (a * d - b * b) AS w2 FROM s),
 k AS (SELECT 'one' AS model, i0 AS i, w0 AS wa, 0.0 AS wb FROM w
       UNION ALL SELECT 'two', my - w1 * m1 - w2 * m2, w1, w2 FROM w),
-e AS (SELECT model, avg(abs(i + wa * x1 + wb * x2 - y1)) AS mae,
-    avg((i + wa * x1 + wb * x2 - y1) * (i + wa * x1 + wb * x2 - y1)) AS mse, count(*)::DOUBLE AS n
-  FROM r, k GROUP BY model)"""
+e AS (SELECT k.model, avg(abs(i + wa * x1 + wb * x2 - y1)) AS mae,
+    avg((i + wa * x1 + wb * x2 - y1) * (i + wa * x1 + wb * x2 - y1)) AS mse, count(r.t)::DOUBLE AS n
+  FROM k LEFT JOIN r ON true GROUP BY k.model)"""
 ORACLE = {
     "price_regression": f"""{_FIT}
 SELECT model, name, round(value, 6) AS value FROM (
