@@ -82,10 +82,19 @@ def _tau_b(x, y):
     return s / math.sqrt(nx * ny)
 
 
-@pytest.mark.parametrize("grid,bucket_rows", [(256, 4096), (8, 7)])
-def test_correlation_matrices_with_ties(spark, monkeypatch, grid, bucket_rows):
-    monkeypatch.setattr(stats, "RANK_GRID", grid)
-    monkeypatch.setattr(stats, "BUCKET_ROWS", bucket_rows)        # small: many buckets
+@pytest.fixture()
+def ranges(spark, request):
+    """A number of ranges for the scans (the shuffle partitions)."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(request.param))
+    yield request.param
+    spark.conf.set(key, before)
+
+
+@pytest.mark.parametrize("ranges,bucket_rows", [(1, 4096), (8, 4096), (13, 7)], indirect=["ranges"])
+def test_correlation_matrices_with_ties(spark, monkeypatch, ranges, bucket_rows):
+    monkeypatch.setattr(stats, "BUCKET_ROWS", bucket_rows)        # small: many blocks
     rng = np.random.default_rng(3)
     n = 120
     data = {"a": rng.integers(0, 6, n).astype(float),          # heavy ties

@@ -69,6 +69,23 @@ def numbered(df: DataFrame, order: Sequence[str | Column], by: Sequence[str] = (
     return out.withColumn(idx, F.col("_row") + F.col("_off")).drop("_part", "_row", "_off")
 
 
+def prefix_sums(df: DataFrame, order: Sequence[str | Column], by: Sequence[str],
+                sums: dict[str, str]) -> DataFrame:
+    """Each row with the sum of some columns (``sums``: column -> output) over the rows
+    before it in ``order`` within ``by``; 0 for the first. Sums per range (one row
+    each) are carried forward, and windows run inside a range."""
+    d = ranged(df, order, by)
+    per = d.groupBy(*by, "_part").agg(*[F.sum(c).alias(f"_s_{c}") for c in sums])
+    before = _over_ranges(by, F.col("_part")).rowsBetween(Window.unboundedPreceding, -1)
+    halo = per.select(*by, "_part", *[F.coalesce(F.sum(f"_s_{c}").over(before), F.lit(0)).alias(f"_in_{c}")
+                                      for c in sums])
+    w = Window.partitionBy("_part", *by).orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
+    inside = d.select("*", *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(out) for c, out in sums.items()])
+    out = same(inside, halo, [*by, "_part"], "inner")
+    return out.withColumns({o: F.col(o) + F.col(f"_in_{c}") for c, o in sums.items()}).drop(
+        "_part", "_row", *[f"_in_{c}" for c in sums])
+
+
 def with_previous(df: DataFrame, value: str, order: Sequence[str | Column], by: Sequence[str] = (),
                   previous: str = "prev", filled: str = "filled",
                   filled_previous: str = "filled_prev") -> DataFrame:

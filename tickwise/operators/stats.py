@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickwise.operators.order import prefix_sums
 from tickwise.session import materialize
 
 
@@ -106,9 +107,7 @@ def pearson_matrix(long: DataFrame, key: str, series: str, value: str) -> DataFr
     return _coefficients(shared_pairs(long, key, series, value), "pearson")
 
 
-# A series' distinct values are cut at up to RANK_GRID approximate quantiles, one
-# bucket for each BUCKET_ROWS of them; ranks are cut into blocks of BUCKET_ROWS.
-RANK_GRID = 256
+# Dense ranks are cut into blocks of this many.
 BUCKET_ROWS = 4096
 
 
@@ -131,19 +130,13 @@ def value_ranks(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     ``n_below`` (rows with a smaller value) and ``dense`` (0-based dense rank).
 
     Works on distinct values (a value repeated across a third of the rows is
-    one row after a partial aggregate), cut into approximate-quantile buckets:
-    one for each ``BUCKET_ROWS`` values of the group.
+    one row after a partial aggregate), ranked by a scan over ranges
+    (:func:`tickwise.operators.order.prefix_sums`): no task holds a series, however
+    many values it has.
     """
-    by = list(by)
     c = (df.where(F.col(value).isNotNull()).groupBy(*by, value)
-         .agg(F.count(F.lit(1)).alias("ties")))
-    grid = [k / RANK_GRID for k in range(1, RANK_GRID)]
-    q = c.groupBy(*by).agg(F.percentile_approx(value, grid, 10000).alias("_q"),
-                           F.ceil(F.count(F.lit(1)) / F.lit(BUCKET_ROWS)).alias("_k"))
-    place = F.size(F.filter("_q", lambda x: x < F.col(value)))
-    bucket = F.floor(place * F.least("_k", F.lit(RANK_GRID)) / F.lit(RANK_GRID))
-    c = c.join(q, by).select(*by, value, "ties", F.lit(1).alias("_one"), bucket.alias("_b"))
-    return _running(c, by, "_b", value, {"ties": "n_below", "_one": "dense"}).drop("_b", "_one")
+         .agg(F.count(F.lit(1)).alias("ties")).withColumn("_one", F.lit(1)))
+    return prefix_sums(c, [value], list(by), {"ties": "n_below", "_one": "dense"}).drop("_one")
 
 
 def ranked(long: DataFrame, series: str, value: str) -> DataFrame:
