@@ -245,3 +245,10 @@ def regression_metrics(df: DataFrame, label: str = "label", prediction: str = "p
     """MAE and MSE."""
     e = F.col(prediction) - F.col(label)
     return df.agg(F.avg(F.abs(e)).alias("mae"), F.avg(e * e).alias("mse"), F.count(F.lit(1)).alias("n"))
+
+
+def prediction_metrics(df: DataFrame, label: str, decision: str, target: str, prediction: str) -> DataFrame:
+    """A17 of a 0/1 decision and of a predicted value in one aggregate."""
+    e = F.col(prediction) - F.col(target)
+    return df.agg(F.avg((F.col(label) == F.col(decision)).cast("double")).alias("accuracy"),
+                  F.count(F.lit(1)).alias("n"), F.avg(F.abs(e)).alias("mae"), F.avg(e * e).alias("mse"))

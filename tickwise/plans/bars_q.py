@@ -52,10 +52,23 @@ ORACLE = {
 # --- dense hourly series, overlay, normalise, derivative ---------------------
 from pyspark.sql import functions as F  # noqa: E402
 
+from tickwise.functions import timefmt as tf  # noqa: E402
 from tickwise.operators import series as S  # noqa: E402
 from tickwise.plans.series_q import HIST, REFERENCE_COIN  # noqa: E402
 
 
+def q_tick_seconds(spark, sf_dir):
+    """F7 + F16: seconds since midnight of every tick, by its time as text."""
+    t = tables.price_ticks(spark, sf_dir).select("id", F.date_format("ts", "HH:mm:ss").alias("time"))
+    return t.select("id", "time", tf.hms_seconds("time").alias("seconds"))
+
+
+QUERIES["tick_seconds"] = q_tick_seconds
+ORACLE["tick_seconds"] = f"""SELECT event_id AS id, strftime(ts, '%H:%M:%S') AS time,
+  CAST(hour(ts) * 3600 + minute(ts) * 60 + second(ts) AS INTEGER) AS seconds
+FROM events WHERE event_type IN ({sql_list(PRICE_TYPES)})"""
+
+
 def _minutes(spark, sf_dir):
     return bars.minute_features_tagged(tables.tagged_ticks(spark, sf_dir))
 

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tickwise.functions import text as tx
+from tickwise.operators import filters, stats
 from tickwise.operators import pages as P
-from tickwise.operators import stats
 from tickwise.session import written
 from tickwise.sources import tables
 
 LINK_TEXT = "the"        # E2 parameter for the registered query
+NTH_LINK = 2             # P18 place, from 0
 
 
 def _lit(s: str) -> str:
@@ -30,6 +31,12 @@ def q_page_first_link(spark, sf_dir):
     return P.first_link_with_text(tables.pages(spark, sf_dir), LINK_TEXT)
 
 
+def q_page_nth_link(spark, sf_dir):
+    """The link at a place of every page's listing."""
+    a = filters.nth_by_rank(P.anchors(tables.pages(spark, sf_dir)), "pos", NTH_LINK)
+    return a.select("page_id", "text", "href")
+
+
 def q_page_ad_text(spark, sf_dir):
     """Text of the first ``div.ad`` element."""
     p = tables.pages(spark, sf_dir)
@@ -113,6 +120,7 @@ QUERIES = {
     "repo_records": q_repo_records,
     "page_links": q_page_links,
     "page_first_link": q_page_first_link,
+    "page_nth_link": q_page_nth_link,
     "page_ad_text": q_page_ad_text,
     "page_articles": q_page_articles,
 }
@@ -167,6 +175,8 @@ SELECT page_id, pos, text, href, {abs_url_sql('url', 'href')} AS abs_url, ends_w
 FROM links""",
     "page_first_link": f"""WITH {_ANCHORS}
 SELECT page_id, arg_min(href, pos) AS href FROM links WHERE text = {_lit(LINK_TEXT)} GROUP BY page_id""",
+    "page_nth_link": f"""WITH {_ANCHORS}
+SELECT page_id, text, href FROM links WHERE pos = {NTH_LINK}""",
     "page_ad_text": f"""SELECT page_id,
   CASE WHEN regexp_matches(html, '<div [^>]*class=["'']ad["'']')
   THEN regexp_extract(html, '<div [^>]*class=["'']ad["''][^>]*>([^<]*)', 1) END AS ad_text

@@ -158,9 +158,7 @@ def q_prediction_metrics(spark, sf_dir):
     """Accuracy, mean absolute and mean squared error of a prediction column."""
     n = _naive(spark, sf_dir).where(F.col("y1").isNotNull())
     up = (num.direction("p_up") == "UP").cast("int")
-    acc = stats.binary_metrics(n.withColumn("up", up), "label", "up")
-    err = stats.regression_metrics(n, "y1", "y_hat")
-    return finish(acc.join(err, "n"))
+    return finish(stats.prediction_metrics(n.withColumn("up", up), "label", "up", "y1", "y_hat"))
 
 
 QUERIES.update({

@@ -193,6 +193,12 @@ def q_coin_history_window(spark, sf_dir):
                   .unionByName(opn.select("coin", "date", "close", F.lit("open").alias("kind"))))
 
 
+def q_coin_lookup(spark, sf_dir):
+    """The rows of one label."""
+    h = tables.daily_history(spark, sf_dir)
+    return finish(filters.lookup(h, "coin", PICK_COIN).select("coin", "date", "open", "close"))
+
+
 def q_market_share(spark, sf_dir):
     """A11 + A12 + P6 + P4 + U2: share of market cap on one day, top-k + other."""
     h = tables.daily_history(spark, sf_dir).where(F.col("date") == F.lit(SHARE_DATE).cast("date"))
@@ -222,6 +228,7 @@ QUERIES = {
     "max_high_rows": q_max_high_rows,
     "global_max_high": q_global_max_high,
     "coin_history_window": q_coin_history_window,
+    "coin_lookup": q_coin_lookup,
     "market_share": q_market_share,
     "close_norm": q_close_extremes,
 }
@@ -265,6 +272,8 @@ WHERE coin = '{PICK_COIN}' AND date BETWEEN DATE '{PICK_START}' AND DATE '{PICK_
 UNION ALL
 SELECT coin, date, round(close, 6) AS close, 'open' AS kind FROM hist
 WHERE coin = '{PICK_COIN}' AND date > DATE '{PICK_START}' AND date < DATE '{PICK_END}'""",
+    "coin_lookup": f"""WITH {HIST}
+SELECT coin, date, round(open, 6) AS open, round(close, 6) AS close FROM hist WHERE coin = '{PICK_COIN}'""",
     "market_share": f"""WITH {HIST},
 day AS (SELECT coin, sum(market_cap) AS amount FROM hist WHERE date = DATE '{SHARE_DATE}' GROUP BY coin),
 rk AS (SELECT *, row_number() OVER (ORDER BY amount DESC, coin DESC) AS rn FROM day),
