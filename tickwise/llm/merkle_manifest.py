@@ -48,6 +48,15 @@ def shown(value: Column) -> Column:
     return F.lower(F.hex(value))
 
 
+def _block(g: Column) -> Column:
+    return F.floor(g / BLOCK)
+
+
+def _blocks(lo: Column, hi: Column) -> Column:
+    """The blocks that hold leaves ``lo`` to ``hi``."""
+    return F.sequence(_block(lo), _block(hi))
+
+
 def _joined(kids: Column) -> Column:
     return F.aggregate(kids, F.lit(b""), lambda s, k: F.concat(s, k["hash"]))
 
@@ -119,8 +128,8 @@ FROM climb
 
 
 def _climb(anchor: DataFrame, nodes: DataFrame, height: int) -> DataFrame:
-    """The recursive query, written: ``(g, others, folded)``, per leaf all siblings
-    from the leaf's run to the root and the root folded from them."""
+    """The recursive query, written: ``(g, proof, folded)``, per leaf the digest of all
+    siblings from the leaf's run to the root, and the root folded from them."""
     spark = anchor.sparkSession
     names = {k: f"merkle_{k}_{uuid.uuid4().hex}" for k in ("anchor", "nodes")}
     anchor.createOrReplaceTempView(names["anchor"])
@@ -132,7 +141,7 @@ def _climb(anchor: DataFrame, nodes: DataFrame, height: int) -> DataFrame:
         steps = spark.sql(_CLIMB.format(**names, top=TOP, height=height))
         path = F.sort_array(F.collect_list(F.struct("step", "others")))
         return staged(steps.groupBy("g").agg(
-            F.aggregate(path, F.lit(b""), lambda s, x: F.concat(s, x["others"])).alias("others"),
+            digest(shown(F.aggregate(path, F.lit(b""), lambda s, x: F.concat(s, x["others"])))).alias("proof"),
             F.max("folded").alias("folded")), "merkle-climb")
     finally:
         spark.conf.set(limit, before)
@@ -157,8 +166,13 @@ def manifest(docs: DataFrame) -> DataFrame:
     path = scratch_path(spark, f"llm/merkle-{uuid.uuid4().hex}")
     rows = numbered(staged(leaves(docs), "merkle-leaves"), ["source", "doc_id", "leaf"], idx="g")
     sources = rows.groupBy("source").agg(F.min("g").alias("start"), F.count(F.lit(1)).alias("n"))
-    sources = numbered(sources, ["source"], idx="tree")
-    base = staged(same(rows, sources, ["source"], "inner").select(
+    # per-source rows are repeated for each block they reach, so a source that holds
+    # a third of the rows is many join keys
+    last = F.col("start") + F.col("n") - 1
+    sources = numbered(sources, ["source"], idx="tree").select(
+        "*", F.explode(_blocks(F.col("start"), last)).alias("block"))
+    rows = rows.withColumn("block", _block(F.col("g")))
+    base = staged(same(rows, sources, ["source", "block"], "inner").select(
         "doc_id", "g", "tree", "n", (F.col("g") - F.col("start")).alias("pos"), "leaf", "tampered"),
         "merkle-base")
     place = [F.col("g").alias("lo"), F.col("g").alias("hi")]
@@ -175,7 +189,7 @@ def manifest(docs: DataFrame) -> DataFrame:
                                 "hash", "lo", "hi"), n_sources, f"{path}/top")
     root = (top[-1] if top else subroots).select("hash")        # one row, none in an empty table
 
-    block = F.floor(F.col("lo") / BLOCK)
+    block = _block(F.col("lo"))
     node = ["tree", "level", "pos"]
     start = alone.select(F.col("lo").alias("g"), block.alias("block"), F.lit(TOP).cast("long").alias("tree"),
                          F.lit(0).alias("level"), F.col("tree").alias("pos"), F.lit(0).alias("step"),
@@ -192,7 +206,7 @@ def manifest(docs: DataFrame) -> DataFrame:
         nodes = inner[0]
         for x in inner[1:]:
             nodes = nodes.unionByName(x)
-        span = F.sequence(block, F.floor(F.col("hi") / BLOCK))
+        span = _blocks(F.col("lo"), F.col("hi"))
         nodes = staged(nodes.select(*node, "up_tree", "up_level", "up_pos", "before", "after",
                                     F.explode(span).alias("block")), "merkle-nodes")
     else:
@@ -201,10 +215,12 @@ def manifest(docs: DataFrame) -> DataFrame:
                                       F.col("others").alias("after"), "block")
     paths = _climb(staged(start, "merkle-start"), nodes, len(top))
 
-    sub = subroots.select(F.col("pos").alias("tree"), F.col("hash").alias("subroot"))
-    out = base.join(paths, "g").join(sub, "tree")
+    sub = subroots.select(F.col("pos").alias("tree"), F.col("hash").alias("subroot"),
+                          F.explode(_blocks(F.col("lo"), F.col("hi"))).alias("block"))
+    out = (base.withColumn("block", _block(F.col("g"))).join(sub, ["tree", "block"])
+           .join(paths, "g"))
     root_hex = shown(root.scalar())
     return out.select("doc_id", shown(F.col("leaf")).alias("leaf"), shown(F.col("subroot")).alias("subroot"),
-                      root_hex.alias("root"), F.sha2(shown(F.col("others")), 256).alias("proof_sha256"),
+                      root_hex.alias("root"), shown(F.col("proof")).alias("proof_sha256"),
                       shown(F.col("folded")).alias("folded_root"),
                       (shown(F.col("folded")) == root_hex).alias("verified"))
