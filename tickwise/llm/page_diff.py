@@ -361,6 +361,7 @@ def extract(pages: DataFrame) -> DataFrame:
         return pages.sparkSession.createDataFrame([], OUT)
     keyed = _keys(pages).select("page_id", "url", "key", F.col("html").cast("string"))
     rows = keyed.mapInArrow(_read_pages(ends), ROW)
-    return (rows.repartition(shuffle_partitions(pages.sparkSession), "bucket")
+    # a bucket is a partition of its own (hashed, some would share one)
+    return (rows.repartitionById(len(ends), "bucket")
             .sortWithinPartitions("bucket", "key", "own")
             .mapInArrow(_difference, OUT))
