@@ -3,8 +3,8 @@
 Extraction is written as regex projections that run inside the JVM
 (``regexp_extract_all`` + ``arrays_zip`` + ``posexplode``), one page per row,
 no shuffle and no per-row Python. Elements that nest (tables, rows, cells, cards)
-are found by :func:`elements`, a scan over tag tokens that carries the depth; it is
-not a general HTML parser (see README).
+are found by :func:`elements`, by patterns of a few levels or else a scan over tag
+tokens that carries the depth; it is not a general HTML parser (see README).
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ ANCHOR_RE = r"(?is)<a(\s[^>]*)?>(.*?)</a>"
 HREF_RE = r"""(?is)\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 TITLE_RE = r"(?is)<title[^>]*>(.*?)</title>"
 # Markup whose content is no markup: comments, scripts, styles.
-RAW_RE = r"(?is)<!--.*?-->|<script(?=[\s>]).*?</script\s*>|<style(?=[\s>]).*?</style\s*>"
+RAW_RE = r"(?is)<(?:!--.*?-->|script(?=[\s>]).*?</script\s*>|style(?=[\s>]).*?</style\s*>)"
 
 
 def attribute_re(name: str, value: str) -> str:
@@ -48,20 +48,72 @@ def _first_text(inner: Column) -> Column:
 
 
 _ELEMENTS = "struct<depth:int,head:string,body:string,found:array<struct<head:string,body:string>>>"
+# How many elements may lie in one another for one pattern to find the outermost
+# ones; a text with deeper ones is scanned token by token.
+PATTERN_DEPTH = 4
+
+
+def _tag_re(tags: Sequence[str], before: str) -> str:
+    """A tag of one of these names; ``before`` stands between ``<`` and the name."""
+    name = "|".join(_escape(t) for t in tags)
+    return rf"""<{before}(?:{name})(?=[\s/>])(?:[^'">]+|"[^"]*+"|'[^']*+')*+>"""
+
+
+def _outermost_re(tags: Sequence[str]) -> tuple[str, str]:
+    """Two patterns: an outermost element ``(head)(body)`` with at most ``PATTERN_DEPTH``
+    more inside one another, and a whole text of no other ones. A start tag of any other
+    matches alone, as do end tags too many with no start tag after them: then the body is
+    empty. The repeats are possessive, so that no part of a text is tried in two ways."""
+    start, end = _tag_re(tags, ""), _tag_re(tags, "/")
+    text = rf"(?:[^<]+|(?!{_tag_re(tags, '/?')})<)*+"
+    strays = rf"(?:{end}{text})"
+    body = text
+    for _ in range(PATTERN_DEPTH):
+        body = rf"{text}(?:{start}{body}(?:{end}|\z){text})*+"
+    return (rf"(?is){strays}*+({start})(?:({body})(?:{end}|\z)|)|{strays}++\z",
+            rf"(?is)\A{text}(?:{strays}*+{start}{body}(?:{end}|\z){text})*+\z")
 
 
 def elements(html: Column, tags: Sequence[str], attribute: str | None = None) -> Column:
     """The outermost elements of some tags, as an array of ``(head, body)``: the start
     tag and the markup inside, up to the element's own end tag.
 
-    ``attribute`` is a pattern that the start tag must contain. The text is cut at
-    the start and end tags of these names only, and one pass over the tokens carries
-    how many are open, so elements of the same name inside one do not end it. An
-    element without an end tag reaches to the end of the text; an end tag too many
-    is passed over. Null gives null.
+    ``attribute`` is a pattern that the start tag must contain. Elements of the same
+    names inside one do not end it. An element without an end tag reaches to the end of
+    the text; an end tag too many is passed over. Null gives null.
+
+    One pattern finds them unless very many lie in one another; that, or an
+    ``attribute``, takes a scan that cuts the text at the start and end tags of these
+    names and carries how many are open.
     """
-    name = "|".join(_escape(t) for t in tags)
-    token = rf"""(?is)</?(?:{name})(?=[\s/>])(?:[^'">]++|"[^"]*+"|'[^']*+')*+>"""
+    def found(h):
+        if attribute is not None:
+            return _scan(h, tags, attribute)
+        one, whole = _outermost_re(tags)
+        return F.when(h.rlike(whole), F.zip_with(
+            F.regexp_extract_all(h, F.lit(one), 1), F.regexp_extract_all(h, F.lit(one), 2),
+            lambda a, b: F.struct(a.alias("head"), b.alias("body")))).otherwise(_scan(h, tags))
+
+    return _once(html, found)
+
+
+def bodies(html: Column, tags: Sequence[str]) -> Column:
+    """The bodies alone of :func:`elements`."""
+    one, whole = _outermost_re(tags)
+    # an empty body may be tags that matched alone
+    return _once(html, lambda h: _once(F.regexp_extract_all(h, F.lit(one), 2), lambda found: (
+        F.when(~F.array_contains(found, ""), found).when(h.rlike(whole), found)
+        .otherwise(F.transform(_scan(h, tags), lambda e: e["body"])))))
+
+
+def _once(c: Column, use) -> Column:
+    """``use`` of a column that is worked out once: a lambda variable."""
+    return F.get(F.transform(F.array(c), use), 0)
+
+
+def _scan(h: Column, tags: Sequence[str], attribute: str | None = None) -> Column:
+    """:func:`elements` of any text, token by token."""
+    token = "(?is)" + _tag_re(tags, "/?")
     start = F.expr(f"CAST(named_struct('depth', 0, 'head', '', 'body', '', 'found', array()) AS {_ELEMENTS})")
 
     def state(depth, head, body, found):
@@ -82,15 +134,11 @@ def elements(html: Column, tags: Sequence[str], attribute: str | None = None) ->
                 .when(ends & (acc["depth"] == 1), state(F.lit(0), F.lit(""), F.lit(""), with_one(acc)))
                 .otherwise(state(acc["depth"] + F.when(ends, -1).otherwise(1), acc["head"], inside, acc["found"])))
 
-    def scan(h):
-        tags_after = F.zip_with(F.regexp_extract_all(h, F.lit(token), 0),
-                                F.slice(F.split(h, token, -1), F.lit(2), F.length(h) + 1),
-                                lambda t, a: F.struct(t.alias("tag"), a.alias("after")))
-        return F.aggregate(tags_after, start, step,
-                           lambda acc: F.when(acc["depth"] > 0, with_one(acc)).otherwise(acc["found"]))
-
-    # the text as a lambda variable, so that what it comes from is worked out once
-    return F.get(F.transform(F.array(html), scan), 0)
+    tags_after = F.zip_with(F.regexp_extract_all(h, F.lit(token), 0),
+                            F.slice(F.split(h, token, -1), F.lit(2), F.length(h) + 1),
+                            lambda t, a: F.struct(t.alias("tag"), a.alias("after")))
+    return F.aggregate(tags_after, start, step,
+                       lambda acc: F.when(acc["depth"] > 0, with_one(acc)).otherwise(acc["found"]))
 
 
 def anchors(pages: DataFrame, cls: str | None = None) -> DataFrame:
@@ -155,10 +203,10 @@ def first_table(pages: DataFrame) -> DataFrame:
     """Rows of the first ``<table>`` of each page as
     ``(page_id, row_no, cells array<string>)``; header cells included. A table
     inside a cell is part of that cell's text."""
-    table = F.get(elements(F.regexp_replace("html", RAW_RE, ""), ["table"]), 0)["body"]
-    rows = F.transform(elements(table, ["tr"]), lambda r: F.transform(
-        elements(r["body"], ["td", "th"]),
-        lambda c: F.regexp_replace(tx.strip_tags(c["body"]), tx.EDGE_WS, "")))
+    table = F.get(bodies(F.regexp_replace("html", RAW_RE, ""), ["table"]), 0)
+    rows = F.transform(bodies(table, ["tr"]), lambda r: F.transform(
+        bodies(r, ["td", "th"]),
+        lambda c: F.btrim(F.when(c.contains("<"), tx.strip_tags(c)).otherwise(c), F.lit(tx.WS_CHARS))))
     return (pages.select("page_id", F.posexplode(rows).alias("row_no", "cells"))
             .where(F.size("cells") > 0))
 
