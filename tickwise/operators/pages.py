@@ -234,7 +234,8 @@ def repo_cards(pages: DataFrame, card_cls: str = "pinned-repo-item-content",
 def repo_counts(pages: DataFrame) -> DataFrame:
     """E4 counters: stars (``a.social-count``), forks (href ends ``network``),
     watchers (href ends ``watchers``), language (first ``span.lang``)."""
-    a = anchors(pages)
+    # other anchors would only be sorted; pages without one of these get nulls by the join
+    a = anchors(pages).where(F.col("href").endswith("network") | F.col("href").endswith("watchers"))
     firsts = a.groupBy("page_id").agg(
         F.min_by(F.when(F.col("href").endswith("network"), F.col("text")),
                  F.when(F.col("href").endswith("network"), F.col("pos"))).alias("_forks"),
